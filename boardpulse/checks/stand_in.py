@@ -1,0 +1,25 @@
+"""A deterministic model in place of the trained one, whose weights are not
+available. Its outputs are small integers, so that ties occur."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from boardpulse.config import ScoringConfig
+from boardpulse.operators.scoring import Predict
+
+
+def load_stand_in(config: ScoringConfig) -> Predict:
+    def predict(texts: Sequence[str]) -> list[list[int]]:
+        return [[len(t) % 5, t.count("e") % 5, 2] for t in texts]
+
+    return predict
+
+
+def stand_in_logits(text: Column) -> Column:
+    """The same outputs as a column expression."""
+    others = F.length(F.replace(text, F.lit("e"), F.lit("")))
+    return F.array(F.length(text) % 5, (F.length(text) - others) % 5, F.lit(2))

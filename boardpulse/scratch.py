@@ -1,0 +1,21 @@
+"""Where tables that live only for one run are written."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below ``spark.checkpoint.dir``, the cluster's shared folder.
+
+    Only a local session without that setting gets a temporary folder.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+        shared = tempfile.mkdtemp(prefix="boardpulse-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
