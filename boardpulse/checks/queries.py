@@ -35,8 +35,8 @@ from boardpulse.operators.samples import analyzed_sample, payload_sample, post_s
 from boardpulse.operators.scoring import add_sentiment, analyzed_posts, score_posts
 from boardpulse.plans.jobs import ORDER, collect_posts, run_counters, score_board, send_board
 from boardpulse.scratch import scratch_folder
-from boardpulse.sinks.tables import write_table
-from boardpulse.sources.landing import latest_pages
+from boardpulse.sinks.tables import stored, write_table
+from boardpulse.sources.landing import latest_pages, spread_small_table
 from boardpulse.streaming.landing import read_batches, score_new_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,7 +60,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return list_pages(_documents(spark, sf_dir))
+    return list_pages(spread_small_table(_documents(spark, sf_dir), "doc_id"))
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread_small_table(table(spark, sf_dir, "pages"), "page_id")
 
 
 def _posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,12 +75,12 @@ def _posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return page_links(table(spark, sf_dir, "pages"))
+    return page_links(_pages(spark, sf_dir))
 
 
 def q_resolved_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = document_links(_documents(spark, sf_dir))
-    found = page_links(table(spark, sf_dir, "pages")).withColumnRenamed("pos", "i")
+    made = document_links(spread_small_table(_documents(spark, sf_dir), "doc_id"))
+    found = q_page_links(spark, sf_dir).withColumnRenamed("pos", "i")
     links = made.unionByName(found).withColumn("parts", split_url(F.col("href"), clean_url(F.col("href"))))
     return links.select("page_id", "i", "href", absolute_url(F.col("parts"), SITE_ORIGIN).alias("url"))
 
@@ -145,7 +149,7 @@ def q_latest_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_visible_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
+    pages = _pages(spark, sf_dir)
     return pages.select("page_id", F.posexplode(visible_lines(F.col("html"))).alias("pos", "line"))
 
 
@@ -166,8 +170,9 @@ def q_board_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_board_posts_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same lookup with the pinned post split over many tasks."""
-    refs = q_refs_capped(spark, sf_dir)
+    """The same lookup with the pinned post split over many tasks. Like in the
+    jobs, the references are stored first, because they are used three times."""
+    refs = stored(q_refs_capped(spark, sf_dir), scratch_folder(spark, "refs"))
     hot = find_hot_urls(usable_refs(refs), rows_per_salt=50)
     return board_posts(refs, _posts(spark, sf_dir), hot=hot)
 

@@ -6,27 +6,31 @@ array, so it runs inside the JVM and needs no shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from boardpulse.config import PLAIN_ANCHOR, SUBJECT_CLASS
-from boardpulse.functions.text import decode_entities, non_blank_lines, strip
+from boardpulse.functions.text import decode_entities, let, non_blank_lines, strip
 
 # A start tag, end tag, declaration or processing instruction. Quoted attribute
 # values may hold ">". A tag cut off by the end of the page counts as a tag.
-_TAG = "<[/!?A-Za-z_:](?:=\\s*+(?:\"[^\"]*+\"|'[^']*+')|[^>])*+>?"
+_TAG = "<[/!?A-Za-z_:](?:[^=>]++|=\\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+>?"
 _TOKEN_START = "(?=<[/!?A-Za-z_:])"
 _END_OF_NAME = "(?=[\\s/>])"
 
-_COMMENT = "<!--.*?(?:-->|\\z)"
-_RAW_ELEMENT = f"<(?<raw>script|style){_END_OF_NAME}[^>]*+>.*?(?:</\\k<raw>\\s*+>|\\z)"
-_HIDDEN_ELEMENT = f"<(?<hidden>template|rt|rp){_END_OF_NAME}[^>]*+>.*?</\\k<hidden>\\s*+>"
+# What follows the "<" of a comment or of an element whose text is not shown.
+_COMMENT = "!--.*?(?:-->|\\z)"
+_RAW_ELEMENT = f"(?<raw>script|style){_END_OF_NAME}[^>]*+>.*?(?:</\\k<raw>\\s*+>|\\z)"
+_HIDDEN_ELEMENT = f"(?<hidden>template|rt|rp){_END_OF_NAME}[^>]*+>.*?</\\k<hidden>\\s*+>"
 
-_NO_SOURCE = f"(?is){_COMMENT}|{_RAW_ELEMENT}"
-_NOT_VISIBLE = f"(?is){_COMMENT}|{_RAW_ELEMENT}|{_HIDDEN_ELEMENT}"
+_NO_SOURCE = f"(?is)<(?:{_COMMENT}|{_RAW_ELEMENT})"
+_NO_HIDDEN = f"(?is)<{_HIDDEN_ELEMENT}"
+_NOT_VISIBLE = f"(?is)<(?:{_COMMENT}|{_RAW_ELEMENT}|{_HIDDEN_ELEMENT})"
 
 _ANCHOR_START = f"(?i)(?=<a{_END_OF_NAME})"
-_ANCHOR_END = f"(?i)</a{_END_OF_NAME}"
+_ANCHOR_INNER = f"(?is)^{_TAG}((?:[^<]++|<(?!/a{_END_OF_NAME}))*+)"
 # The attribute is looked for outside quoted values of earlier attributes.
 _HREF = (
     "(?is)^<a(?:(?!\\shref[\\s=/>])(?:[^\"'>]|\"[^\"]*+\"|'[^']*+'))*+"
@@ -38,7 +42,7 @@ def visible_lines(html: Column) -> Column:
     """Text lines of a page: stripped, without blank lines and hidden elements."""
     no_hidden = F.regexp_replace(html, _NOT_VISIBLE, "\n")
     no_tags = F.regexp_replace(no_hidden, _TAG, "\n")
-    return non_blank_lines(decode_entities(no_tags))
+    return non_blank_lines(let(no_tags, decode_entities))
 
 
 def _unquote(value: Column) -> Column:
@@ -50,21 +54,22 @@ def anchors(html: Column) -> Column:
     """Anchors with a link, in document order, as ARRAY<STRUCT<href, inner>>.
 
     An anchor ends at its end tag or where the next one starts. Comments leave
-    an empty tag behind, because they separate the texts around them.
+    an empty tag behind, because they separate the texts around them; so do
+    elements without visible text inside an anchor.
     """
     source = F.regexp_replace(html, _NO_SOURCE, "<!>")
     pieces = F.filter(F.split(source, _ANCHOR_START), lambda p: p.rlike(_HREF))
     return F.transform(
         pieces,
         lambda p: F.struct(
-            strip(decode_entities(_unquote(F.regexp_extract(p, _HREF, 1)))).alias("href"),
-            F.regexp_replace(F.split(p, _ANCHOR_END, 2)[0], f"^{_TAG}", "").alias("inner"),
+            let(F.regexp_extract(p, _HREF, 1), lambda v: strip(let(_unquote(v), decode_entities))).alias("href"),
+            F.regexp_replace(F.regexp_extract(p, _ANCHOR_INNER, 1), _NO_HIDDEN, "<!>").alias("inner"),
         ),
     )
 
 
-def _subject_tag(tag: str) -> str:
-    """Pattern of a start tag that carries the subject class."""
+def _subject_start(tag: Column) -> Column:
+    """Pattern of a start tag of this name that carries the subject class."""
     name = SUBJECT_CLASS
     value = (
         f"\"(?:[^\"]*\\s)?{name}(?:\\s[^\"]*)?\""
@@ -72,50 +77,59 @@ def _subject_tag(tag: str) -> str:
         f"|{name}{_END_OF_NAME}"
     )
     skip = "(?:(?!\\s(?i:class)\\s*+=)(?:[^\"'>]|\"[^\"]*+\"|'[^']*+'))*+"
-    return f"<(?i:{tag}){_END_OF_NAME}{skip}\\s(?i:class)\\s*+=\\s*+(?:{value})"
-
+    rest = f"){_END_OF_NAME}{skip}\\s(?i:class)\\s*+=\\s*+(?:{value})"
+    return F.concat(F.lit("(?s)<(?i:"), tag, F.lit(rest))
 
-def _text_of_token(token: Column) -> Column:
-    """The stripped text that follows the tag at the start of a token."""
-    return strip(decode_entities(F.regexp_replace(token, f"^{_TAG}", "")))
 
+def title_tag(inner: Column, tags: Sequence[str]) -> Column:
+    """The first of these tags that has a subject element inside the anchor;
+    NULL if none has."""
+    found = F.lit(None).cast("string")
+    for tag in reversed(tags):
+        present = F.lit(True) if tag == PLAIN_ANCHOR else F.rlike(inner, _subject_start(F.lit(tag)))
+        found = F.when(present, tag).otherwise(found)
+    return found
 
-def _element_text(tokens: Column, tag: str) -> Column:
-    """Text of the first subject element of this tag, nested elements included.
 
-    ``tokens`` are the pieces of the markup, each starting with a tag. The fold
-    counts the open elements of the same tag: before the element the depth is
-    0, after it -1. The text of a token counts if the token lies inside.
-    """
-    opens, closes = f"^<(?i:{tag}){_END_OF_NAME}", f"^</(?i:{tag})\\s*+>"
-
-    def next_depth(depth: Column, token: Column) -> Column:
-        return (
-            F.when(depth < 0, depth)
-            .when(depth == 0, token.rlike(f"^{_subject_tag(tag)}").cast("int"))
-            .when(token.rlike(opens), depth + 1)
-            .when(token.rlike(closes), F.when(depth == 1, F.lit(-1)).otherwise(depth - 1))
-            .otherwise(depth)
+def _text_of_token(token: Column) -> Column:
+    """The stripped text that follows the tag at the start of a token."""
+    text = F.regexp_extract(token, f"(?s)^(?:{_TAG})?+(.*)", 1)
+    return strip(let(text, decode_entities))
+
+
+def _tokens_inside(tokens: Column, tag: Column) -> Column:
+    """How many tokens lie inside the element that starts with the first one,
+    counting the open elements of the same name."""
+    opens = F.concat(F.lit("^<(?i:"), tag, F.lit(f"){_END_OF_NAME}"))
+    closes = F.concat(F.lit("^</(?i:"), tag, F.lit(")\\s*+>"))
+
+    def count(state: Column, token: Column) -> Column:
+        change = F.when(F.rlike(token, opens), 1).when(F.rlike(token, closes), -1).otherwise(0)
+        return F.when(state.closed, state).otherwise(
+            let(
+                state.depth + change,
+                lambda depth: F.struct(
+                    depth.alias("depth"),
+                    (state.inside + F.when(depth > 0, 1).otherwise(0)).alias("inside"),
+                    (depth == 0).alias("closed"),
+                ),
+            )
         )
 
-    def fold(state: Column, token: Column) -> Column:
-        depth = next_depth(state.depth, token)
-        text = F.when(depth > 0, F.concat(state.text, _text_of_token(token))).otherwise(state.text)
-        return F.struct(depth.alias("depth"), text.alias("text"))
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("inside"), F.lit(False).alias("closed"))
+    return F.aggregate(tokens, start, count, lambda state: state.inside)
 
-    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("text"))
-    return F.aggregate(tokens, start, fold, lambda state: state.text)
 
+def subject_title(inner: Column, tag: Column) -> Column:
+    """Text of the anchor's first subject element of this tag, with the elements
+    nested in it. Texts are stripped and joined directly."""
+    plain = tag == PLAIN_ANCHOR
+    element = F.call_function(
+        "regexp_extract", inner, F.concat(_subject_start(tag), F.lit(".*")), F.lit(0)
+    )
 
-def subject_title(inner: Column, tags: tuple[str, ...]) -> Column:
-    """Title inside an anchor: the text of the first tag's subject element that
-    is present; NULL if none is. Texts are stripped and joined directly."""
-    visible = F.regexp_replace(inner, f"(?is){_HIDDEN_ELEMENT}", "<!>")
-    tokens = F.split(visible, _TOKEN_START)
-    title = F.lit(None).cast("string")
-    for tag in reversed(tags):
-        if tag == PLAIN_ANCHOR:
-            title = F.array_join(F.transform(tokens, _text_of_token), "")
-        else:
-            title = F.when(visible.rlike(_subject_tag(tag)), _element_text(tokens, tag)).otherwise(title)
-    return title
+    def text_inside(tokens: Column) -> Column:
+        inside = F.when(plain, F.size(tokens)).otherwise(_tokens_inside(tokens, tag))
+        return F.array_join(F.transform(F.slice(tokens, F.lit(1), inside), _text_of_token), "")
+
+    return let(F.split(F.when(plain, inner).otherwise(element), _TOKEN_START), text_inside)

@@ -6,6 +6,8 @@ spelled out here and used everywhere.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -34,6 +36,14 @@ _LINE_BREAKS = "[\\n-\\r\\x1c-\\x1e\\x85\\u2028\\u2029]+"
 _CATEGORY = f"(?d)^\\[([^\\]]{{1,6}})\\]{WS_CLASS}*(.+)$"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Compute ``value`` once, for an expression that uses it several times.
+
+    Needed inside lambdas, where Spark does not share common subexpressions.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
 def strip(text: Column) -> Column:
     """Remove white space from both ends."""
     return F.btrim(text, F.lit(WHITE_SPACE))
@@ -75,17 +85,17 @@ def preview(text: Column, chars: int, mark: str) -> Column:
 
 # The HTML 4 names, as the standard library has them, and the apostrophe.
 _NAMED = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
-_NUMERIC = "^&#(?:[xX]0*([0-9a-fA-F]*)|0*([0-9]*));?"
+_NAMED_PREFIX = "^[A-Za-z][A-Za-z0-9]{1,9};"
+_NUMBER = "^#(?:[xX]0*([0-9a-fA-F]*)|0*([0-9]*));?"
 
 
 def _code_point(piece: Column) -> Column:
     """Code point of a numeric reference; NULL when it names no character."""
-    hexadecimal = F.regexp_extract(piece, _NUMERIC, 1)
-    decimal = F.regexp_extract(piece, _NUMERIC, 2)
-    code = (
-        F.when(F.length(hexadecimal).between(1, 6), F.conv(hexadecimal, 16, 10).cast("int"))
-        .when(F.length(decimal).between(1, 7), decimal.cast("int"))
-    )
+    hexadecimal = F.regexp_extract(piece, _NUMBER, 1)
+    decimal = F.regexp_extract(piece, _NUMBER, 2)
+    code = F.when(
+        F.length(hexadecimal).between(1, 6), F.conv(hexadecimal, 16, 10).cast("int")
+    ).when(F.length(decimal).between(1, 7), decimal.cast("int"))
     allowed = (
         code.isin(0x09, 0x0A, 0x0D)
         | code.between(0x20, 0xD7FF)
@@ -95,28 +105,27 @@ def _code_point(piece: Column) -> Column:
     return F.when(allowed, code)
 
 
-def _decode_piece(piece: Column) -> Column:
-    """Decode the reference at the start of a piece, if there is one."""
-    names = F.map_from_arrays(
-        F.array(*[F.lit(n) for n in _NAMED]), F.array(*[F.lit(c) for c in _NAMED.values()])
-    )
-    name = F.substring_index(F.substring(piece, 2, 12), ";", 1)
-    after_name = F.substring(piece, F.length(name) + 3, F.length(piece))
-    after_number = F.regexp_replace(piece, _NUMERIC, "")
+def _decode_piece(piece: Column, i: Column) -> Column:
+    """Decode the reference at the start of a piece, which follows an ampersand
+    unless it is the first one."""
+    # One literal, folded to a constant map by the optimizer.
+    names = F.from_json(F.lit(json.dumps(_NAMED)), "map<string,string>")
+    name = F.substring_index(piece, ";", 1)
+    after_name = F.substring(piece, F.length(name) + 2, F.length(piece))
     utf32 = F.unhex(F.lpad(F.hex(_code_point(piece)), 8, "0"))
     return (
-        F.when(~piece.startswith("&"), piece)
+        F.when(i == 0, piece)
         # By far the most frequent one, kept out of the map lookup.
-        .when(piece.startswith("&amp;"), F.concat(F.lit("&"), F.substring(piece, 6, 2**31 - 1)))
+        .when(piece.startswith("amp;"), F.concat(F.lit("&"), F.substring(piece, F.lit(5), F.length(piece))))
         .when(
-            piece.startswith("&#"),
-            F.concat(F.coalesce(F.decode(utf32, "UTF-32"), F.lit("")), after_number),
+            piece.startswith("#"),
+            F.concat(F.coalesce(F.decode(utf32, "UTF-32"), F.lit("")), F.regexp_replace(piece, _NUMBER, "")),
         )
         .when(
-            piece.rlike("^&[A-Za-z][A-Za-z0-9]{1,9};"),
-            F.coalesce(F.concat(F.element_at(names, name), after_name), piece),
+            piece.rlike(_NAMED_PREFIX) & F.element_at(names, name).isNotNull(),
+            F.concat(F.element_at(names, name), after_name),
         )
-        .otherwise(piece)
+        .otherwise(F.concat(F.lit("&"), piece))
     )
 
 
@@ -124,6 +133,8 @@ def decode_entities(text: Column) -> Column:
     """Decode character references in one pass.
 
     Named references need their semicolon and stay as they are when unknown;
-    numeric ones may lack it, and disappear when they name no character.
+    numeric ones may lack it, and disappear when they name no character. The
+    text is used more than once, so it should be a column or bound by ``let``.
     """
-    return F.array_join(F.transform(F.split(text, "(?=&)"), _decode_piece), "")
+    decoded = F.array_join(F.transform(F.split(text, "&"), _decode_piece), "")
+    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)

@@ -6,12 +6,14 @@ cap need no shuffle; rows multiply only at the very end.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boardpulse.config import DISALLOWED_PATHS, DISALLOWED_PREFIX, BoardConfig
-from boardpulse.functions.markup import anchors, subject_title
-from boardpulse.functions.text import split_category
+from boardpulse.functions.markup import anchors, subject_title, title_tag
+from boardpulse.functions.text import let, split_category
 from boardpulse.functions.urls import absolute_url, clean_url, split_url, url_path
 
 REF_COLUMNS = ("board_id", "post_id", "url", "title", "category", "page_id", "pos")
@@ -36,10 +38,10 @@ def post_digits(path: Column, board_id: Column) -> Column:
 
 def list_title(inner: Column, board_id: Column, layouts: dict[int, tuple[str, ...]]) -> Column:
     """Raw title of an anchor by the layout of its board; NULL for other boards."""
-    title = F.lit(None).cast("string")
+    tag = F.lit(None).cast("string")
     for board, tags in layouts.items():
-        title = F.when(board_id == board, subject_title(inner, tags)).otherwise(title)
-    return title
+        tag = F.when(board_id == board, title_tag(inner, tags)).otherwise(tag)
+    return let(tag, lambda name: subject_title(inner, name))
 
 
 def ref_array(html: Column, board_id: Column, config: BoardConfig) -> Column:
@@ -100,15 +102,24 @@ def ref_array(html: Column, board_id: Column, config: BoardConfig) -> Column:
     )
 
 
-def board_refs(list_pages: DataFrame, config: BoardConfig = BoardConfig()) -> DataFrame:
-    """References of all list pages, at most ``config.max_posts`` per page.
+def list_rows(list_pages: DataFrame, config: BoardConfig = BoardConfig()) -> DataFrame:
+    """References of all list pages, at most ``config.max_posts`` per page, and
+    one row without ``pos`` for a page that gives none.
 
-    A post linked twice counts twice. ``pos`` is the place on the page.
+    A page without a single reference before the cap keeps its HTML in
+    ``unparsable_html``, so one pass over the pages serves both results. A post
+    linked twice counts twice. ``pos`` is the place on the page.
     """
-    refs = F.slice(ref_array(F.col("html"), F.col("board_id"), config), 1, config.max_posts)
-    return list_pages.select(
-        "board_id", "page_id", F.posexplode(refs).alias("pos", "ref")
-    ).select(
+    refs = ref_array(F.col("html"), F.col("board_id"), config)
+    none_found = F.coalesce(F.size("refs"), F.lit(0)) <= 0
+    capped = F.slice("refs", 1, config.max_posts)
+    rows = list_pages.withColumn("refs", refs).select(
+        "board_id",
+        "page_id",
+        F.when(none_found, F.col("html")).alias("unparsable_html"),
+        F.posexplode_outer(capped).alias("pos", "ref"),
+    )
+    return rows.select(
         "board_id",
         "ref.post_id",
         "ref.url",
@@ -116,10 +127,28 @@ def board_refs(list_pages: DataFrame, config: BoardConfig = BoardConfig()) -> Da
         "ref.category",
         "page_id",
         "pos",
+        "unparsable_html",
     )
 
 
+def refs_of(rows: DataFrame) -> DataFrame:
+    """The references among the rows of :func:`list_rows`."""
+    return rows.where("pos IS NOT NULL").select(*REF_COLUMNS)
+
+
+def quarantine_of(rows: DataFrame) -> DataFrame:
+    """The list pages without a single reference, to be kept for inspection."""
+    return rows.where("unparsable_html IS NOT NULL").select(
+        "board_id", "page_id", F.col("unparsable_html").alias("html")
+    )
+
+
+def board_refs(list_pages: DataFrame, config: BoardConfig = BoardConfig()) -> DataFrame:
+    """References of all list pages, at most ``config.max_posts`` per page."""
+    return refs_of(list_rows(list_pages, config))
+
+
 def unparsable_pages(list_pages: DataFrame, config: BoardConfig = BoardConfig()) -> DataFrame:
-    """List pages without a single reference, to be kept for inspection."""
-    refs = ref_array(F.col("html"), F.col("board_id"), config)
-    return list_pages.where(F.coalesce(F.size(refs), F.lit(0)) <= 0).select("board_id", "page_id", "html")
+    """List pages without a single reference."""
+    one = replace(config, max_posts=1)
+    return quarantine_of(list_rows(list_pages, one).where("pos IS NULL"))

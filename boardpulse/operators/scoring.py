@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 from typing import Any
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +24,10 @@ from boardpulse.functions.sentiment import (
 )
 from boardpulse.functions.text import is_blank
 
+# Functions and settings travel to the workers by value, so this package need not
+# be installed there.
+cloudpickle.register_pickle_by_value(sys.modules["boardpulse"])
+
 # Takes a batch of texts, gives one row of three outputs (neg, neu, pos) each.
 Predict = Callable[[Sequence[str]], Any]
 # Loads the model; called in the Python worker, on the first batch with rows.

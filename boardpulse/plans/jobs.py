@@ -17,9 +17,9 @@ from boardpulse.config import BoardConfig, ScoringConfig
 from boardpulse.operators.attach import find_hot_urls, rejected_refs, usable_refs
 from boardpulse.operators.messages import keyed_messages, payloads
 from boardpulse.operators.posts import board_posts
-from boardpulse.operators.refs import board_refs, unparsable_pages
+from boardpulse.operators.refs import list_rows, quarantine_of, refs_of
 from boardpulse.operators.scoring import LoadModel, analyzed_posts, spread, utc_now
-from boardpulse.sinks.tables import count_rows, read_table, write_table
+from boardpulse.sinks.tables import count_rows, read_table, stored, write_table
 
 ORDER = ("page_id", "pos")
 
@@ -47,22 +47,18 @@ def run_counters(spark: SparkSession, counters: dict[str, int]) -> DataFrame:
     return spark.createDataFrame(list(counters.items()), "stage string, rows bigint")
 
 
-def _stored(df: DataFrame, path: str) -> DataFrame:
-    write_table(df, path)
-    return read_table(df, path)
-
-
 def _collect(
     list_pages: DataFrame, post_pages: DataFrame, out: str, config: BoardConfig, keep_unparsable: bool
 ) -> _Collected:
-    refs = board_refs(list_pages, config)
-    count = write_table(refs, f"{out}/refs")
-    refs = read_table(refs, f"{out}/refs")
+    rows = list_rows(list_pages, config)
+    count = write_table(rows, f"{out}/list_rows", counted="pos")
+    rows = read_table(rows, f"{out}/list_rows")
+    refs = refs_of(rows)
     hot = find_hot_urls(usable_refs(refs, config))
     quarantine = None
     if keep_unparsable:
-        quarantine = _stored(unparsable_pages(list_pages, config), f"{out}/quarantine")
-    rejects = _stored(rejected_refs(refs, post_pages, config, hot), f"{out}/rejects")
+        quarantine = stored(quarantine_of(rows), f"{out}/quarantine")
+    rejects = stored(rejected_refs(refs, post_pages, config, hot), f"{out}/rejects")
     return _Collected(board_posts(refs, post_pages, config, hot), rejects, quarantine, count)
 
 

@@ -6,15 +6,17 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def count_rows(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """Count rows while they pass; read the result after the action."""
+def count_rows(df: DataFrame, counted: str | None = None) -> tuple[DataFrame, Observation]:
+    """Count rows while they pass, or only those where ``counted`` is not NULL;
+    read the result after the action."""
     counter = Observation()
-    return df.observe(counter, F.count(F.lit(1)).alias("rows")), counter
+    value = F.col(counted) if counted else F.lit(1)
+    return df.observe(counter, F.count(value).alias("rows")), counter
 
 
-def write_table(df: DataFrame, path: str) -> int:
+def write_table(df: DataFrame, path: str, counted: str | None = None) -> int:
     """Replace the table at ``path``; gives its number of rows."""
-    observed, counter = count_rows(df)
+    observed, counter = count_rows(df, counted)
     observed.write.mode("overwrite").parquet(path)
     return counter.get["rows"]
 
@@ -22,3 +24,9 @@ def write_table(df: DataFrame, path: str) -> int:
 def read_table(df: DataFrame, path: str) -> DataFrame:
     """Read back a table just written from ``df``; cuts the lineage there."""
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write a table and read it back."""
+    write_table(df, path)
+    return read_table(df, path)

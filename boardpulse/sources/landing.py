@@ -13,11 +13,24 @@ LIST_PAGES = "board_id INT, page_id BIGINT, url STRING, html STRING, fetched_at
 POST_PAGES = "url STRING, html STRING, fetched_at TIMESTAMP"
 
 
+def spread_small_table(table: DataFrame, *keys: str) -> DataFrame:
+    """Spread a table that is read in fewer splits than there are cores.
+
+    Parsing is bound by the CPU, so a small table would leave cores idle. A
+    large one has more splits than cores and is not shuffled.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    if table.rdd.getNumPartitions() >= cores:
+        return table
+    return table.repartition(cores, *keys)
+
+
 def read_list_pages(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LIST_PAGES).parquet(path)
+    return spread_small_table(spark.read.schema(LIST_PAGES).parquet(path), "board_id", "page_id")
 
 
 def read_post_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Post pages need no spreading: they are shuffled by URL before parsing."""
     return spark.read.schema(POST_PAGES).parquet(path)
 
 
