@@ -89,43 +89,47 @@ _NAMED_PREFIX = "^[A-Za-z][A-Za-z0-9]{1,9};"
 _NUMBER = "^#(?:[xX]0*([0-9a-fA-F]*)|0*([0-9]*));?"
 
 
-def _code_point(piece: Column) -> Column:
-    """Code point of a numeric reference; NULL when it names no character."""
-    hexadecimal = F.regexp_extract(piece, _NUMBER, 1)
-    decimal = F.regexp_extract(piece, _NUMBER, 2)
-    code = F.when(
-        F.length(hexadecimal).between(1, 6), F.conv(hexadecimal, 16, 10).cast("int")
-    ).when(F.length(decimal).between(1, 7), decimal.cast("int"))
+def _character(code: Column) -> Column:
+    """Text of a code point; empty when it is no character of a document."""
     allowed = (
         code.isin(0x09, 0x0A, 0x0D)
         | code.between(0x20, 0xD7FF)
         | code.between(0xE000, 0xFFFD)
         | code.between(0x10000, 0x10FFFF)
     )
-    return F.when(allowed, code)
+    utf32 = F.unhex(F.lpad(F.hex(code), 8, "0"))
+    return F.when(allowed, F.decode(utf32, "UTF-32")).otherwise("")
+
+
+def _numeric_reference(piece: Column) -> Column:
+    """Code point of a numeric reference; NULL if it has no or too many digits."""
+    hexadecimal, decimal = (F.regexp_extract(piece, _NUMBER, group) for group in (1, 2))
+    return F.when(
+        F.length(hexadecimal).between(1, 6), F.conv(hexadecimal, 16, 10).cast("int")
+    ).when(F.length(decimal).between(1, 7), decimal.cast("int"))
+
+
+def _named_reference(piece: Column) -> Column:
+    """Text of a named reference; NULL if the name is unknown."""
+    # One literal, folded to a constant map by the optimizer.
+    names = F.from_json(F.lit(json.dumps(_NAMED)), "map<string,string>")
+    return F.when(piece.rlike(_NAMED_PREFIX), F.element_at(names, F.substring_index(piece, ";", 1)))
 
 
 def _decode_piece(piece: Column, i: Column) -> Column:
     """Decode the reference at the start of a piece, which follows an ampersand
     unless it is the first one."""
-    # One literal, folded to a constant map by the optimizer.
-    names = F.from_json(F.lit(json.dumps(_NAMED)), "map<string,string>")
-    name = F.substring_index(piece, ";", 1)
-    after_name = F.substring(piece, F.length(name) + 2, F.length(piece))
-    utf32 = F.unhex(F.lpad(F.hex(_code_point(piece)), 8, "0"))
+    numeric = F.concat(
+        let(_numeric_reference(piece), _character), F.regexp_replace(piece, _NUMBER, "")
+    )
+    after_name = F.substring(piece, F.locate(";", piece) + 1, F.length(piece))
+    named = F.coalesce(F.concat(_named_reference(piece), after_name), F.concat(F.lit("&"), piece))
     return (
         F.when(i == 0, piece)
         # By far the most frequent one, kept out of the map lookup.
         .when(piece.startswith("amp;"), F.concat(F.lit("&"), F.substring(piece, F.lit(5), F.length(piece))))
-        .when(
-            piece.startswith("#"),
-            F.concat(F.coalesce(F.decode(utf32, "UTF-32"), F.lit("")), F.regexp_replace(piece, _NUMBER, "")),
-        )
-        .when(
-            piece.rlike(_NAMED_PREFIX) & F.element_at(names, name).isNotNull(),
-            F.concat(F.element_at(names, name), after_name),
-        )
-        .otherwise(F.concat(F.lit("&"), piece))
+        .when(piece.startswith("#"), numeric)
+        .otherwise(named)
     )
 
 

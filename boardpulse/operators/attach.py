@@ -2,13 +2,16 @@
 
 The lookup is an equi-join on the URL. A pinned post may be linked from every
 list page, so one URL can hold a large share of the references. Such URLs are
-found first (see :func:`find_hot_urls`) and joined on (url, salt) with their
+found first (see :func:`find_hot_urls`) and joined on (url, salt), with their
 few pages repeated per salt; all other URLs take the plain join. The two
-results together are the whole join.
+results together are the whole join. Without hot URLs the plan is the plain
+join alone.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,50 +48,61 @@ def usable_refs(refs: DataFrame, config: BoardConfig = BoardConfig()) -> DataFra
 
 def find_hot_urls(
     refs: DataFrame, rows_per_salt: int = ROWS_PER_SALT, limit: int = MAX_HOT_URLS
-) -> DataFrame | None:
-    """URLs with more than ``rows_per_salt`` references, as (url, salts).
+) -> dict[str, int]:
+    """URLs with more than ``rows_per_salt`` references, and their salts.
 
     Runs one aggregation; only the ``limit`` largest URLs reach the driver.
-    None means that the plain join is enough.
     """
     counts = refs.groupBy("url").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.where(F.col("n") > rows_per_salt).orderBy(F.desc("n"), "url").limit(limit).collect()
-    if not top:
-        return None
-    rows = [(r["url"], -(-r["n"] // rows_per_salt)) for r in top]
-    return refs.sparkSession.createDataFrame(rows, "url string, salts int")
-
-
-def join_on_url(refs: DataFrame, pages: DataFrame, how: str, hot: DataFrame | None = None) -> DataFrame:
-    """Join references (left) with one-row-per-URL pages; ``how`` is any join
-    type that keeps left rows only as matched: inner, left_semi, left_anti."""
-    if hot is None:
-        return refs.join(pages, "url", how)
-    # ``hot`` has at most MAX_HOT_URLS rows, so broadcasting it is safe.
-    hot = F.broadcast(hot)
-    plain = refs.join(hot, "url", "left_anti").join(pages, "url", how)
+    top = counts.where(F.col("n") > rows_per_salt).orderBy(F.desc("n"), "url").limit(limit)
+    return {row["url"]: -(-row["n"] // rows_per_salt) for row in top.collect()}
+
+
+def join_on_url(
+    refs: DataFrame,
+    post_pages: DataFrame,
+    prepare: Callable[[DataFrame], DataFrame],
+    how: str,
+    hot: dict[str, int] | None = None,
+) -> DataFrame:
+    """Join references (left) with ``prepare(post_pages)``, one row per URL.
+
+    ``how`` is a join type that keeps left rows only as matched: inner,
+    left_semi or left_anti. For hot URLs only their own pages are prepared, and
+    the filter on the URL reaches the scan.
+    """
+    if not hot:
+        return refs.join(prepare(post_pages), "url", how)
+    salts = refs.sparkSession.createDataFrame(list(hot.items()), "url string, salts int")
+    salts = F.broadcast(salts)  # at most MAX_HOT_URLS rows
+    plain = refs.join(salts, "url", "left_anti").join(prepare(post_pages), "url", how)
 
     row = F.xxhash64(*[F.col(c) for c in refs.columns])
-    salted_refs = refs.join(hot, "url").withColumn("salt", F.pmod(row, F.col("salts")).cast("int"))
-    salted_pages = (
-        pages.join(hot, "url")
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-        .drop("salts")
-    )
+    salted_refs = refs.join(salts, "url").withColumn("salt", F.pmod(row, F.col("salts")).cast("int"))
+    hot_pages = prepare(post_pages.where(F.col("url").isin(*hot))).join(salts, "url")
+    each_salt = F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
+    salted_pages = hot_pages.withColumn("salt", each_salt).drop("salts")
     salted = salted_refs.drop("salts").join(salted_pages, ["url", "salt"], how).drop("salt")
     return plain.unionByName(salted)
 
 
 def attach_pages(
-    refs: DataFrame, pages: DataFrame, config: BoardConfig = BoardConfig(), hot: DataFrame | None = None
+    refs: DataFrame,
+    post_pages: DataFrame,
+    prepare: Callable[[DataFrame], DataFrame],
+    config: BoardConfig = BoardConfig(),
+    hot: dict[str, int] | None = None,
 ) -> DataFrame:
-    """Usable references with the columns of their page. A reference listed
-    twice gives two rows. ``pages`` holds one row per URL."""
-    return join_on_url(usable_refs(refs, config), pages, "inner", hot)
+    """Usable references with the columns of their page, which ``prepare`` makes
+    from its snapshots. A reference listed twice gives two rows."""
+    return join_on_url(usable_refs(refs, config), post_pages, prepare, "inner", hot)
 
 
 def rejected_refs(
-    refs: DataFrame, page_urls: DataFrame, config: BoardConfig = BoardConfig(), hot: DataFrame | None = None
+    refs: DataFrame,
+    post_pages: DataFrame,
+    config: BoardConfig = BoardConfig(),
+    hot: dict[str, int] | None = None,
 ) -> DataFrame:
     """References that give no post: (url, post_id, reason).
 
@@ -97,6 +111,6 @@ def rejected_refs(
     narrow = refs.select("url", "post_id", "page_id", "pos")
     refused = narrow.withColumn("reason", refused_reason(config)).where("reason IS NOT NULL")
     missing = join_on_url(
-        usable_refs(narrow, config), page_urls.select("url").distinct(), "left_anti", hot
+        usable_refs(narrow, config), post_pages, lambda p: p.select("url").distinct(), "left_anti", hot
     ).withColumn("reason", F.lit(PAGE_MISSING))
     return refused.unionByName(missing).select("url", "post_id", "reason")

@@ -97,9 +97,12 @@ def parsed_pages(post_pages: DataFrame, config: BoardConfig = BoardConfig()) ->
 
 
 def board_posts(
-    refs: DataFrame, post_pages: DataFrame, config: BoardConfig = BoardConfig(), hot: DataFrame | None = None
+    refs: DataFrame,
+    post_pages: DataFrame,
+    config: BoardConfig = BoardConfig(),
+    hot: dict[str, int] | None = None,
 ) -> DataFrame:
     """Posts of all usable references whose page is there. The title is the
     reference's."""
-    posts = attach_pages(refs, parsed_pages(post_pages, config), config, hot)
+    posts = attach_pages(refs, post_pages, lambda p: parsed_pages(p, config), config, hot)
     return posts.select(*POST_COLUMNS)
