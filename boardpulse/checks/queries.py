@@ -161,8 +161,13 @@ def q_post_fields_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed_pages(_posts(spark, sf_dir), BoardConfig(created_at_seconds=True))
 
 
+def _stored_refs(spark: SparkSession, sf_dir: str, config: BoardConfig) -> DataFrame:
+    """References stored first, as the jobs do, for queries that use them twice."""
+    return stored(board_refs(_lists(spark, sf_dir), config), scratch_folder(spark, "refs"))
+
+
 def q_ref_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rejected_refs(q_board_refs(spark, sf_dir), _posts(spark, sf_dir))
+    return rejected_refs(_stored_refs(spark, sf_dir, ALL_REFS), _posts(spark, sf_dir))
 
 
 def q_board_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,9 +175,8 @@ def q_board_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_board_posts_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same lookup with the pinned post split over many tasks. Like in the
-    jobs, the references are stored first, because they are used three times."""
-    refs = stored(q_refs_capped(spark, sf_dir), scratch_folder(spark, "refs"))
+    """The same lookup with the pinned post split over many tasks."""
+    refs = _stored_refs(spark, sf_dir, BoardConfig())
     hot = find_hot_urls(usable_refs(refs), rows_per_salt=50)
     return board_posts(refs, _posts(spark, sf_dir), hot=hot)
 

@@ -28,6 +28,9 @@ ROWS_PER_SALT = 100_000
 # Hot URLs beyond it are still joined, by the plain join.
 MAX_HOT_URLS = 1_000
 
+# URLs of references are broadcast to filter the pages up to this many bytes.
+MAX_BROADCAST_BYTES = 32 * 2**20
+
 
 def is_allowed_url(url: Column, config: BoardConfig = BoardConfig()) -> Column:
     """True if the network location is exactly one of the allowed hosts."""
@@ -58,6 +61,18 @@ def find_hot_urls(
     return {row["url"]: -(-row["n"] // rows_per_salt) for row in top.collect()}
 
 
+def wanted_pages(post_pages: DataFrame, refs: DataFrame, url_bytes: int) -> DataFrame:
+    """Snapshots of the URLs that are referenced at all, if the references are
+    few; else all snapshots, as the lookup drops the others anyway.
+
+    ``url_bytes`` is the measured size of all URLs in ``refs``. A small run over
+    a large store then shuffles only the pages it needs.
+    """
+    if url_bytes > MAX_BROADCAST_BYTES:
+        return post_pages
+    return post_pages.join(F.broadcast(refs.select("url").distinct()), "url", "left_semi")
+
+
 def join_on_url(
     refs: DataFrame,
     post_pages: DataFrame,

@@ -12,14 +12,15 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from boardpulse.config import BoardConfig, ScoringConfig
-from boardpulse.operators.attach import find_hot_urls, rejected_refs, usable_refs
+from boardpulse.operators.attach import find_hot_urls, rejected_refs, usable_refs, wanted_pages
 from boardpulse.operators.messages import keyed_messages, payloads
 from boardpulse.operators.posts import board_posts
 from boardpulse.operators.refs import list_rows, quarantine_of, refs_of
 from boardpulse.operators.scoring import LoadModel, analyzed_posts, spread, utc_now
-from boardpulse.sinks.tables import count_rows, read_table, stored, write_table
+from boardpulse.sinks.tables import count_rows, read_table, stored, write_measured, write_table
 
 ORDER = ("page_id", "pos")
 
@@ -51,15 +52,21 @@ def _collect(
     list_pages: DataFrame, post_pages: DataFrame, out: str, config: BoardConfig, keep_unparsable: bool
 ) -> _Collected:
     rows = list_rows(list_pages, config)
-    count = write_table(rows, f"{out}/list_rows", counted="pos")
+    size = write_measured(
+        rows,
+        f"{out}/list_rows",
+        refs=F.count("pos"),
+        url_bytes=F.coalesce(F.sum(F.octet_length("url")), F.lit(0)),
+    )
     rows = read_table(rows, f"{out}/list_rows")
     refs = refs_of(rows)
     hot = find_hot_urls(usable_refs(refs, config))
+    post_pages = wanted_pages(post_pages, refs, size["url_bytes"])
     quarantine = None
     if keep_unparsable:
         quarantine = stored(quarantine_of(rows), f"{out}/quarantine")
     rejects = stored(rejected_refs(refs, post_pages, config, hot), f"{out}/rejects")
-    return _Collected(board_posts(refs, post_pages, config, hot), rejects, quarantine, count)
+    return _Collected(board_posts(refs, post_pages, config, hot), rejects, quarantine, size["refs"])
 
 
 def collect_posts(

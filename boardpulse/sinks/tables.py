@@ -2,23 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def count_rows(df: DataFrame, counted: str | None = None) -> tuple[DataFrame, Observation]:
-    """Count rows while they pass, or only those where ``counted`` is not NULL;
+def count_rows(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """Count rows while they pass, and take further aggregates as ``metrics``;
     read the result after the action."""
     counter = Observation()
-    value = F.col(counted) if counted else F.lit(1)
-    return df.observe(counter, F.count(value).alias("rows")), counter
+    columns = {"rows": F.count(F.lit(1))} | metrics
+    return df.observe(counter, *[c.alias(name) for name, c in columns.items()]), counter
 
 
-def write_table(df: DataFrame, path: str, counted: str | None = None) -> int:
+def write_table(df: DataFrame, path: str) -> int:
     """Replace the table at ``path``; gives its number of rows."""
-    observed, counter = count_rows(df, counted)
+    return write_measured(df, path)["rows"]
+
+
+def write_measured(df: DataFrame, path: str, **metrics: Column) -> dict[str, int]:
+    """Replace the table at ``path``; gives its number of rows and ``metrics``."""
+    observed, counter = count_rows(df, **metrics)
     observed.write.mode("overwrite").parquet(path)
-    return counter.get["rows"]
+    return counter.get
 
 
 def read_table(df: DataFrame, path: str) -> DataFrame:

@@ -3,7 +3,7 @@ from collections import Counter
 import pytest
 
 from boardpulse.config import BoardConfig
-from boardpulse.operators.attach import find_hot_urls, is_allowed_url, rejected_refs, usable_refs
+from boardpulse.operators.attach import find_hot_urls, is_allowed_url, rejected_refs, usable_refs, wanted_pages
 from boardpulse.operators.posts import board_posts, parsed_pages
 from boardpulse.sources.landing import latest_pages
 from helpers import apply
@@ -126,3 +126,13 @@ def test_other_hosts_by_configuration(spark, pages):
     config = BoardConfig(allowed_hosts=("x.org",))
     assert board_posts(refs, pages, config).count() == 1
     assert board_posts(refs, pages).count() == 0
+
+
+def test_few_references_filter_the_pages(refs, pages):
+    few = refs.where("page_id < 3")
+    wanted = wanted_pages(pages, few, url_bytes=1_000)
+    assert "BroadcastHashJoin" in plan(wanted) and "Exchange hashpartitioning" not in plan(wanted).split("Broadcast")[0]
+    assert {r["url"] for r in wanted.collect()} == {url(0), url(1), url(2)}
+    assert rows_of(board_posts(few, wanted)) == rows_of(board_posts(few, pages))
+    assert rows_of(rejected_refs(few, wanted)) == rows_of(rejected_refs(few, pages))
+    assert wanted_pages(pages, refs, url_bytes=10**12) is pages

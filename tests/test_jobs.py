@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 
 from boardpulse.checks.stand_in import load_stand_in
@@ -33,8 +35,13 @@ def landing(spark, tmp_path):
     return folder
 
 
-def load_nothing(config):
-    raise AssertionError("the model must not be loaded")
+@pytest.fixture
+def load_nothing():
+    # A local function, so that it travels to the workers by value.
+    def load(config):
+        raise AssertionError("the model must not be loaded")
+
+    return load
 
 
 def tables(spark, folder):
@@ -67,7 +74,7 @@ def test_score(spark, landing):
     assert {r["crawled_at"] for r in result.rows.collect()} == {AT}
 
 
-def test_no_posts(spark, tmp_path):
+def test_no_posts(spark, tmp_path, load_nothing):
     folder = str(tmp_path)
     write_landing(spark, folder, {1: [77], 2: []})
     result = score_board(*tables(spark, folder), f"{folder}/out", load_nothing)
@@ -141,14 +148,19 @@ def test_stream_sends(spark, landing):
     assert sent == [5]
 
 
-def test_scratch_folder(spark, tmp_path):
-    local = scratch_folder(spark, "x")
-    assert local.startswith("/tmp/boardpulse-") and local != scratch_folder(spark, "x")
-    spark.conf.set("spark.checkpoint.dir", f"{tmp_path}/shared/")
-    try:
-        assert scratch_folder(spark, "x").startswith(f"{tmp_path}/shared/x-")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+def session(master, folder=None):
+    conf = SimpleNamespace(get=lambda key, default: folder or default)
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+
+def test_scratch_folder():
+    local = scratch_folder(session("local[2]"), "x")
+    assert local.startswith("/tmp/boardpulse-")
+    shared = session("yarn", "hdfs://x/y/")
+    assert scratch_folder(shared, "x").startswith("hdfs://x/y/x-")
+    assert scratch_folder(shared, "x") != scratch_folder(shared, "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_folder(session("yarn"), "x")
 
 
 def test_only_small_tables_are_spread(spark, tmp_path):
