@@ -20,10 +20,18 @@ _TAG = "<[/!?A-Za-z_:](?:[^=>]++|=\\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+>?"
 _TOKEN_START = "(?=<[/!?A-Za-z_:])"
 _END_OF_NAME = "(?=[\\s/>])"
 
-# What follows the "<" of a comment or of an element whose text is not shown.
+# What follows the "<" of a comment or of an element whose text is not shown. All
+# of them read the page forward only, so the time grows with its length.
 _COMMENT = "!--.*?(?:-->|\\z)"
-_RAW_ELEMENT = f"(?<raw>script|style){_END_OF_NAME}[^>]*+>.*?(?:</\\k<raw>\\s*+>|\\z)"
-_HIDDEN_ELEMENT = f"(?<hidden>template|rt|rp){_END_OF_NAME}[^>]*+>.*?</\\k<hidden>\\s*+>"
+_RAW_ELEMENT = (
+    f"(?<raw>script|style){_END_OF_NAME}[^>]*+(?:\\z|>.*?(?:</\\k<raw>\\s*+>|\\z))"
+)
+# Hidden elements may hold markup, but not an element of the same name. One that
+# is never closed is not hidden.
+_HIDDEN_ELEMENT = (
+    f"(?<hidden>template|rt|rp){_END_OF_NAME}"
+    f"[^>]*+(?:\\z|>(?:[^<]++|<(?!/?\\k<hidden>{_END_OF_NAME}))*+</\\k<hidden>\\s*+>)"
+)
 
 _NO_SOURCE = f"(?is)<(?:{_COMMENT}|{_RAW_ELEMENT})"
 _NO_HIDDEN = f"(?is)<{_HIDDEN_ELEMENT}"

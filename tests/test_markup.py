@@ -65,6 +65,29 @@ def test_broken_markup_is_not_text(spark):
     assert apply(spark, pages, visible_lines) == [["x"], ["x"], ["x"], ["x"], ["t"]]
 
 
+def test_unclosed_elements(spark):
+    pages = [
+        "a<rt>b<p>c",
+        "a<rt>b<rt>c</rt>d",
+        "a<template>b<i>c</i></template>d",
+        "a<ruby>b<rtc>c</rtc><RT>d</Rt></ruby>",
+        "a<rt ",
+        "a<style ",
+    ]
+    expected = [["a", "b", "c"], ["a", "b", "d"], ["a", "d"], ["a", "b", "c"], ["a"], ["a"]]
+    assert apply(spark, pages, visible_lines) == expected
+
+
+def test_long_broken_pages_take_linear_time(spark):
+    """Parts that repeat without an end would take hours by backtracking."""
+    parts = ["<rt>x", "<rt ", "<script ", "<!--", "<a href=", "<a href='", '<b c="', "&#", "&amp", "<a ", "=\"'", "<", "\n "]
+    pages = [part * 60_000 for part in parts]
+    found = apply(spark, pages, visible_lines)
+    assert len(found[0]) == 60_000
+    links = apply(spark, pages, lambda c: F.size(anchors(c)), "string")
+    assert links[4] == 60_000 and links[9] == 0
+
+
 def test_anchors(spark):
     html = """
       <a name="n">none</a> <!-- <a href="/no">no</a> --> <script>'<a href="/no">'</script>
