@@ -38,7 +38,7 @@ _NO_HIDDEN = f"(?is)<{_HIDDEN_ELEMENT}"
 _NOT_VISIBLE = f"(?is)<(?:{_COMMENT}|{_RAW_ELEMENT}|{_HIDDEN_ELEMENT})"
 
 _ANCHOR_START = f"(?i)(?=<a{_END_OF_NAME})"
-_ANCHOR_INNER = f"(?is)^{_TAG}((?:[^<]++|<(?!/a{_END_OF_NAME}))*+)"
+_ANCHOR_INNER = f"^{_TAG}((?:[^<]++|<(?!/[aA]{_END_OF_NAME}))*+)"
 # The attribute is looked for outside quoted values of earlier attributes.
 _HREF = (
     "(?is)^<a(?:(?!\\shref[\\s=/>])(?:[^\"'>]|\"[^\"]*+\"|'[^']*+'))*+"

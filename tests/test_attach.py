@@ -2,19 +2,18 @@ from collections import Counter
 
 import pytest
 
-from boardpulse.config import BoardConfig
+from boardpulse.config import ALLOWED_HOSTS, SITE_ORIGIN, BoardConfig
 from boardpulse.operators.attach import find_hot_urls, is_allowed_url, rejected_refs, usable_refs, wanted_pages
 from boardpulse.operators.posts import board_posts, parsed_pages
 from boardpulse.sources.landing import latest_pages
 from helpers import apply
 
-ORIGIN = "https://m.inven.co.kr"
 REFS = "board_id int, post_id bigint, url string, title string, category string, page_id bigint, pos int"
 PAGES = "url string, html string, fetched_at int"
 
 
 def url(n):
-    return f"{ORIGIN}/board/a/5558/{n}"
+    return f"{SITE_ORIGIN}/board/a/5558/{n}"
 
 
 @pytest.fixture(scope="module")
@@ -42,15 +41,15 @@ def rows_of(df):
 
 
 def test_hosts(spark):
-    urls = {
-        "https://m.inven.co.kr/x": True,
-        "https://www.inven.co.kr": True,
-        "https://inven.co.kr?x": True,
-        "https://M.inven.co.kr/x": False,
-        "https://m.inven.co.kr:443/x": False,
-        "https://m.inven.co.kr.other.org/x": False,
-        "https://u@m.inven.co.kr/x": False,
-        "javascript:m.inven.co.kr": False,
+    host = ALLOWED_HOSTS[0]
+    urls = {f"https://{name}/x": True for name in ALLOWED_HOSTS} | {
+        f"https://{host}": True,
+        f"https://{host}?x": True,
+        f"https://{host.upper()}/x": False,
+        f"https://{host}:443/x": False,
+        f"https://{host}.other.org/x": False,
+        f"https://u@{host}/x": False,
+        f"javascript:{host}": False,
     }
     assert apply(spark, list(urls), is_allowed_url) == list(urls.values())
 

@@ -3,7 +3,7 @@ from types import SimpleNamespace
 import pytest
 
 from boardpulse.checks.stand_in import load_stand_in
-from boardpulse.config import ScoringConfig
+from boardpulse.config import SITE_ORIGIN, ScoringConfig
 from boardpulse.operators.scoring import ANALYZED_COLUMNS
 from boardpulse.plans.jobs import collect_posts, run_counters, score_board, send_board
 from boardpulse.scratch import scratch_folder
@@ -11,7 +11,6 @@ from boardpulse.sinks.tables import write_table
 from boardpulse.sources.landing import LIST_PAGES, POST_PAGES, read_list_pages, read_post_pages, spread_small_table
 from boardpulse.streaming.landing import read_batches, score_new_pages
 
-ORIGIN = "https://m.inven.co.kr"
 AT = "2026-02-01T00:00:00+00:00"
 
 
@@ -24,7 +23,7 @@ def list_html(numbers):
 def write_landing(spark, folder, pages, mode="overwrite"):
     lists = [(5558, page, "u", list_html(numbers), None) for page, numbers in pages.items()]
     spark.createDataFrame(lists, LIST_PAGES).coalesce(1).write.mode(mode).parquet(f"{folder}/lists")
-    posts = [(f"{ORIGIN}/board/a/5558/{n}", f"<p>me<p>조회: 1<p>text {n}", None) for n in range(20)]
+    posts = [(f"{SITE_ORIGIN}/board/a/5558/{n}", f"<p>me<p>조회: 1<p>text {n}", None) for n in range(20)]
     spark.createDataFrame(posts, POST_PAGES).write.mode("overwrite").parquet(f"{folder}/posts")
 
 
@@ -51,7 +50,7 @@ def tables(spark, folder):
 def test_collect(spark, landing):
     result = collect_posts(*tables(spark, landing), f"{landing}/out")
     assert result.counters == {"refs": 6, "posts": 5}
-    assert [tuple(r) for r in result.rejects.collect()] == [(f"{ORIGIN}/board/a/5558/99", 99, "page_missing")]
+    assert [tuple(r) for r in result.rejects.collect()] == [(f"{SITE_ORIGIN}/board/a/5558/99", 99, "page_missing")]
     assert [r["page_id"] for r in result.quarantine.collect()] == [2]
     rows = result.rows.orderBy("page_id", "pos").collect()
     assert [(r["post_id"], r["title"], r["category"], r["author"]) for r in rows] == [
