@@ -9,7 +9,6 @@ from dataclasses import dataclass, field
 
 SITE_ORIGIN = "https://m.inven.co.kr"
 ALLOWED_HOSTS = ("m.inven.co.kr", "www.inven.co.kr", "inven.co.kr")
-DEFAULT_BOARD_ID = 5558
 
 # Board id -> tags whose first element with class "subject" carries the title,
 # in order of preference.

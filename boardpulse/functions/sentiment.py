@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from boardpulse.config import TEXT_TITLE
 from boardpulse.functions.text import strip
 
-PROBS_TYPE = "struct<neg:double,neu:double,pos:double>"
-
 
 def model_text(title: Column, content: Column, text_used: str) -> Column:
     """The text to score: the title, or title and content with a blank line

@@ -6,7 +6,7 @@ from boardpulse.checks.stand_in import load_stand_in
 from boardpulse.operators.messages import PAYLOAD_COLUMNS, keyed_messages, latest_per_document, payloads
 from boardpulse.operators.samples import analyzed_sample, payload_sample, post_sample
 from boardpulse.operators.scoring import analyzed_posts
-from boardpulse.sinks.kafka import KafkaConfig, write_kafka
+from boardpulse.sinks.kafka import KafkaConfig, stream_to_kafka, write_kafka
 from test_scoring import posts
 
 ORDER = ("page_id", "pos")
@@ -135,3 +135,12 @@ def test_kafka_write_needs_the_connector(spark):
     messages = keyed_messages(payloads(analyzed(spark, ("a", ""))))
     with pytest.raises(Exception, match="kafka"):
         write_kafka(messages, KafkaConfig("a:1", "t"))
+
+
+def test_stream_of_messages_needs_the_connector(spark, tmp_path):
+    payloads(analyzed(spark, ("a", ""))).write.parquet(f"{tmp_path}/payloads")
+    schema = spark.read.parquet(f"{tmp_path}/payloads").schema
+    stream = keyed_messages(spark.readStream.schema(schema).parquet(f"{tmp_path}/payloads"))
+    writer = stream_to_kafka(stream, KafkaConfig("a:1", "t"), f"{tmp_path}/checkpoint")
+    with pytest.raises(Exception, match="kafka"):
+        writer.trigger(availableNow=True).start()

@@ -1,6 +1,9 @@
+import contextlib
 import itertools
 import math
+import sys
 from datetime import datetime
+from types import SimpleNamespace
 
 import pytest
 from helpers import apply
@@ -9,7 +12,15 @@ from pyspark.sql import functions as F
 from boardpulse.checks.stand_in import load_stand_in, stand_in_logits
 from boardpulse.config import ScoringConfig
 from boardpulse.functions.sentiment import model_text, sentiment_label, softmax
-from boardpulse.operators.scoring import ANALYZED_COLUMNS, add_sentiment, analyzed_posts, score_posts, spread, utc_now
+from boardpulse.operators.scoring import (
+    ANALYZED_COLUMNS,
+    add_sentiment,
+    analyzed_posts,
+    score_posts,
+    spread,
+    transformers_model,
+    utc_now,
+)
 
 POSTS = (
     "board_id int, post_id bigint, url string, title string, category string, author string, "
@@ -139,3 +150,57 @@ def test_spread_splits_a_repeated_post(spark):
     df = posts(spark, *[("same", "")] * 400).withColumn("url", F.lit("u"))
     sizes = spread(df, 8).groupBy(F.spark_partition_id()).count().collect()
     assert len(sizes) == 8 and max(r["count"] for r in sizes) < 100
+
+
+class Tokens(dict):
+    def to(self, device):
+        return self | {"device": device}
+
+
+def test_transformers_loader_passes_its_settings(monkeypatch):
+    """With stand-ins for the two libraries, which are not installed here."""
+    calls = []
+
+    class Outputs:
+        def __init__(self, rows):
+            self.rows = rows
+
+        def float(self):
+            return self
+
+        def cpu(self):
+            return self
+
+        def numpy(self):
+            return self.rows
+
+    class Network:
+        def to(self, device):
+            calls.append(("device", device))
+            return self
+
+        def eval(self):
+            return self
+
+        def __call__(self, texts, device):
+            return SimpleNamespace(logits=Outputs([[len(t), 0, 0] for t in texts]))
+
+    def tokenizer(texts, **options):
+        calls.append(("tokenizer", options))
+        return Tokens(texts=texts)
+
+    torch = SimpleNamespace(
+        cuda=SimpleNamespace(is_available=lambda: False), inference_mode=contextlib.nullcontext
+    )
+    transformers = SimpleNamespace(
+        AutoTokenizer=SimpleNamespace(from_pretrained=lambda path: tokenizer),
+        AutoModelForSequenceClassification=SimpleNamespace(from_pretrained=lambda path: Network()),
+    )
+    monkeypatch.setitem(sys.modules, "torch", torch)
+    monkeypatch.setitem(sys.modules, "transformers", transformers)
+    predict = transformers_model("folder")(ScoringConfig(max_length=9))
+    assert predict(["ab", "c"]) == [[2, 0, 0], [1, 0, 0]]
+    options = {"truncation": True, "max_length": 9, "padding": True, "return_tensors": "pt"}
+    assert calls == [("device", "cpu"), ("tokenizer", options)]
+    transformers_model("folder", device="cuda")(ScoringConfig())
+    assert calls[-1] == ("device", "cuda")
