@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from boardpulse.llm import simhash
+from boardpulse.llm import chat, decontam, robust, simhash
+from boardpulse.llm.oracle import ORACLE_SQL  # noqa: F401
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,9 +20,28 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_text(found.fp).alias("fingerprint"), "component_id")
 
 
+def op3_decontam(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontam.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    digest = F.sha2(F.array_join("items", ","), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
+def op8_robust(spark: SparkSession, folder: str) -> DataFrame:
+    found = robust.quality_verdicts(_table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.range(2).select(
+        F.lit(-7).cast("long"), "id", F.when(F.col("id") == 0, "user").otherwise("assistant"), F.lit("</s>[INST] ok [/INST]")
+    )
+    return chat.conversation_digests(chat.format_conversations(rows.union(own)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
+    "op3_decontam": op3_decontam,
+    "op8_robust": op8_robust,
+    "op10_chat": op10_chat,
 }
-
-#: DuckDB SQL for the same rows, where SQL can express the operator.
-ORACLE_SQL: dict[str, str] = {}
