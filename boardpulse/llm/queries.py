@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardpulse.llm import chat, decontam, robust, simhash
+from boardpulse.llm import chat, decontam, html_main, piece_bpe, robust, simhash, simple8b
 from boardpulse.llm.oracle import ORACLE_SQL  # noqa: F401
 
 
@@ -26,6 +28,31 @@ def op3_decontam(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
+def _vocabulary(name: str) -> bytes:
+    """A file of the public tokenizers, for the tasks of a job."""
+    return Path(public_tokenizers.path(name)).read_bytes()
+
+
+def op5_simple8b(spark: SparkSession, folder: str) -> DataFrame:
+    return simple8b.id_digests(_table(spark, folder, "documents"), _vocabulary("byte_bpe_50k.json"))
+
+
+def op6_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_main.extracted(_table(spark, folder, "pages"))
+
+
+def op7_piece_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    proto = _vocabulary("piece_bpe_32k.model")
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    found = piece_bpe.with_text(piece_bpe.with_ids(documents, proto), proto)
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op8_robust(spark: SparkSession, folder: str) -> DataFrame:
     found = robust.quality_verdicts(_table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -42,6 +69,9 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_decontam": op3_decontam,
+    "op5_simple8b": op5_simple8b,
+    "op6_main_text": op6_main_text,
+    "op7_piece_bpe": op7_piece_bpe,
     "op8_robust": op8_robust,
     "op10_chat": op10_chat,
 }
