@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardpulse.llm import chat, decontam, html_main, piece_bpe, robust, simhash, simple8b
+from boardpulse.llm import chat, decontam, html_main, language, piece_bpe, quality_trees, robust, sentence_spans, simhash, simple8b
 from boardpulse.llm.oracle import ORACLE_SQL  # noqa: F401
 
 
@@ -17,6 +17,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_language(spark: SparkSession, folder: str) -> DataFrame:
+    found = language.document_languages(_table(spark, folder, "documents"))
+    return found.select("doc_id", "language", "probability", "accepted")
+
+
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_classes(_table(spark, folder, "documents"))
     return found.select("doc_id", simhash.fingerprint_text(found.fp).alias("fingerprint"), "component_id")
@@ -28,6 +33,13 @@ def op3_decontam(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
+def op4_sentence_spans(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    return sentence_spans.without_repeats(documents.select("doc_id", "text", F.char_length("text").alias("n_before"), "n_chars")).select(
+        "doc_id", "text", "n_chars", (F.coalesce("n_before", F.lit(0)) - F.coalesce("n_chars", F.lit(0))).alias("n_removed")
+    )
+
+
 def _vocabulary(name: str) -> bytes:
     """A file of the public tokenizers, for the tasks of a job."""
     return Path(public_tokenizers.path(name)).read_bytes()
@@ -58,6 +70,11 @@ def op8_robust(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op9_quality_trees(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    return quality_trees.scored(documents, quality_trees.learn(documents, _table(spark, folder, "labels")))
+
+
 def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     own = spark.range(2).select(
@@ -67,11 +84,14 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language": op1_language,
     "op2_simhash": op2_simhash,
     "op3_decontam": op3_decontam,
+    "op4_sentence_spans": op4_sentence_spans,
     "op5_simple8b": op5_simple8b,
     "op6_main_text": op6_main_text,
     "op7_piece_bpe": op7_piece_bpe,
     "op8_robust": op8_robust,
+    "op9_quality_trees": op9_quality_trees,
     "op10_chat": op10_chat,
 }
