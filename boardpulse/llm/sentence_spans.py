@@ -1,12 +1,12 @@
 """Substring dedup by sliding runs of sentences.
 
-A text is cut into sentences at full stops, other end marks, commas and line
-ends. From every sentence on, the shortest run of at least three sentences with
+A text is cut into sentences, or parts of long ones, at full stops, other marks,
+line ends and long words. From every sentence on, the shortest run of at least three sentences with
 at least 16 words together is hashed, in lower case and without regard to white
 space. Runs are joined over all documents by hash; every occurrence but the first
 (by document id, then by place) marks its sentences, and marked sentences are
-removed. A passage of over 50 words that repeats holds such a run unless a
-sentence in it is very long; what of it stands in no whole run stays.
+removed. A passage of over 50 words that repeats holds such a run unless it has
+hardly an end of a sentence; what of it stands in no whole run stays.
 
 The first occurrences come from a grouped minimum, combined before the shuffle.
 Occurrences are joined with the hashes found twice, so a passage that a third of
@@ -29,7 +29,8 @@ from boardpulse.llm.common import scratch_folder, stored
 
 #: A run has so many sentences and words at least.
 SENTENCES, WORDS = 3, 16
-_END = re.compile(r"[.!?;:,…。！？]+\s+|\n\s*")
+#: What ends a sentence. A word of ten letters does so too: long sentences are then cut alike wherever they stand.
+_END = re.compile(r"[.!?;:,…。！？|]+\s+|\n\s*|\w{10,}\s+")
 
 
 def sentences(text: str) -> list[str]:
