@@ -165,7 +165,14 @@ def post_pages(documents: DataFrame, events: DataFrame) -> DataFrame:
             page([views, minutes, votes], []),
         ],
     )
-    joined = documents.join(events, documents.doc_id == events.event_id)
+    # Each document has the event of its number; the other events give pages of their own, with one body line.
+    joined = events.join(documents, documents.doc_id == events.event_id, "left").withColumns(
+        {
+            "doc_id": F.col("event_id"),
+            "text": F.coalesce("text", F.col("event_type")),
+            "n_chars": F.coalesce("n_chars", F.lit(0).cast("bigint")),
+        }
+    )
     old = F.struct(F.lit("<p>old</p>").alias("html"), F.lit(OLD_FETCHED).cast("timestamp").alias("fetched_at"))
     new = F.struct(newest.alias("html"), F.lit(LIST_FETCHED).cast("timestamp").alias("fetched_at"))
     return joined.select(url_of(number).alias("url"), F.inline(F.array(old, new)))

@@ -98,7 +98,8 @@ PAGE_LINES = f"""
 docs AS (
   SELECT doc_id AS post, {board('doc_id')} AS post_board, event_id, user_id, n_chars, ts,
          list_filter([{strip('x')} FOR x IN string_split(text, {NL})], lambda x: x <> '') AS body
-  FROM documents JOIN events ON doc_id = event_id
+  FROM (SELECT event_id AS doc_id, event_id, user_id, coalesce(n_chars, 0) AS n_chars, ts, coalesce(text, event_type) AS text
+        FROM events LEFT JOIN documents ON doc_id = event_id)
 ),
 page_lines AS (
   SELECT post, {URL} AS url, CASE post % 4
@@ -144,7 +145,7 @@ BOARD_POSTS = f"""{REFS}, {PARSED},
 posts AS (
   SELECT board_id, post_id, r.url, title, category, author, created_at, content, page_id, pos
   FROM refs r JOIN parsed p ON r.post_id = p.post
-  WHERE pos < 30 AND post_id % 8 <> 4
+  WHERE post_id % 8 <> 4
 )"""
 
 # Documents as posts.
@@ -164,23 +165,66 @@ def model_text(both: bool) -> str:
     return f"concat_ws(chr(10) || chr(10), nullif({head}, ''), nullif({rest}, ''))"
 
 
+# Weights of hashed tokens per label, from the labelled documents.
+BLANKS = "[\\x09-\\x0D ]+"
+
+
+def bucket(token: str) -> str:
+    return f"CAST('0x' || substr(md5({token}), 1, 3) AS INTEGER)"
+
+
+def tokens(text: str) -> str:
+    return f"list_filter(regexp_split_to_array(lower({text}), '{BLANKS}'), lambda t: t <> '')"
+
+
+WEIGHTS = f"""
+labelled AS (
+  SELECT CASE WHEN quality = 0 THEN 'neg' WHEN toxic = 1 THEN 'neu' ELSE 'pos' END AS label,
+         unnest({tokens('text')}) AS token
+  FROM documents JOIN labels USING (doc_id)
+),
+token_counts AS (SELECT label, {bucket('token')} AS bucket, count(*) AS n FROM labelled GROUP BY ALL),
+shares AS (
+  SELECT l.label, b.range AS bucket, coalesce(n, 0) + 1.0::DOUBLE AS n
+  FROM range(4096) b CROSS JOIN (SELECT unnest(['neg', 'neu', 'pos']) AS label) l
+  LEFT JOIN token_counts c ON c.label = l.label AND c.bucket = b.range
+),
+logs AS (SELECT label, bucket, ln(n / sum(n) OVER (PARTITION BY label)) AS w FROM shares),
+weights AS (
+  SELECT bucket, label, CAST(round((w - avg(w) OVER (PARTITION BY bucket)) * 1000000) AS BIGINT) AS w FROM logs
+),
+wide AS (
+  SELECT bucket, sum(w) FILTER (WHERE label = 'neg') AS wa, sum(w) FILTER (WHERE label = 'neu') AS wb,
+         sum(w) FILTER (WHERE label = 'pos') AS wc
+  FROM weights GROUP BY bucket
+)"""
+
+
 def scored(source: str, text: str, floor: float = 0.0) -> str:
     """CTEs that add probabilities, score and label to ``source``."""
-    return f"""
+    return f"""{WEIGHTS},
+numbered AS (SELECT *, row_number() OVER () AS row_no FROM {source}),
+token_sums AS (
+  SELECT row_no, count(*) AS size, sum(wa) AS sa, sum(wb) AS sb, sum(wc) AS sc
+  FROM (SELECT row_no, unnest({tokens(text)}) AS token FROM numbered) t
+  JOIN wide ON wide.bucket = {bucket('token')} GROUP BY row_no
+),
 outputs AS (
-  SELECT *, {strip(f"coalesce({text}, '')")} = '' AS blank, CAST(length({text}) % 5 AS DOUBLE) AS a,
-         CAST((length({text}) - length(replace({text}, 'e', ''))) % 5 AS DOUBLE) AS b
-  FROM {source}
+  SELECT *, {strip(f"coalesce({text}, '')")} = '' AS blank,
+         coalesce(CAST(sa AS DOUBLE) / (size * 1000000) * 20, 0) AS a,
+         coalesce(CAST(sb AS DOUBLE) / (size * 1000000) * 20, 0) AS b,
+         coalesce(CAST(sc AS DOUBLE) / (size * 1000000) * 20, 0) AS c
+  FROM numbered LEFT JOIN token_sums USING (row_no)
 ),
 probs AS (
-  SELECT *, CASE WHEN blank THEN 0 ELSE exp(a) / (exp(a) + exp(b) + exp(2)) END AS neg,
-         CASE WHEN blank THEN 1 ELSE exp(b) / (exp(a) + exp(b) + exp(2)) END AS neu,
-         CASE WHEN blank THEN 0 ELSE exp(2) / (exp(a) + exp(b) + exp(2)) END AS pos_p
+  SELECT *, CASE WHEN blank THEN 0 ELSE exp(a) / (exp(a) + exp(b) + exp(c)) END AS neg,
+         CASE WHEN blank THEN 1 ELSE exp(b) / (exp(a) + exp(b) + exp(c)) END AS neu,
+         CASE WHEN blank THEN 0 ELSE exp(c) / (exp(a) + exp(b) + exp(c)) END AS pos_p
   FROM outputs
 ),
 scored AS (
   SELECT *, CASE WHEN blank OR greatest(neg, neu, pos_p) < {floor} THEN 'neu'
-                 WHEN 2 >= greatest(a, b) THEN 'pos' WHEN a >= greatest(b, 2) THEN 'neg'
+                 WHEN c >= greatest(a, b) THEN 'pos' WHEN a >= greatest(b, c) THEN 'neg'
                  ELSE 'neu' END AS sentiment_label,
          round(pos_p - neg, 6) AS sentiment_score, round(neg, 6) AS prob_neg,
          round(neu, 6) AS prob_neu, round(pos_p, 6) AS prob_pos
@@ -189,7 +233,7 @@ scored AS (
 
 
 SCORES = "sentiment_label, sentiment_score, prob_neg, prob_neu, prob_pos"
-VERSION = "'kcbert-finetuned-v1' AS model_version"
+VERSION = "'token-weights-1' AS model_version"
 BOTH = "'title+content' AS text_used"
 CRAWLED = "'2026-02-01T00:00:00.000000+00:00' AS crawled_at"
 
@@ -197,7 +241,8 @@ TEXTS = """
 texts AS (
   SELECT 'doc' AS kind, doc_id AS id, CAST(0 AS BIGINT) AS part, text FROM documents
   UNION ALL
-  SELECT 'turn', conv_id, turn, CASE WHEN turn % 3 = 2 THEN '  ' || chr(10) ELSE text END FROM conversations
+  SELECT 'turn', conv_id, turn, text FROM conversations
+  UNION ALL SELECT DISTINCT 'blank', conv_id, CAST(0 AS BIGINT), '  ' || chr(10) FROM conversations
 )"""
 
 DOC_SCORED = f"""{DOC_POSTS},
@@ -213,7 +258,16 @@ SELECT board_id, post_id, url, title, nullif(content, '') AS content, author, cr
        {SCORES}, {VERSION}, {BOTH}, page_id, pos
 FROM scored"""
 
-PAYLOAD = f"""'5558:' || post_id AS doc_id, board_id, post_id, title, url, {SCORES}, {BOTH}, {VERSION}"""
+PAYLOAD_REST = f"board_id, post_id, title, url, {SCORES}, {BOTH}, {VERSION}"
+PAYLOAD = f"'5558:' || post_id AS doc_id, {PAYLOAD_REST}"
+
+REASONS = f"""WITH {REFS}
+SELECT 'reject' AS kind, url AS what, post_id AS id,
+       CASE WHEN post_id % 8 = 4 THEN 'host_not_allowed' ELSE 'page_missing' END AS reason
+FROM refs WHERE post_id % 8 = 4 OR post_id NOT IN (SELECT event_id FROM events)
+UNION ALL
+SELECT DISTINCT 'quarantine', CAST(board AS VARCHAR), page_id, NULL FROM links
+WHERE page_id NOT IN (SELECT page_id FROM refs)"""
 
 # Anchors of the table "pages": the source is cut before each anchor, after
 # comments, scripts and styles are gone. Their links are simple.
@@ -241,7 +295,7 @@ paths AS (
   FROM all_links
 )"""
 
-ENTITIES = (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " "))
+ENTITIES = (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " "))
 
 
 def decoded(text: str) -> str:
@@ -275,14 +329,15 @@ SELECT page_id, CAST(i AS INTEGER) AS i, path, regexp_extract(url, '^https?://([
 FROM paths""",
     "post_ids": f"""WITH {ALL_LINKS}
 SELECT page_id, CAST(i AS INTEGER) AS i,
-       TRY_CAST(nullif(regexp_extract(path, '/board/[^/]+/5558/([0-9]+)', 1), '') AS BIGINT) AS post_id
+       TRY_CAST(nullif(regexp_extract(path, '/board/[^/]+/' || ({board('page_id')}) || '/([0-9]+)', 1), '') AS BIGINT) AS post_id
 FROM paths""",
     "list_titles": f"""WITH {ANCHORS}
 SELECT CAST(board AS INTEGER) AS board_id, page_id, CAST(place AS INTEGER) AS pos, title_raw FROM anchors""",
     "split_category": f"""WITH raw AS (
-  SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN '[' || source || ']' ELSE '[' || lang || ']  ' END
-                 || string_split(text, {NL})[1] AS title_raw FROM documents)
-SELECT doc_id, {category('title_raw')} AS category, {title('title_raw')} AS title FROM raw""",
+  SELECT doc_id, i, CASE WHEN doc_id % 2 = 0 THEN '[' || source || ']' ELSE '[' || lang || ']  ' END || line AS title_raw
+  FROM (SELECT doc_id, source, lang, unnest(string_split(text, {NL})) AS line,
+               unnest(range(len(string_split(text, {NL})))) AS i FROM documents))
+SELECT doc_id, CAST(i AS INTEGER) AS i, {category('title_raw')} AS category, {title('title_raw')} AS title FROM raw""",
     "board_refs": f"WITH {REFS} SELECT * FROM refs",
     "refs_capped": f"WITH {REFS} SELECT * FROM refs WHERE pos < 30",
     "list_quarantine": f"""WITH {REFS}
@@ -295,7 +350,7 @@ SELECT page_id, CAST(unnest(range(len(lines))) AS INTEGER) AS pos, unnest(lines)
     "post_fields_seconds": f"WITH {parsed('(?::[0-9]{2})?')} SELECT url, created_at, author, content FROM parsed",
     "ref_rejects": f"""WITH {REFS}
 SELECT url, post_id, CASE WHEN post_id % 8 = 4 THEN 'host_not_allowed' ELSE 'page_missing' END AS reason
-FROM refs WHERE post_id % 8 = 4 OR post_id NOT IN (SELECT doc_id FROM documents JOIN events ON doc_id = event_id)""",
+FROM refs WHERE post_id % 8 = 4 OR post_id NOT IN (SELECT event_id FROM events)""",
     "board_posts": f"WITH {BOARD_POSTS} SELECT * FROM posts",
     "board_posts_hot": f"WITH {BOARD_POSTS} SELECT * FROM posts",
     "model_text_title": f"WITH {DOC_POSTS} SELECT post_id, {model_text(False)} AS model_text FROM doc_posts",
@@ -319,13 +374,15 @@ FROM scored ORDER BY page_id LIMIT 10""",
     "payload_sample": f"WITH {DOC_SCORED} SELECT {PAYLOAD} FROM scored ORDER BY page_id LIMIT 3",
     "latest_per_document": f"""WITH {DOC_SCORED}
 SELECT '5558:' || post_id AS doc_id,
-       CASE WHEN author = 'src1' THEN '2026-01-01T00:00:00.000000+00:00'
-            ELSE '2026-02-01T00:00:00.000000+00:00' END AS crawled_at, sentiment_label
+       {CRAWLED}, page_id + 1 AS page_id, 'neu' AS sentiment_label
 FROM scored""",
     "collect_posts_job": f"WITH {BOARD_POSTS} SELECT * FROM posts",
     "score_board_job": BOARD_ANALYZED,
     "run_counters": f"""WITH {BOARD_POSTS}
-SELECT 'refs' AS stage, count(*) AS rows FROM refs WHERE pos < 30
+SELECT 'refs' AS stage, count(*) AS rows FROM refs
 UNION ALL SELECT unnest(['posts', 'analyzed', 'sent']), count(*) FROM posts""",
+    "sent_messages": f"WITH {BOARD_SCORED} SELECT board_id || ':' || post_id AS key, board_id || ':' || post_id AS doc_id, {PAYLOAD_REST} FROM scored",
+    "collect_posts_reasons": REASONS,
+    "score_board_reasons": REASONS,
     "once_stream": BOARD_ANALYZED,
 }

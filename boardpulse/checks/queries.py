@@ -8,21 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boardpulse.checks.inputs import (
+    board_of,
     document_links,
     document_posts,
     list_pages,
     post_pages,
     table,
 )
-from boardpulse.checks.stand_in import load_stand_in, stand_in_logits
-from boardpulse.config import SITE_ORIGIN, TEXT_TITLE, TEXT_TITLE_CONTENT, BoardConfig, ScoringConfig
+from boardpulse.config import PAYLOAD_COLUMNS, SITE_ORIGIN, TEXT_TITLE, TEXT_TITLE_CONTENT, BoardConfig, ScoringConfig
 from boardpulse.functions.markup import anchors, visible_lines
 from boardpulse.functions.sentiment import model_text
-from boardpulse.functions.text import split_category, strip
+from boardpulse.functions.text import split_category
 from boardpulse.functions.urls import absolute_url, clean_url, split_url, url_authority, url_path
-from boardpulse.operators.attach import find_hot_urls, is_allowed_url, rejected_refs, usable_refs
-from boardpulse.operators.messages import PAYLOAD_COLUMNS, keyed_messages, latest_per_document, payloads
-from boardpulse.operators.posts import board_posts, parsed_pages
+from boardpulse.operators.attach import is_allowed_url
+from boardpulse.operators.messages import keyed_messages, latest_per_document, payloads
+from boardpulse.operators.posts import board_posts, parsed_pages, rejected_refs
 from boardpulse.operators.refs import (
     board_refs,
     is_disallowed,
@@ -32,17 +32,18 @@ from boardpulse.operators.refs import (
     unparsable_pages,
 )
 from boardpulse.operators.samples import analyzed_sample, payload_sample, post_sample
-from boardpulse.operators.scoring import add_sentiment, analyzed_posts, score_posts
-from boardpulse.plans.jobs import ORDER, collect_posts, run_counters, score_board, send_board
-from boardpulse.scratch import scratch_folder
-from boardpulse.sinks.tables import stored, write_table
-from boardpulse.sources.landing import latest_pages, spread_small_table
+from boardpulse.operators.scoring import Scorer, add_sentiment, analyzed_posts, score_posts
+from boardpulse.plans.jobs import ORDER, JobResult, collect_posts, run_counters, score_board, send_board
+from boardpulse.operators.weights import learn_weights
+from boardpulse.sinks.tables import run_folder, stored, write_table
+from boardpulse.sources.landing import latest_rows, write_post_pages
 from boardpulse.streaming.landing import read_batches, score_new_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-ALL_REFS = BoardConfig(max_posts=2**31 - 1)
-BOTH_TEXTS = ScoringConfig(text_used=TEXT_TITLE_CONTENT)
+MODEL = "token-weights-1"
+TITLES = ScoringConfig(MODEL)
+BOTH_TEXTS = ScoringConfig(MODEL, text_used=TEXT_TITLE_CONTENT)
 CRAWLED_AT = "2026-02-01T00:00:00.000000+00:00"
 EARLIER = "2026-01-01T00:00:00.000000+00:00"
 
@@ -60,11 +61,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return list_pages(spread_small_table(_documents(spark, sf_dir), "doc_id"))
+    return list_pages(_documents(spark, sf_dir))
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_small_table(table(spark, sf_dir, "pages"), "page_id")
+    return table(spark, sf_dir, "pages")
 
 
 def _posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +80,7 @@ def q_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_resolved_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = document_links(spread_small_table(_documents(spark, sf_dir), "doc_id"))
+    made = document_links(_documents(spark, sf_dir))
     found = q_page_links(spark, sf_dir).withColumnRenamed("pos", "i")
     links = made.unionByName(found).withColumn("parts", split_url(F.col("href"), clean_url(F.col("href"))))
     return links.select("page_id", "i", "href", absolute_url(F.col("parts"), SITE_ORIGIN).alias("url"))
@@ -101,7 +102,7 @@ def q_allowed_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_post_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    digits = post_digits(F.col("path"), F.lit(5558))
+    digits = post_digits(F.col("path"), board_of(F.col("page_id")))
     return _urls(spark, sf_dir).select(
         "page_id", "i", F.nullif(digits, F.lit("")).try_cast("bigint").alias("post_id")
     )
@@ -111,27 +112,27 @@ def q_list_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = _lists(spark, sf_dir).select(
         "board_id", "page_id", F.posexplode(anchors(F.col("html"))).alias("pos", "a")
     )
-    title = list_title(F.col("a.inner"), F.col("board_id"), ALL_REFS.layouts)
+    title = list_title(F.col("a.inner"), F.col("board_id"), BoardConfig().layouts)
     return links.select("board_id", "page_id", "pos", title.alias("title_raw"))
 
 
 def q_split_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = F.substring_index("text", "\n", 1)
-    raw = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("["), "source", F.lit("]"), first)).otherwise(
-        F.concat(F.lit("["), "lang", F.lit("]  "), first)
+    """Each line of each document, with its source or language in brackets before it."""
+    raw = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("["), "source", F.lit("]"), "line")).otherwise(
+        F.concat(F.lit("["), "lang", F.lit("]  "), "line")
     )
-    docs = _documents(spark, sf_dir).select("doc_id", raw.alias("title_raw"))
-    return docs.withColumn("parts", split_category(F.col("title_raw"))).select(
-        "doc_id", "parts.category", "parts.title"
+    lines = _documents(spark, sf_dir).select(
+        "doc_id", "source", "lang", F.posexplode(F.split("text", "\n")).alias("i", "line")
     )
+    return lines.withColumn("parts", split_category(raw)).select("doc_id", "i", "parts.category", "parts.title")
 
 
 def q_board_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return board_refs(_lists(spark, sf_dir), ALL_REFS)
+    return board_refs(_lists(spark, sf_dir))
 
 
 def q_refs_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return board_refs(_lists(spark, sf_dir))
+    return board_refs(_lists(spark, sf_dir), BoardConfig(max_posts=30))
 
 
 def q_list_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,8 +145,8 @@ def q_list_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_latest_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    newest = latest_pages(_posts(spark, sf_dir))
-    return newest.select("url", F.contains("html", F.lit("old</p>")).alias("is_old"))
+    marked = _posts(spark, sf_dir).withColumn("is_old", F.contains("html", F.lit("old</p>"))).drop("html")
+    return latest_rows(marked, ["is_old"])
 
 
 def q_visible_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,24 +162,22 @@ def q_post_fields_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed_pages(_posts(spark, sf_dir), BoardConfig(created_at_seconds=True))
 
 
-def _stored_refs(spark: SparkSession, sf_dir: str, config: BoardConfig) -> DataFrame:
-    """References stored first, as the jobs do, for queries that use them twice."""
-    return stored(board_refs(_lists(spark, sf_dir), config), scratch_folder(spark, "refs"))
+def _stored_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """References stored first, as the jobs do, as a lookup reads them several times."""
+    return stored(board_refs(_lists(spark, sf_dir)), run_folder(spark, "refs"))
 
 
 def q_ref_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rejected_refs(_stored_refs(spark, sf_dir, ALL_REFS), _posts(spark, sf_dir))
+    return rejected_refs(_stored_refs(spark, sf_dir), _posts(spark, sf_dir))
 
 
 def q_board_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return board_posts(q_refs_capped(spark, sf_dir), _posts(spark, sf_dir))
+    return board_posts(_stored_refs(spark, sf_dir), _posts(spark, sf_dir))
 
 
 def q_board_posts_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same lookup with the pinned post split over many tasks."""
-    refs = _stored_refs(spark, sf_dir, BoardConfig())
-    hot = find_hot_urls(usable_refs(refs), rows_per_salt=50)
-    return board_posts(refs, _posts(spark, sf_dir), hot=hot)
+    return board_posts(_stored_refs(spark, sf_dir), _posts(spark, sf_dir), rows_per_salt=50)
 
 
 # --- sentiment --------------------------------------------------------------
@@ -198,8 +197,15 @@ def q_model_text_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _model_text(spark, sf_dir, TEXT_TITLE_CONTENT)
 
 
+def _scorer(spark: SparkSession, sf_dir: str) -> Scorer:
+    """Weights learnt from all labelled documents: bad ones against toxic and other good ones."""
+    label = F.when(F.col("quality") == 0, "neg").when(F.col("toxic") == 1, "neu").otherwise("pos")
+    labels = table(spark, sf_dir, "labels").select("doc_id", label.alias("label"))
+    return learn_weights(_documents(spark, sf_dir).join(labels, "doc_id")).logits
+
+
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents and turns of conversations; every third turn is made blank."""
+    """Documents, turns of conversations, and a blank text for each conversation."""
     documents = _documents(spark, sf_dir).select(
         F.lit("doc").alias("kind"), F.col("doc_id").alias("id"), F.lit(0).cast("bigint").alias("part"), "text"
     )
@@ -207,9 +213,11 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("turn").alias("kind"),
         F.col("conv_id").alias("id"),
         F.col("turn").alias("part"),
-        F.when(F.col("turn") % 3 == 2, F.lit("  \n")).otherwise(F.col("text")).alias("text"),
+        "text",
     )
-    return documents.unionByName(talk).withColumn("logits", stand_in_logits(F.col("text")))
+    blank = talk.select(F.lit("blank").alias("kind"), "id").distinct().select("kind", "id", F.lit(0).cast("bigint").alias("part"), F.lit("  \n").alias("text"))
+    scorer = _scorer(spark, sf_dir)
+    return documents.unionByName(talk).unionByName(blank).withColumn("logits", scorer(F.col("text")))
 
 
 def q_sentiment_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,7 +229,7 @@ def q_sentiment_neutral_floor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_batch_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = score_posts(document_posts(_documents(spark, sf_dir)), load_stand_in, BOTH_TEXTS)
+    scored = score_posts(document_posts(_documents(spark, sf_dir)), _scorer(spark, sf_dir), BOTH_TEXTS)
     return flat_probs(scored).select(
         "post_id", "sentiment_label", "sentiment_score", "prob_neg", "prob_neu", "prob_pos"
     )
@@ -229,7 +237,7 @@ def q_batch_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _analyzed(spark: SparkSession, sf_dir: str, crawled_at: str = CRAWLED_AT) -> DataFrame:
     posts = document_posts(_documents(spark, sf_dir))
-    return analyzed_posts(posts, load_stand_in, BOTH_TEXTS, crawled_at, keep=ORDER)
+    return analyzed_posts(posts, _scorer(spark, sf_dir), BOTH_TEXTS, crawled_at, keep=ORDER)
 
 
 def q_analyzed_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,61 +272,91 @@ def q_payload_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_latest_per_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs over the documents; the later one does not have them all."""
-    later = _analyzed(spark, sf_dir).where(strip("author") != "src1")
-    both = _analyzed(spark, sf_dir, EARLIER).unionByName(later)
-    return flat_probs(latest_per_document(both)).select("doc_id", "crawled_at", "sentiment_label")
+    """Two runs over all documents, the later one with each of them on two pages."""
+    later = _analyzed(spark, sf_dir)
+    again = later.withColumn("page_id", F.col("page_id") + 1).withColumn("sentiment_label", F.lit("neu"))
+    both = _analyzed(spark, sf_dir, EARLIER).unionByName(later).unionByName(again)
+    return latest_per_document(both, ["sentiment_label"]).select("doc_id", "crawled_at", "page_id", "sentiment_label")
 
 
 # --- jobs -------------------------------------------------------------------
 
 
-def q_collect_posts_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = scratch_folder(spark, "collect")
-    return collect_posts(_lists(spark, sf_dir), _posts(spark, sf_dir), out).rows
+def _reasons(result: JobResult) -> DataFrame:
+    """Rejects and quarantine of a job in one table: (kind, what, id, reason)."""
+    rejects = result.rejects.select(F.lit("reject").alias("kind"), F.col("url").alias("what"), F.col("post_id").alias("id"), "reason")
+    if result.quarantine is None:
+        return rejects
+    kept = result.quarantine.select(
+        F.lit("quarantine"), F.col("board_id").cast("string"), "page_id", F.md5("html").alias("reason")
+    )
+    return rejects.union(kept)
 
 
-def q_score_board_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = score_board(
-        _lists(spark, sf_dir),
-        _posts(spark, sf_dir),
-        scratch_folder(spark, "score"),
-        load_stand_in,
-        scoring=BOTH_TEXTS,
-        crawled_at=CRAWLED_AT,
-    )
-    return flat_probs(result.rows)
+def _collected(spark: SparkSession, sf_dir: str) -> JobResult:
+    return collect_posts(_lists(spark, sf_dir), _posts(spark, sf_dir), run_folder(spark, "collect"))
 
 
-def q_run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The job that sends, with a table in place of the topic; its counters."""
-    out = scratch_folder(spark, "send")
+def _scored(spark: SparkSession, sf_dir: str) -> JobResult:
+    scorer = _scorer(spark, sf_dir)
+    out = run_folder(spark, "score")
+    return score_board(_lists(spark, sf_dir), _posts(spark, sf_dir), out, scorer, BOTH_TEXTS, crawled_at=CRAWLED_AT)
+
+
+def _sent(spark: SparkSession, sf_dir: str, scoring: ScoringConfig) -> tuple[JobResult, str]:
+    """The job that sends, with a table in place of the topic."""
+    out = run_folder(spark, "send")
     result = send_board(
         _lists(spark, sf_dir),
         _posts(spark, sf_dir),
         out,
-        load_stand_in,
+        _scorer(spark, sf_dir),
+        scoring,
         send=lambda messages: write_table(messages, f"{out}/messages"),
         crawled_at=CRAWLED_AT,
     )
-    return run_counters(spark, result.counters)
+    return result, f"{out}/messages"
+
+
+def q_collect_posts_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _collected(spark, sf_dir).rows
+
+
+def q_collect_posts_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _reasons(_collected(spark, sf_dir)).withColumn("reason", F.when(F.col("kind") == "reject", F.col("reason")))
+
+
+def q_score_board_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat_probs(_scored(spark, sf_dir).rows)
+
+
+def q_score_board_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _reasons(_scored(spark, sf_dir)).withColumn("reason", F.when(F.col("kind") == "reject", F.col("reason")))
+
+
+def q_run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_counters(spark, _sent(spark, sf_dir, TITLES)[0].counters)
+
+
+def q_sent_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the sending job delivers: keys, and the values opened again."""
+    result, place = _sent(spark, sf_dir, BOTH_TEXTS)
+    return _opened(spark.read.parquet(place), result.rows)
 
 
 def q_once_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = scratch_folder(spark, "landing")
+    """Three batches of list pages over a bucketed store; a fifth of the post pages comes after the first batch."""
+    folder = run_folder(spark, "landing")
     lists, posts, out = f"{folder}/list_pages", f"{folder}/post_pages", f"{folder}/out"
-    write_table(_lists(spark, sf_dir), lists)
-    write_table(_posts(spark, sf_dir), posts)
-    score_new_pages(
-        spark,
-        lists,
-        posts,
-        out,
-        f"{folder}/checkpoint",
-        load_stand_in,
-        scoring=BOTH_TEXTS,
-        crawled_at=CRAWLED_AT,
-    ).awaitTermination()
+    every, scorer = _lists(spark, sf_dir), _scorer(spark, sf_dir)
+    pages = stored(_posts(spark, sf_dir), f"{folder}/pages")
+    late = F.crc32("url") % 5 == 0
+    for batch, new in enumerate((~late, late, F.lit(False))):
+        every.where(F.col("page_id") % 3 == batch).write.mode("append").parquet(lists)
+        write_post_pages(pages.where(new), posts)
+        score_new_pages(
+            spark, lists, posts, out, f"{folder}/checkpoint", scorer, BOTH_TEXTS, crawled_at=CRAWLED_AT
+        ).awaitTermination()
     return flat_probs(read_batches(spark, out, "analyzed").drop("batch"))
 
 

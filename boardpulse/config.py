@@ -37,6 +37,44 @@ PREVIEW_MARK = "…"
 
 LABELS = ("neg", "neu", "pos")  # order of the model's outputs
 
+# Which text of a post is scored.
+TEXT_TITLE = "title"
+TEXT_TITLE_CONTENT = "title+content"
+
+# Columns of the result tables.
+ANALYZED_COLUMNS = (
+    "board_id",
+    "post_id",
+    "url",
+    "title",
+    "content",
+    "author",
+    "created_at",
+    "crawled_at",
+    "sentiment_label",
+    "sentiment_score",
+    "sentiment_probs",
+    "model_version",
+    "text_used",
+)
+PAYLOAD_COLUMNS = (
+    "doc_id",
+    "board_id",
+    "post_id",
+    "title",
+    "url",
+    "sentiment_label",
+    "sentiment_score",
+    "sentiment_probs",
+    "text_used",
+    "model_version",
+)
+
+# Date and time of a post: day and minutes, and what may follow.
+DATE_PATTERN = r"20\d{2}-\d{2}-\d{2}"
+MINUTES_PATTERN = r"\d{2}:\d{2}"
+SECONDS_PATTERN = r":\d{2}"
+
 # --- Layout helpers ---------------------------------------------------------
 
 # Pseudo tag for boards whose anchors hold the title as plain text.
@@ -50,32 +88,28 @@ class BoardConfig:
     origin: str = SITE_ORIGIN
     allowed_hosts: tuple[str, ...] = ALLOWED_HOSTS
     layouts: dict[int, tuple[str, ...]] = field(default_factory=lambda: dict(BOARD_LAYOUTS))
-    max_posts: int = 30
+    max_posts: int | None = None  # references per list page; all if not given
     created_at_seconds: bool = False
 
     def __post_init__(self) -> None:
-        if self.max_posts < 0:
-            raise ValueError("max_posts must be >= 0")
-
+        if self.max_posts is not None and self.max_posts < 0:
+            raise ValueError("the cap of a list page cannot be negative")
 
-TEXT_TITLE = "title"
-TEXT_TITLE_CONTENT = "title+content"
 
 
 @dataclass(frozen=True)
 class ScoringConfig:
     """How posts are scored."""
 
-    model_version: str = "kcbert-finetuned-v1"
+    model_version: str
     text_used: str = TEXT_TITLE
     batch_size: int = 16
-    max_length: int = 256
     neutral_floor: float = 0.0
 
     def __post_init__(self) -> None:
         if self.text_used not in (TEXT_TITLE, TEXT_TITLE_CONTENT):
-            raise ValueError(f"text_used must be '{TEXT_TITLE}' or '{TEXT_TITLE_CONTENT}'")
+            raise ValueError(f"unknown choice of text: {self.text_used}")
         if self.batch_size <= 0:
-            raise ValueError("batch_size must be > 0")
-        if self.max_length <= 0:
-            raise ValueError("max_length must be > 0")
+            raise ValueError("a batch holds one text at least")
+        if not 0 <= self.neutral_floor <= 1:
+            raise ValueError("the floor of a neutral label is a probability")

@@ -1,17 +1,14 @@
-"""References and post pages: host check, lookup by URL, rejects.
+"""References and post pages: host check, lookup by URL, reasons of rejection.
 
-The lookup is an equi-join on the URL. A pinned post may be linked from every
-list page, so one URL can hold a large share of the references. Such URLs are
-found first (see :func:`find_hot_urls`) and joined on (url, salt), with their
-few pages repeated per salt; all other URLs take the plain join. The two
-results together are the whole join. Without hot URLs the plan is the plain
-join alone.
+The lookup is one left join on the URL, which gives posts and rejects alike. A
+pinned post may be linked from every list page, so one URL can hold a large share
+of the references. Such URLs are counted first and joined on (url, salt), their
+page being repeated once per salt; every other URL has the one salt 0. There is
+one plan for all sizes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,14 +19,10 @@ HOST_NOT_ALLOWED = "host_not_allowed"
 BAD_POST_ID = "bad_post_id"
 PAGE_MISSING = "page_missing"
 
-# A URL is hot from this many references on; a salt serves this many.
-ROWS_PER_SALT = 100_000
-# At most this many URLs are treated as hot, which bounds the broadcast list.
-# Hot URLs beyond it are still joined, by the plain join.
-MAX_HOT_URLS = 1_000
-
-# URLs of references are broadcast to filter the pages up to this many bytes.
-MAX_BROADCAST_BYTES = 32 * 2**20
+# A salt serves at least this many references of a URL, ...
+LEAST_ROWS_PER_SALT = 100_000
+# ... and so many that no more URLs than this can need several: their list is broadcast.
+MOST_HOT_URLS = 10_000
 
 
 def is_allowed_url(url: Column, config: BoardConfig = BoardConfig()) -> Column:
@@ -44,88 +37,31 @@ def refused_reason(config: BoardConfig = BoardConfig()) -> Column:
     )
 
 
-def usable_refs(refs: DataFrame, config: BoardConfig = BoardConfig()) -> DataFrame:
-    """References whose page may be looked up."""
-    return refs.where(refused_reason(config).isNull())
-
-
-def find_hot_urls(
-    refs: DataFrame, rows_per_salt: int = ROWS_PER_SALT, limit: int = MAX_HOT_URLS
-) -> dict[str, int]:
-    """URLs with more than ``rows_per_salt`` references, and their salts.
-
-    Runs one aggregation; only the ``limit`` largest URLs reach the driver.
-    """
-    counts = refs.groupBy("url").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.where(F.col("n") > rows_per_salt).orderBy(F.desc("n"), "url").limit(limit)
-    return {row["url"]: -(-row["n"] // rows_per_salt) for row in top.collect()}
-
-
-def wanted_pages(post_pages: DataFrame, refs: DataFrame, url_bytes: int) -> DataFrame:
-    """Snapshots of the URLs that are referenced at all, if the references are
-    few; else all snapshots, as the lookup drops the others anyway.
-
-    ``url_bytes`` is the measured size of all URLs in ``refs``. A small run over
-    a large store then shuffles only the pages it needs.
-    """
-    if url_bytes > MAX_BROADCAST_BYTES:
-        return post_pages
-    return post_pages.join(F.broadcast(refs.select("url").distinct()), "url", "left_semi")
+def hot_urls(refs: DataFrame, rows_per_salt: int) -> DataFrame:
+    """(url, salts) of the URLs with more than ``rows_per_salt`` references."""
+    counts = refs.groupBy("url").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > rows_per_salt)
+    return counts.select("url", F.ceil(F.col("n") / rows_per_salt).cast("int").alias("salts"))
 
 
-def join_on_url(
-    refs: DataFrame,
-    post_pages: DataFrame,
-    prepare: Callable[[DataFrame], DataFrame],
-    how: str,
-    hot: dict[str, int] | None = None,
+def with_pages(
+    refs: DataFrame, pages: DataFrame, config: BoardConfig = BoardConfig(), rows_per_salt: int | None = None
 ) -> DataFrame:
-    """Join references (left) with ``prepare(post_pages)``, one row per URL.
+    """References with the columns of ``pages(url, ...)``, a row per URL, and ``reason``.
 
-    ``how`` is a join type that keeps left rows only as matched: inner,
-    left_semi or left_anti. For hot URLs only their own pages are prepared, and
-    the filter on the URL reaches the scan.
+    ``reason`` is NULL where the reference may be used and its page is there. A
+    reference listed twice gives two rows. The references are read three times:
+    to count them, to find hot URLs, and to join; pass a stored table.
     """
-    if not hot:
-        return refs.join(prepare(post_pages), "url", how)
-    salts = refs.sparkSession.createDataFrame(list(hot.items()), "url string, salts int")
-    salts = F.broadcast(salts)  # at most MAX_HOT_URLS rows
-    plain = refs.join(salts, "url", "left_anti").join(prepare(post_pages), "url", how)
-
+    if rows_per_salt is None:
+        rows_per_salt = max(LEAST_ROWS_PER_SALT, -(-refs.count() // MOST_HOT_URLS))
+        hot = F.broadcast(hot_urls(refs, rows_per_salt))  # at most MOST_HOT_URLS rows
+    else:
+        hot = hot_urls(refs, rows_per_salt)
+    salts = F.coalesce("salts", F.lit(1))
     row = F.xxhash64(*[F.col(c) for c in refs.columns])
-    salted_refs = refs.join(salts, "url").withColumn("salt", F.pmod(row, F.col("salts")).cast("int"))
-    hot_pages = prepare(post_pages.where(F.col("url").isin(*hot))).join(salts, "url")
-    each_salt = F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
-    salted_pages = hot_pages.withColumn("salt", each_salt).drop("salts")
-    salted = salted_refs.drop("salts").join(salted_pages, ["url", "salt"], how).drop("salt")
-    return plain.unionByName(salted)
-
-
-def attach_pages(
-    refs: DataFrame,
-    post_pages: DataFrame,
-    prepare: Callable[[DataFrame], DataFrame],
-    config: BoardConfig = BoardConfig(),
-    hot: dict[str, int] | None = None,
-) -> DataFrame:
-    """Usable references with the columns of their page, which ``prepare`` makes
-    from its snapshots. A reference listed twice gives two rows."""
-    return join_on_url(usable_refs(refs, config), post_pages, prepare, "inner", hot)
-
-
-def rejected_refs(
-    refs: DataFrame,
-    post_pages: DataFrame,
-    config: BoardConfig = BoardConfig(),
-    hot: dict[str, int] | None = None,
-) -> DataFrame:
-    """References that give no post: (url, post_id, reason).
-
-    Only URLs are compared, so the pages' HTML is not read.
-    """
-    narrow = refs.select("url", "post_id", "page_id", "pos")
-    refused = narrow.withColumn("reason", refused_reason(config)).where("reason IS NOT NULL")
-    missing = join_on_url(
-        usable_refs(narrow, config), post_pages, lambda p: p.select("url").distinct(), "left_anti", hot
-    ).withColumn("reason", F.lit(PAGE_MISSING))
-    return refused.unionByName(missing).select("url", "post_id", "reason")
+    keyed = refs.join(hot, "url", "left").withColumn("salt", F.pmod(row, salts).cast("int")).drop("salts")
+    each = F.explode(F.sequence(F.lit(0), salts - 1))
+    repeated = pages.join(hot, "url", "left").withColumn("salt", each).drop("salts").withColumn("found", F.lit(True))
+    missing = F.when(F.col("found").isNull(), F.lit(PAGE_MISSING))
+    joined = keyed.join(repeated, ["url", "salt"], "left")
+    return joined.withColumn("reason", F.coalesce(refused_reason(config), missing)).drop("salt", "found")

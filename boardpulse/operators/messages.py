@@ -7,20 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from boardpulse.config import PAYLOAD_COLUMNS
 from boardpulse.functions.text import strip
 
-PAYLOAD_COLUMNS = (
-    "doc_id",
-    "board_id",
-    "post_id",
-    "title",
-    "url",
-    "sentiment_label",
-    "sentiment_score",
-    "sentiment_probs",
-    "text_used",
-    "model_version",
-)
 
 
 def with_doc_id(df: DataFrame) -> DataFrame:
@@ -43,11 +32,18 @@ def keyed_messages(payload: DataFrame) -> DataFrame:
     return payload.select(checked.cast("binary").alias("key"), value.alias("value"))
 
 
-def latest_per_document(analyzed: DataFrame, order: Sequence[str] = ("page_id", "pos")) -> DataFrame:
-    """What a compacted topic keeps: the last row per document. Among rows of
-    the same time the last in ``order`` counts. Combined before the shuffle, so
-    a document with very many rows is no problem."""
-    rows = with_doc_id(analyzed)
-    rank = F.struct("crawled_at", *order)
-    last = F.max_by(F.struct(*[c for c in rows.columns if c != "doc_id"]), rank)
-    return rows.groupBy("doc_id").agg(last.alias("last")).select("doc_id", "last.*")
+def latest_per_document(analyzed: DataFrame, columns: Sequence[str] = PAYLOAD_COLUMNS[1:]) -> DataFrame:
+    """What a compacted topic keeps: the last row per document, with ``columns`` of it.
+
+    The last time is a hash aggregate over two narrow columns, combined before
+    the shuffle, so a document with very many rows is no problem. Among rows of
+    that time the one with the largest place (``page_id``, ``pos``) counts.
+    """
+    rows = with_doc_id(analyzed).select("doc_id", "crawled_at", "page_id", "pos", *columns)
+    times = rows.select("doc_id", F.to_timestamp("crawled_at").alias("at")).groupBy("doc_id").agg(F.max("at").alias("at"))
+    newest = rows.join(times, "doc_id").where(F.to_timestamp("crawled_at") == F.col("at")).drop("at")
+    places = newest.groupBy("doc_id").agg(F.max("page_id").alias("last_page"))
+    placed = newest.join(places, "doc_id").where("page_id = last_page").drop("last_page")
+    ends = placed.groupBy("doc_id").agg(F.max("pos").alias("last_pos"))
+    found = placed.join(ends, "doc_id").where("pos = last_pos").drop("last_pos")
+    return found.distinct()

@@ -7,18 +7,21 @@ from pyspark.sql import functions as F
 
 from boardpulse.config import (
     AUTHOR_MAX_CHARS,
+    DATE_PATTERN,
     FOOTER_LINES,
     HEADER_LINES,
+    MINUTES_PATTERN,
+    SECONDS_PATTERN,
     VIEWS_PREFIX,
     VOTES_PREFIX,
     BoardConfig,
 )
 from boardpulse.functions.markup import visible_lines
 from boardpulse.functions.text import WS_CLASS
-from boardpulse.operators.attach import attach_pages
-from boardpulse.sources.landing import latest_pages
+from boardpulse.operators.attach import with_pages
+from boardpulse.sources.landing import latest_rows
 
-_MINUTES = f"\\b20\\d{{2}}-\\d{{2}}-\\d{{2}}{WS_CLASS}+\\d{{2}}:\\d{{2}}"
+_MINUTES = f"\\b{DATE_PATTERN}{WS_CLASS}+{MINUTES_PATTERN}"
 
 POST_COLUMNS = (
     "board_id",
@@ -36,7 +39,7 @@ POST_COLUMNS = (
 
 def created_at(lines: Column, seconds: bool = False) -> Column:
     """The first date and time in the header lines, as written."""
-    pattern = f"(?U){_MINUTES}(?::\\d{{2}})?\\b" if seconds else f"(?U){_MINUTES}\\b"
+    pattern = f"(?U){_MINUTES}(?:{SECONDS_PATTERN})?\\b" if seconds else f"(?U){_MINUTES}\\b"
     found = F.transform(F.slice(lines, 1, HEADER_LINES), lambda line: F.regexp_extract(line, pattern, 0))
     return F.get(F.filter(found, lambda date: date != ""), F.lit(0))
 
@@ -89,20 +92,59 @@ def parse_lines(df: DataFrame, config: BoardConfig = BoardConfig()) -> DataFrame
 
 
 def parsed_pages(post_pages: DataFrame, config: BoardConfig = BoardConfig()) -> DataFrame:
-    """The newest snapshot of each URL, parsed once: (url, author, created_at,
-    content). Parsing comes before the join with the references, which may name
-    a URL many times."""
-    lines = latest_pages(post_pages).select("url", visible_lines(F.col("html")).alias("lines"))
-    return parse_lines(lines, config)
+    """The newest snapshot of each URL, parsed: (url, author, created_at, content).
+
+    Pages are parsed where they are read, so no HTML is shuffled or sorted.
+    """
+    lines = post_pages.withColumn("lines", visible_lines(F.col("html"))).drop("html")
+    return latest_rows(parse_lines(lines, config), ("author", "created_at", "content"))
+
+
+def looked_up(
+    refs: DataFrame,
+    post_pages: DataFrame,
+    config: BoardConfig = BoardConfig(),
+    parse: bool = True,
+    rows_per_salt: int | None = None,
+) -> DataFrame:
+    """All references with the fields of their page, and the reason why one gives no post.
+
+    ``reason`` is NULL for posts; the title is the reference's. Without
+    ``parse`` only the presence of the page counts, and its fields are NULL.
+    """
+    if parse:
+        pages = parsed_pages(post_pages, config)
+    else:
+        pages = post_pages.select("url").distinct()
+        pages = pages.withColumns({n: F.lit(None).cast("string") for n in ("author", "created_at", "content")})
+    return with_pages(refs, pages, config, rows_per_salt).select(*POST_COLUMNS, "reason")
+
+
+def posts_of(found: DataFrame) -> DataFrame:
+    """The posts among the rows of :func:`looked_up`."""
+    return found.where("reason IS NULL").drop("reason")
+
+
+def rejects_of(found: DataFrame) -> DataFrame:
+    """The references that give no post: (url, post_id, reason)."""
+    return found.where("reason IS NOT NULL").select("url", "post_id", "reason")
 
 
 def board_posts(
     refs: DataFrame,
     post_pages: DataFrame,
     config: BoardConfig = BoardConfig(),
-    hot: dict[str, int] | None = None,
+    rows_per_salt: int | None = None,
+) -> DataFrame:
+    """Posts of all usable references whose page is there."""
+    return posts_of(looked_up(refs, post_pages, config, rows_per_salt=rows_per_salt))
+
+
+def rejected_refs(
+    refs: DataFrame,
+    post_pages: DataFrame,
+    config: BoardConfig = BoardConfig(),
+    rows_per_salt: int | None = None,
 ) -> DataFrame:
-    """Posts of all usable references whose page is there. The title is the
-    reference's."""
-    posts = attach_pages(refs, post_pages, lambda p: parsed_pages(p, config), config, hot)
-    return posts.select(*POST_COLUMNS)
+    """References that give no post; only URLs are compared, so no HTML is read."""
+    return rejects_of(looked_up(refs, post_pages, config, parse=False, rows_per_salt=rows_per_salt))

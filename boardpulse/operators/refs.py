@@ -102,9 +102,11 @@ def ref_array(html: Column, board_id: Column, config: BoardConfig) -> Column:
     )
 
 
-def list_rows(list_pages: DataFrame, config: BoardConfig = BoardConfig()) -> DataFrame:
-    """References of all list pages, at most ``config.max_posts`` per page, and
-    one row without ``pos`` for a page that gives none.
+def list_rows(
+    list_pages: DataFrame, config: BoardConfig = BoardConfig(), keep_unparsable: bool = True
+) -> DataFrame:
+    """References of all list pages, at most ``config.max_posts`` per page if
+    given, and one row without ``pos`` for a page that gives none.
 
     A page without a single reference before the cap keeps its HTML in
     ``unparsable_html``, so one pass over the pages serves both results. A post
@@ -112,11 +114,11 @@ def list_rows(list_pages: DataFrame, config: BoardConfig = BoardConfig()) -> Dat
     """
     refs = ref_array(F.col("html"), F.col("board_id"), config)
     none_found = F.coalesce(F.size("refs"), F.lit(0)) <= 0
-    capped = F.slice("refs", 1, config.max_posts)
+    capped = F.col("refs") if config.max_posts is None else F.slice("refs", 1, config.max_posts)
     rows = list_pages.withColumn("refs", refs).select(
         "board_id",
         "page_id",
-        F.when(none_found, F.col("html")).alias("unparsable_html"),
+        F.when(none_found & F.lit(keep_unparsable), F.col("html")).alias("unparsable_html"),
         F.posexplode_outer(capped).alias("pos", "ref"),
     )
     return rows.select(
@@ -143,13 +145,11 @@ def quarantine_of(rows: DataFrame, condition: str = "unparsable_html IS NOT NULL
 
 
 def board_refs(list_pages: DataFrame, config: BoardConfig = BoardConfig()) -> DataFrame:
-    """References of all list pages, at most ``config.max_posts`` per page."""
-    return refs_of(list_rows(list_pages, config))
+    """References of all list pages, at most ``config.max_posts`` per page if given."""
+    return refs_of(list_rows(list_pages, config, keep_unparsable=False))
 
 
 def unparsable_pages(list_pages: DataFrame, config: BoardConfig = BoardConfig()) -> DataFrame:
     """List pages without a single reference."""
     # With a cap above zero, the rows without a place are exactly these pages.
-    # Testing the place keeps the filter, and with it the parsing, above a
-    # preceding spread of a small table.
     return quarantine_of(list_rows(list_pages, replace(config, max_posts=1)), "pos IS NULL")

@@ -1,20 +1,18 @@
-"""Posts to analysed posts: batch scoring with a pluggable three-class model."""
+"""Posts to analysed posts: scoring by a column expression or in batches."""
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 from typing import Any
 
 import numpy as np
-from pyspark import cloudpickle
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
-from boardpulse.config import LABELS, ScoringConfig
+from boardpulse.config import ANALYZED_COLUMNS, LABELS, ScoringConfig
 from boardpulse.functions.sentiment import (
     model_text,
     neutral,
@@ -24,31 +22,13 @@ from boardpulse.functions.sentiment import (
 )
 from boardpulse.functions.text import is_blank
 
-# Functions and settings travel to the workers by value, so this package need not
-# be installed there.
-cloudpickle.register_pickle_by_value(sys.modules["boardpulse"])
-
+# Gives the three outputs (neg, neu, pos) of a text column as an array column.
+Scorer = Callable[[Column], Column]
 # Takes a batch of texts, gives one row of three outputs (neg, neu, pos) each.
 Predict = Callable[[Sequence[str]], Any]
 # Loads the model; called in the Python worker, on the first batch with rows.
 LoadModel = Callable[[ScoringConfig], Predict]
 
-ANALYZED_COLUMNS = (
-    "board_id",
-    "post_id",
-    "url",
-    "title",
-    "content",
-    "author",
-    "created_at",
-    "crawled_at",
-    "sentiment_label",
-    "sentiment_score",
-    "sentiment_probs",
-    "model_version",
-    "text_used",
-)
-
 
 def utc_now() -> str:
     """Current time as ISO-8601 text in UTC."""
@@ -79,6 +59,11 @@ def batch_logits(text: Column, load_model: LoadModel, config: ScoringConfig) ->
     return udf(text)
 
 
+def batch_scorer(load_model: LoadModel, config: ScoringConfig) -> Scorer:
+    """A model of the caller's own as a scorer."""
+    return lambda text: batch_logits(text, load_model, config)
+
+
 def add_sentiment(df: DataFrame, text: str, logits: str, neutral_floor: float = 0.0) -> DataFrame:
     """Add sentiment_label, sentiment_score and sentiment_probs from the columns
     with the scored text and the model outputs. Blank text is neutral."""
@@ -92,20 +77,20 @@ def add_sentiment(df: DataFrame, text: str, logits: str, neutral_floor: float =
     )
 
 
-def score_posts(posts: DataFrame, load_model: LoadModel, config: ScoringConfig) -> DataFrame:
+def score_posts(posts: DataFrame, scorer: Scorer, config: ScoringConfig) -> DataFrame:
     """Add the sentiment columns to posts; one row in, one row out."""
     text = model_text(F.col("title"), F.col("content"), config.text_used)
     with_text = posts.withColumn("model_text", text)
     # The text is never NULL; the model sees blank texts as empty ones.
     shown = F.when(is_blank(F.col("model_text")), F.lit("")).otherwise(F.col("model_text"))
-    with_logits = with_text.withColumn("logits", batch_logits(shown, load_model, config))
+    with_logits = with_text.withColumn("logits", scorer(shown))
     return add_sentiment(with_logits, "model_text", "logits", config.neutral_floor)
 
 
 def analyzed_posts(
     posts: DataFrame,
-    load_model: LoadModel,
-    config: ScoringConfig = ScoringConfig(),
+    scorer: Scorer,
+    config: ScoringConfig,
     crawled_at: str | None = None,
     keep: Sequence[str] = (),
 ) -> DataFrame:
@@ -114,7 +99,7 @@ def analyzed_posts(
     ``crawled_at`` is one value for the whole run. Empty content becomes NULL,
     and the category is not carried over.
     """
-    scored = score_posts(posts, load_model, config)
+    scored = score_posts(posts, scorer, config)
     return scored.withColumns(
         {
             "content": F.nullif(F.col("content"), F.lit("")),
@@ -129,28 +114,3 @@ def spread(posts: DataFrame, partitions: int) -> DataFrame:
     """Even out posts over tasks before a slow model. Hashing the place on the
     list page splits a post that is linked from very many pages."""
     return posts.repartition(partitions, "page_id", "pos")
-
-
-def transformers_model(path: str, device: str = "auto") -> LoadModel:
-    """Loader for a fine-tuned sequence classifier on disk, outputs in the order
-    neg, neu, pos. Needs ``torch`` and ``transformers`` on the workers."""
-
-    def load(config: ScoringConfig) -> Predict:
-        import torch
-        from transformers import AutoModelForSequenceClassification, AutoTokenizer
-
-        automatic = "cuda" if torch.cuda.is_available() else "cpu"
-        place = automatic if device == "auto" else device
-        tokenizer = AutoTokenizer.from_pretrained(path)
-        network = AutoModelForSequenceClassification.from_pretrained(path).to(place).eval()
-
-        def predict(texts: Sequence[str]) -> np.ndarray:
-            tokens = tokenizer(
-                list(texts), truncation=True, max_length=config.max_length, padding=True, return_tensors="pt"
-            )
-            with torch.inference_mode():
-                return network(**tokens.to(place)).logits.float().cpu().numpy()
-
-        return predict
-
-    return load

@@ -14,13 +14,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardpulse.config import BoardConfig, ScoringConfig
-from boardpulse.operators.attach import find_hot_urls, rejected_refs, usable_refs, wanted_pages
+from boardpulse.config import TEXT_TITLE, BoardConfig, ScoringConfig
+from boardpulse.operators.attach import PAGE_MISSING
 from boardpulse.operators.messages import keyed_messages, payloads
-from boardpulse.operators.posts import board_posts
-from boardpulse.operators.refs import list_rows, quarantine_of, refs_of
-from boardpulse.operators.scoring import LoadModel, analyzed_posts, spread, utc_now
+from boardpulse.operators.posts import looked_up, posts_of, rejects_of
+from boardpulse.operators.refs import REF_COLUMNS, list_rows, quarantine_of, refs_of
+from boardpulse.operators.scoring import Scorer, analyzed_posts, spread, utc_now
 from boardpulse.sinks.tables import count_rows, read_table, stored, write_measured, write_table
+from boardpulse.sources.landing import pages_for
 
 ORDER = ("page_id", "pos")
 
@@ -33,6 +34,7 @@ class JobResult:
     rejects: DataFrame
     quarantine: DataFrame | None
     counters: dict[str, int]
+    pending: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -41,6 +43,7 @@ class _Collected:
     rejects: DataFrame
     quarantine: DataFrame | None
     refs: int
+    pending: DataFrame
 
 
 def run_counters(spark: SparkSession, counters: dict[str, int]) -> DataFrame:
@@ -49,24 +52,27 @@ def run_counters(spark: SparkSession, counters: dict[str, int]) -> DataFrame:
 
 
 def _collect(
-    list_pages: DataFrame, post_pages: DataFrame, out: str, config: BoardConfig, keep_unparsable: bool
+    list_pages: DataFrame,
+    post_pages: DataFrame,
+    out: str,
+    config: BoardConfig,
+    keep_unparsable: bool,
+    parse: bool = True,
+    again: DataFrame | None = None,
 ) -> _Collected:
-    rows = list_rows(list_pages, config)
-    size = write_measured(
-        rows,
-        f"{out}/list_rows",
-        refs=F.count("pos"),
-        url_bytes=F.coalesce(F.sum(F.octet_length("url")), F.lit(0)),
-    )
+    """References, and their posts and rejects by one lookup. ``again`` are references of an earlier run."""
+    rows = list_rows(list_pages, config, keep_unparsable)
+    count = write_measured(rows, f"{out}/list_rows", refs=F.count("pos"))["refs"]
     rows = read_table(rows, f"{out}/list_rows")
     refs = refs_of(rows)
-    hot = find_hot_urls(usable_refs(refs, config))
-    post_pages = wanted_pages(post_pages, refs, size["url_bytes"])
-    quarantine = None
-    if keep_unparsable:
-        quarantine = stored(quarantine_of(rows), f"{out}/quarantine")
-    rejects = stored(rejected_refs(refs, post_pages, config, hot), f"{out}/rejects")
-    return _Collected(board_posts(refs, post_pages, config, hot), rejects, quarantine, size["refs"])
+    if again is not None:
+        refs = stored(refs.unionByName(again.select(*REF_COLUMNS)), f"{out}/refs")
+        count = refs.count()
+    quarantine = stored(quarantine_of(rows), f"{out}/quarantine") if keep_unparsable else None
+    found = stored(looked_up(refs, pages_for(post_pages, refs), config, parse), f"{out}/lookup")
+    rejects = stored(rejects_of(found), f"{out}/rejects")
+    pending = found.where(F.col("reason") == PAGE_MISSING).select(*REF_COLUMNS)
+    return _Collected(posts_of(found), rejects, quarantine, count, pending)
 
 
 def collect_posts(
@@ -80,13 +86,13 @@ def collect_posts(
     found = _collect(list_pages, post_pages, out, config, keep_unparsable)
     count = write_table(found.posts, f"{out}/posts")
     rows = read_table(found.posts, f"{out}/posts")
-    return JobResult(rows, found.rejects, found.quarantine, {"refs": found.refs, "posts": count})
+    return JobResult(rows, found.rejects, found.quarantine, {"refs": found.refs, "posts": count}, found.pending)
 
 
 def _score(
     found: _Collected,
     out: str,
-    load_model: LoadModel,
+    scorer: Scorer,
     scoring: ScoringConfig,
     crawled_at: str | None,
     partitions: int | None,
@@ -95,7 +101,7 @@ def _score(
     """Score the posts and write ``shape`` of them, counting before and after."""
     posts = spread(found.posts, partitions) if partitions else found.posts
     posts, before = count_rows(posts)
-    analyzed = shape(analyzed_posts(posts, load_model, scoring, crawled_at or utc_now(), keep=ORDER))
+    analyzed = shape(analyzed_posts(posts, scorer, scoring, crawled_at or utc_now(), keep=ORDER))
     after = write_table(analyzed, out)
     if before.get["rows"] != after:
         raise RuntimeError(f"scored {after} of {before.get['rows']} posts")
@@ -107,30 +113,32 @@ def score_board(
     list_pages: DataFrame,
     post_pages: DataFrame,
     out: str,
-    load_model: LoadModel,
+    scorer: Scorer,
+    scoring: ScoringConfig,
     config: BoardConfig = BoardConfig(),
-    scoring: ScoringConfig = ScoringConfig(),
+    again: DataFrame | None = None,
     crawled_at: str | None = None,
     partitions: int | None = None,
     keep_unparsable: bool = True,
 ) -> JobResult:
     """Analysed posts. Without posts the result is an empty table, and the
     model is not loaded."""
-    found = _collect(list_pages, post_pages, out, config, keep_unparsable)
+    found = _collect(list_pages, post_pages, out, config, keep_unparsable, again=again)
     rows, counters = _score(
-        found, f"{out}/analyzed", load_model, scoring, crawled_at, partitions, lambda df: df
+        found, f"{out}/analyzed", scorer, scoring, crawled_at, partitions, lambda df: df
     )
-    return JobResult(rows, found.rejects, found.quarantine, counters)
+    return JobResult(rows, found.rejects, found.quarantine, counters, found.pending)
 
 
 def send_board(
     list_pages: DataFrame,
     post_pages: DataFrame,
     out: str,
-    load_model: LoadModel,
+    scorer: Scorer,
+    scoring: ScoringConfig,
     send: Callable[[DataFrame], int],
     config: BoardConfig = BoardConfig(),
-    scoring: ScoringConfig = ScoringConfig(),
+    again: DataFrame | None = None,
     crawled_at: str | None = None,
     partitions: int | None = None,
 ) -> JobResult:
@@ -141,15 +149,16 @@ def send_board(
     without scoring again, and only the fields that are sent are computed: with
     the title as text the content of the pages is never parsed.
     """
-    found = _collect(list_pages, post_pages, out, config, keep_unparsable=False)
+    parse = scoring.text_used != TEXT_TITLE
+    found = _collect(list_pages, post_pages, out, config, keep_unparsable=False, parse=parse, again=again)
     rows, counters = _score(
         found,
         f"{out}/payloads",
-        load_model,
+        scorer,
         scoring,
         crawled_at,
         partitions,
         lambda df: payloads(df, keep=ORDER),
     )
     counters["sent"] = send(keyed_messages(rows)) if counters["analyzed"] else 0
-    return JobResult(rows, found.rejects, found.quarantine, counters)
+    return JobResult(rows, found.rejects, found.quarantine, counters, found.pending)

@@ -1,139 +1,77 @@
-"""Kafka sink: settings and the writes through Spark's connector."""
+"""Kafka sink through Spark's connector.
+
+Options are those of the connector (``kafka.bootstrap.servers``, ``topic``,
+``kafka.client.id``, ...), given as a mapping. Certificates and keys are named by
+place, so no key material gets into a plan.
+"""
 
 from __future__ import annotations
 
-import os
 from collections.abc import Mapping
-from dataclasses import dataclass, field
-from pathlib import Path
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-_LOGIN_MODULES = {
-    "PLAIN": "org.apache.kafka.common.security.plain.PlainLoginModule",
-    "SCRAM-SHA-256": "org.apache.kafka.common.security.scram.ScramLoginModule",
-    "SCRAM-SHA-512": "org.apache.kafka.common.security.scram.ScramLoginModule",
+# What the producer is given unless the caller says otherwise.
+PRODUCER_OPTIONS = {
+    "kafka.acks": "all",
+    "kafka.retries": "10",
+    "kafka.linger.ms": "20",
+    "kafka.batch.size": "32768",
+    "kafka.compression.type": "gzip",
+    "kafka.max.in.flight.requests.per.connection": "5",
+    "kafka.request.timeout.ms": "30000",
+    "kafka.security.protocol": "PLAINTEXT",
 }
-
-
-def _quoted(text: str) -> str:
-    return '"' + text.replace("\\", "\\\\").replace('"', '\\"') + '"'
-
-
-@dataclass(frozen=True)
-class KafkaConfig:
-    """Where and how messages are sent. Secrets are kept out of ``repr``."""
-
-    bootstrap_servers: str
-    topic: str
-    client_id: str = "board-sentiment"
-    acks: str = "all"
-    retries: int = 10
-    linger_ms: int = 20
-    batch_size: int = 32768
-    compression_type: str = "gzip"
-    security_protocol: str = "PLAINTEXT"
-    sasl_mechanism: str = ""
-    sasl_username: str = ""
-    sasl_password: str = field(default="", repr=False)
-    ssl_cafile: str = ""
-    ssl_certfile: str = ""
-    ssl_keyfile: str = ""
-
-    @classmethod
-    def from_env(cls, env: Mapping[str, str] = os.environ) -> KafkaConfig:
-        """Settings from KAFKA_* variables; unset and blank ones take the default."""
-        names = {
-            "bootstrap_servers": "KAFKA_BOOTSTRAP_SERVERS",
-            "topic": "KAFKA_TOPIC",
-            "client_id": "KAFKA_CLIENT_ID",
-            "acks": "KAFKA_ACKS",
-            "retries": "KAFKA_RETRIES",
-            "linger_ms": "KAFKA_LINGER_MS",
-            "batch_size": "KAFKA_BATCH_SIZE",
-            "security_protocol": "KAFKA_SECURITY_PROTOCOL",
-            "sasl_mechanism": "KAFKA_SASL_MECHANISM",
-            "sasl_username": "KAFKA_SASL_USERNAME",
-            "sasl_password": "KAFKA_SASL_PASSWORD",
-            "ssl_cafile": "KAFKA_SSL_CAFILE",
-            "ssl_certfile": "KAFKA_SSL_CERTFILE",
-            "ssl_keyfile": "KAFKA_SSL_KEYFILE",
-        }
-        given = {key: env.get(name, "").strip() for key, name in names.items()}
-        values: dict[str, object] = {key: text for key, text in given.items() if text}
-        missing = [names[key] for key in ("bootstrap_servers", "topic") if key not in values]
-        if missing:
-            raise ValueError(f"missing Kafka settings: {', '.join(missing)}")
-        for key in ("retries", "linger_ms", "batch_size"):
-            if key in values:
-                values[key] = int(str(values[key]))
-        # An empty value is meaningful here: no compression.
-        if "KAFKA_COMPRESSION_TYPE" in env:
-            values["compression_type"] = env["KAFKA_COMPRESSION_TYPE"].strip()
-        return cls(**values)  # type: ignore[arg-type]
-
-    def options(self) -> dict[str, str]:
-        """Options of Spark's Kafka connector."""
-        servers = [s.strip() for s in self.bootstrap_servers.split(",") if s.strip()]
-        protocol = self.security_protocol.upper()
-        options = {
-            "topic": self.topic,
-            "kafka.bootstrap.servers": ",".join(servers),
-            "kafka.client.id": self.client_id,
-            "kafka.acks": self.acks,
-            "kafka.retries": str(self.retries),
-            "kafka.linger.ms": str(self.linger_ms),
-            "kafka.batch.size": str(self.batch_size),
-            "kafka.compression.type": self.compression_type or "none",
-            "kafka.max.in.flight.requests.per.connection": "5",
-            "kafka.request.timeout.ms": "30000",
-            "kafka.security.protocol": protocol,
-        }
-        if protocol.startswith("SASL_"):
-            options |= self._sasl_options()
-        if protocol in ("SSL", "SASL_SSL"):
-            options |= self._ssl_options()
-        return options
-
-    def _sasl_options(self) -> dict[str, str]:
-        if not (self.sasl_mechanism and self.sasl_username and self.sasl_password):
-            raise ValueError("SASL needs a mechanism, a user name and a password")
-        module = _LOGIN_MODULES.get(self.sasl_mechanism.upper())
-        if module is None:
-            raise ValueError(f"SASL mechanism must be one of {', '.join(_LOGIN_MODULES)}")
-        login = f"username={_quoted(self.sasl_username)} password={_quoted(self.sasl_password)}"
-        return {
-            "kafka.sasl.mechanism": self.sasl_mechanism.upper(),
-            "kafka.sasl.jaas.config": f"{module} required {login};",
-        }
-
-    def _ssl_options(self) -> dict[str, str]:
-        options: dict[str, str] = {}
-        if self.ssl_cafile:
-            options["kafka.ssl.truststore.type"] = "PEM"
-            options["kafka.ssl.truststore.location"] = self.ssl_cafile
-        if self.ssl_certfile and self.ssl_keyfile:
-            options["kafka.ssl.keystore.type"] = "PEM"
-            options["kafka.ssl.keystore.certificate.chain"] = Path(self.ssl_certfile).read_text()
-            options["kafka.ssl.keystore.key"] = Path(self.ssl_keyfile).read_text()
-        elif self.ssl_certfile:  # certificate and key in one file
-            options["kafka.ssl.keystore.type"] = "PEM"
-            options["kafka.ssl.keystore.location"] = self.ssl_certfile
-        return options
-
-
-def write_kafka(messages: DataFrame, config: KafkaConfig) -> int:
+NEEDED = ("kafka.bootstrap.servers", "topic")
+_LOGINS = {"PLAIN": "plain.Plain", "SCRAM-SHA-256": "scram.Scram", "SCRAM-SHA-512": "scram.Scram"}
+
+
+def connector_options(given: Mapping[str, str]) -> dict[str, str]:
+    """The given options over the fixed ones; blank ones count as not given."""
+    options = PRODUCER_OPTIONS | {k: v.strip() for k, v in given.items() if v.strip()}
+    missing = [k for k in NEEDED if k not in options]
+    if missing:
+        raise ValueError(f"options needed by the connector: {', '.join(missing)}")
+    return options
+
+
+def login_options(mechanism: str, user: str, password: str, encrypted: bool = True) -> dict[str, str]:
+    """Options of a login by name and password. Keep them out of logs with ``spark.redaction.regex``."""
+    name = mechanism.upper()
+    if name not in _LOGINS:
+        raise ValueError(f"no login by {mechanism}; there are {', '.join(_LOGINS)}")
+    if not user or not password:
+        raise ValueError("a login has a user and a password")
+    quoted = ['"' + x.replace("\\", "\\\\").replace('"', '\\"') + '"' for x in (user, password)]
+    module = f"org.apache.kafka.common.security.{_LOGINS[name]}LoginModule"
+    return {
+        "kafka.security.protocol": "SASL_SSL" if encrypted else "SASL_PLAINTEXT",
+        "kafka.sasl.mechanism": name,
+        "kafka.sasl.jaas.config": f"{module} required username={quoted[0]} password={quoted[1]};",
+    }
+
+
+def certificate_options(trusted: str = "", own: str = "") -> dict[str, str]:
+    """Options naming PEM files that every executor can read: trusted authorities, and own key with its chain."""
+    options = {}
+    for store, place in (("truststore", trusted), ("keystore", own)):
+        if place:
+            options |= {f"kafka.ssl.{store}.type": "PEM", f"kafka.ssl.{store}.location": place}
+    return options
+
+
+def write_kafka(messages: DataFrame, options: Mapping[str, str]) -> int:
     """Send messages (key, value); a delivery error fails the job. Gives the
     number of messages."""
     sent = Observation()
     observed = messages.observe(sent, F.count(F.lit(1)).alias("rows"))
-    observed.write.format("kafka").options(**config.options()).save()
+    observed.write.format("kafka").options(**connector_options(options)).save()
     return sent.get["rows"]
 
 
-def stream_to_kafka(messages: DataFrame, config: KafkaConfig, checkpoint: str) -> DataStreamWriter:
+def stream_to_kafka(messages: DataFrame, options: Mapping[str, str], checkpoint: str) -> DataStreamWriter:
     """Writer for a stream of messages."""
-    writer = messages.writeStream.format("kafka").options(**config.options())
+    writer = messages.writeStream.format("kafka").options(**connector_options(options))
     return writer.option("checkpointLocation", checkpoint)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -35,3 +37,19 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     """Write a table and read it back."""
     write_table(df, path)
     return read_table(df, path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether something lies at a path or pattern, in whatever store."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(found)
+    return files is not None and len(files) > 0
+
+
+def run_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for the tables of one run, below the shared ``spark.checkpoint.dir``.
+
+    Where that is unset, below the session's warehouse.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -6,32 +6,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LIST_PAGES = "board_id INT, page_id BIGINT, url STRING, html STRING, fetched_at TIMESTAMP"
 POST_PAGES = "url STRING, html STRING, fetched_at TIMESTAMP"
 
-
-def spread_small_table(table: DataFrame, *keys: str) -> DataFrame:
-    """Spread a table that is read in fewer splits than there are cores.
-
-    Parsing is bound by the CPU, so a small table would leave cores idle. A
-    large one has more splits than cores and is not shuffled.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    if table.rdd.getNumPartitions() >= cores:
-        return table
-    return table.repartition(cores, *keys)
+# Folders of a bucketed store of post pages.
+URL_BUCKETS = 64
 
 
 def read_list_pages(spark: SparkSession, path: str) -> DataFrame:
-    return spread_small_table(spark.read.schema(LIST_PAGES).parquet(path), "board_id", "page_id")
+    return spark.read.schema(LIST_PAGES).parquet(path)
 
 
 def read_post_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Post pages need no spreading: they are shuffled by URL before parsing."""
-    return spark.read.schema(POST_PAGES).parquet(path)
+    """Post pages; of a store written by :func:`write_post_pages` also their bucket."""
+    found = spark.read.parquet(path)
+    bucket = ", bucket INT" if "bucket" in found.columns else ""
+    return spark.read.schema(POST_PAGES + bucket).parquet(path)
+
+
+def url_bucket(url: Column, buckets: int = URL_BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(url), F.lit(buckets)).cast("int")
+
+
+def write_post_pages(post_pages: DataFrame, path: str, mode: str = "append") -> None:
+    """Adds pages to a store with a folder per bucket of URLs, so that a batch reads its buckets alone."""
+    bucketed = post_pages.withColumn("bucket", url_bucket(F.col("url")))
+    bucketed.repartition("bucket").write.mode(mode).partitionBy("bucket").parquet(path)
+
+
+def pages_for(post_pages: DataFrame, refs: DataFrame) -> DataFrame:
+    """The pages in the buckets of the references' URLs; all pages if the store has no buckets."""
+    if "bucket" not in post_pages.columns:
+        return post_pages
+    wanted = refs.select(url_bucket(F.col("url")).alias("bucket")).distinct().collect()  # URL_BUCKETS rows at most
+    return post_pages.where(F.col("bucket").isin([r["bucket"] for r in wanted])).drop("bucket")
 
 
 def stream_list_pages(spark: SparkSession, path: str, files_per_batch: int = 1_000) -> DataFrame:
@@ -40,12 +53,20 @@ def stream_list_pages(spark: SparkSession, path: str, files_per_batch: int = 1_0
     return reader.parquet(path)
 
 
-def latest_pages(post_pages: DataFrame) -> DataFrame:
-    """The newest snapshot of each URL as (url, html).
+def latest_rows(snapshots: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(url, columns) of the newest of ``snapshots(url, fetched_at, columns)`` of each URL.
 
-    The maximum is combined before the shuffle, so a URL with very many
-    snapshots sends one row per task. If only the URL is used afterwards, the
-    HTML is not read.
+    The newest time is a hash aggregate over two narrow columns, combined before
+    the shuffle. Among snapshots of the same time the one with the largest
+    columns counts. If only the URL is used afterwards, nothing else is read.
     """
-    newest = F.max(F.struct("fetched_at", "html"))
-    return post_pages.groupBy("url").agg(newest.alias("newest")).select("url", "newest.html")
+    newest = snapshots.groupBy("url").agg(F.max("fetched_at").alias("newest_at"))
+    found = snapshots.join(newest, "url").where("fetched_at <=> newest_at")
+    one = found.groupBy("url").agg(F.max(F.struct(*columns)).alias("one"))
+    return one.select("url", *(f"one.{c}" for c in columns))
+
+
+def latest_list_pages(list_pages: DataFrame) -> DataFrame:
+    """List pages without older snapshots of the same URL; of several of the same time all stay."""
+    newest = list_pages.groupBy("url").agg(F.max("fetched_at").alias("newest_at"))
+    return list_pages.join(newest, "url").where("fetched_at <=> newest_at").select(*list_pages.columns)

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from boardpulse.config import BoardConfig, ScoringConfig
-from boardpulse.operators.scoring import LoadModel
+from boardpulse.operators.scoring import Scorer
 from boardpulse.plans.jobs import score_board, send_board
+from boardpulse.sinks.tables import exists, write_table
 from boardpulse.sources.landing import read_post_pages, stream_list_pages
 
 
@@ -19,34 +20,46 @@ def score_new_pages(
     post_path: str,
     out: str,
     checkpoint: str,
-    load_model: LoadModel,
+    scorer: Scorer,
+    scoring: ScoringConfig,
     send: Callable[[DataFrame], int] | None = None,
     config: BoardConfig = BoardConfig(),
-    scoring: ScoringConfig = ScoringConfig(),
     crawled_at: str | None = None,
     files_per_batch: int = 1_000,
 ) -> StreamingQuery:
     """Process everything that is new in the landing folder, then stop.
 
-    Post pages are read anew for each batch. A batch writes to its own folder
-    ``out/batch=<n>`` and replaces it when it is repeated after a failure, so
-    the tables hold each reference once. With ``send`` the results also go out
-    as messages, at least once.
+    Of a bucketed store a batch reads the buckets of its references alone. A
+    reference whose page is not there yet is kept in ``pending`` and tried again
+    with the next batch; until then it stands among the rejects of each batch. A
+    batch writes to its own folder ``out/batch=<n>`` and replaces it when it is
+    repeated after a failure, so the tables hold each reference once. With
+    ``send`` the results also go out as messages, at least once.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        post_pages = read_post_pages(batch.sparkSession, post_path)
-        folder = f"{out}/batch={batch_id}"
+        session = batch.sparkSession
+        post_pages = read_post_pages(session, post_path)
+        folder, earlier = f"{out}/batch={batch_id}", f"{out}/batch={batch_id - 1}/pending"
+        again = session.read.parquet(earlier) if exists(session, earlier) else None
+        settings = {"config": config, "crawled_at": crawled_at, "again": again}
         if send is None:
-            score_board(batch, post_pages, folder, load_model, config, scoring, crawled_at)
+            result = score_board(batch, post_pages, folder, scorer, scoring, **settings)
         else:
-            send_board(batch, post_pages, folder, load_model, send, config, scoring, crawled_at)
+            result = send_board(batch, post_pages, folder, scorer, scoring, send, **settings)
+        write_table(result.pending, f"{folder}/pending")
 
     pages = stream_list_pages(spark, list_path, files_per_batch)
     writer = pages.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
 
 
-def read_batches(spark: SparkSession, out: str, table: str) -> DataFrame:
-    """A table of all batches written so far, with the batch number."""
-    return spark.read.option("basePath", out).parquet(f"{out}/batch=*/{table}")
+def read_batches(spark: SparkSession, out: str, table: str, schema: str | None = None) -> DataFrame:
+    """A table of all batches written so far, with the batch number.
+
+    Before the first batch it is empty, if its ``schema`` is given.
+    """
+    path = f"{out}/batch=*/{table}"
+    if schema is not None and not exists(spark, path):
+        return spark.createDataFrame([], f"{schema}, batch INT")
+    return spark.read.option("basePath", out).parquet(path)

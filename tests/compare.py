@@ -7,7 +7,7 @@ from collections import Counter
 
 import duckdb
 
-TABLES = ("documents", "pages", "conversations", "events")
+TABLES = ("documents", "pages", "conversations", "events", "labels")
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:

@@ -3,9 +3,9 @@ from collections import Counter
 import pytest
 
 from boardpulse.config import ALLOWED_HOSTS, SITE_ORIGIN, BoardConfig
-from boardpulse.operators.attach import find_hot_urls, is_allowed_url, rejected_refs, usable_refs, wanted_pages
-from boardpulse.operators.posts import board_posts, parsed_pages
-from boardpulse.sources.landing import latest_pages
+from boardpulse.operators.attach import hot_urls, is_allowed_url
+from boardpulse.operators.posts import board_posts, parsed_pages, rejected_refs
+from boardpulse.sources.landing import latest_rows, pages_for, read_post_pages, write_post_pages
 from helpers import apply
 
 REFS = "board_id int, post_id bigint, url string, title string, category string, page_id bigint, pos int"
@@ -55,11 +55,9 @@ def test_hosts(spark):
 
 
 def test_newest_snapshot(spark):
-    pages = spark.createDataFrame(
-        [("a", "1", 1), ("a", "3", 3), ("a", "2", 2), ("b", "x", None), ("b", "y", 0), ("c", "p", 1), ("c", "q", 1)],
-        PAGES,
-    )
-    assert rows_of(latest_pages(pages)) == Counter({("a", "3"): 1, ("b", "y"): 1, ("c", "q"): 1})
+    rows = [("a", "1", 1), ("a", "3", 3), ("a", "2", 2), ("b", "x", None), ("b", "y", 0), ("c", "p", 1), ("c", "q", 1), ("d", "n", None)]
+    pages = spark.createDataFrame(rows, PAGES)
+    assert rows_of(latest_rows(pages, ["html"])) == Counter({("a", "3"): 1, ("b", "y"): 1, ("c", "q"): 1, ("d", "n"): 1})
 
 
 def test_posts_and_rejects_are_all_references(refs, pages):
@@ -71,40 +69,16 @@ def test_posts_and_rejects_are_all_references(refs, pages):
 
 
 def test_hot_urls(refs):
-    assert find_hot_urls(usable_refs(refs)) == {}
-    hot = find_hot_urls(usable_refs(refs), rows_per_salt=100)
-    assert hot == {url(0): 4, url(1): 2}
-    assert find_hot_urls(refs, rows_per_salt=100, limit=1) == {url(0): 4}
+    found = {r["url"]: r["salts"] for r in hot_urls(refs, 100).collect()}
+    assert found == {url(0): 4, url(1): 2}
 
 
-@pytest.mark.parametrize("limit", [1, 10])
-def test_hot_join_gives_the_same_rows(refs, pages, limit):
-    hot = find_hot_urls(usable_refs(refs), rows_per_salt=20, limit=limit)
-    assert len(hot) == min(limit, 2)
-    assert rows_of(board_posts(refs, pages, hot=hot)) == rows_of(board_posts(refs, pages))
-    assert rows_of(rejected_refs(refs, pages, hot=hot)) == rows_of(rejected_refs(refs, pages))
-
-
-def test_hot_url_without_page(refs, pages):
+@pytest.mark.parametrize("rows_per_salt", [1, 20, 1000])
+def test_split_urls_give_the_same_rows(refs, pages, rows_per_salt):
     others = pages.where(pages.url != url(0))
-    hot = find_hot_urls(usable_refs(refs), rows_per_salt=20)
-    assert rows_of(rejected_refs(refs, others, hot=hot)) == rows_of(rejected_refs(refs, others))
-
-
-def test_hot_rows_are_split(spark, refs, pages):
-    """The pinned post's rows come from many tasks in the salted join."""
-    from pyspark.sql import functions as F
-
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        hot = {url(0): 16}
-        posts = board_posts(refs, pages, hot=hot).where("post_id = 0")
-        tasks = posts.groupBy(F.spark_partition_id()).count().collect()
-    finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert len(tasks) >= 4
+    for some in (pages, others):
+        assert rows_of(board_posts(refs, some, rows_per_salt=rows_per_salt)) == rows_of(board_posts(refs, some))
+        assert rows_of(rejected_refs(refs, some, rows_per_salt=rows_per_salt)) == rows_of(rejected_refs(refs, some))
 
 
 def plan(df):
@@ -116,7 +90,23 @@ def test_only_needed_columns_are_read(spark, pages, tmp_path):
     stored = spark.read.parquet(f"{tmp_path}/pages")
     assert "html" in plan(parsed_pages(stored))
     assert "html" not in plan(parsed_pages(stored).select("url"))
-    assert "html" not in plan(latest_pages(stored).select("url"))
+    assert "html" not in plan(latest_rows(stored, ["html"]).select("url"))
+
+
+def test_no_html_is_shuffled_or_sorted(spark, refs, pages, tmp_path):
+    pages.write.parquet(f"{tmp_path}/p")
+    shown = plan(board_posts(refs, spark.read.parquet(f"{tmp_path}/p")))
+    moved = [x for x in shown.splitlines() if "Exchange" in x or " Sort " in x or "SortAggregate" in x]
+    assert moved and not any("html" in x for x in moved)
+
+
+def test_bucketed_store(spark, refs, pages, tmp_path):
+    write_post_pages(pages.withColumn("fetched_at", pages.fetched_at.cast("timestamp")), f"{tmp_path}/store")
+    store = read_post_pages(spark, f"{tmp_path}/store")
+    few = refs.where("post_id < 2")
+    some = pages_for(store, few)
+    assert 0 < some.count() < pages.count()
+    assert rows_of(board_posts(few, some)) == rows_of(board_posts(few, pages))
 
 
 def test_other_hosts_by_configuration(spark, pages):
@@ -125,13 +115,3 @@ def test_other_hosts_by_configuration(spark, pages):
     config = BoardConfig(allowed_hosts=("x.org",))
     assert board_posts(refs, pages, config).count() == 1
     assert board_posts(refs, pages).count() == 0
-
-
-def test_few_references_filter_the_pages(refs, pages):
-    few = refs.where("page_id < 3")
-    wanted = wanted_pages(pages, few, url_bytes=1_000)
-    assert "BroadcastHashJoin" in plan(wanted) and "Exchange hashpartitioning" not in plan(wanted).split("Broadcast")[0]
-    assert {r["url"] for r in wanted.collect()} == {url(0), url(1), url(2)}
-    assert rows_of(board_posts(few, wanted)) == rows_of(board_posts(few, pages))
-    assert rows_of(rejected_refs(few, wanted)) == rows_of(rejected_refs(few, pages))
-    assert wanted_pages(pages, refs, url_bytes=10**12) is pages

@@ -1,16 +1,14 @@
-from types import SimpleNamespace
-
 import pytest
 
-from boardpulse.checks.stand_in import load_stand_in
-from boardpulse.config import SITE_ORIGIN, ScoringConfig
-from boardpulse.operators.scoring import ANALYZED_COLUMNS
+from boardpulse.config import ANALYZED_COLUMNS, SITE_ORIGIN, ScoringConfig
+from boardpulse.operators.scoring import batch_scorer
 from boardpulse.plans.jobs import collect_posts, run_counters, score_board, send_board
-from boardpulse.scratch import scratch_folder
 from boardpulse.sinks.tables import write_table
-from boardpulse.sources.landing import LIST_PAGES, POST_PAGES, read_list_pages, read_post_pages, spread_small_table
+from boardpulse.sources.landing import LIST_PAGES, POST_PAGES, read_list_pages, read_post_pages
 from boardpulse.streaming.landing import read_batches, score_new_pages
+from stand_in import stand_in
 
+TITLES = ScoringConfig("m-1")
 AT = "2026-02-01T00:00:00+00:00"
 
 
@@ -40,7 +38,7 @@ def load_nothing():
     def load(config):
         raise AssertionError("the model must not be loaded")
 
-    return load
+    return batch_scorer(load, TITLES)
 
 
 def tables(spark, folder):
@@ -67,7 +65,7 @@ def test_running_again_replaces_the_results(spark, landing):
 
 
 def test_score(spark, landing):
-    result = score_board(*tables(spark, landing), f"{landing}/out", load_stand_in, crawled_at=AT, partitions=3)
+    result = score_board(*tables(spark, landing), f"{landing}/out", stand_in, TITLES, crawled_at=AT, partitions=3)
     assert result.counters == {"refs": 6, "posts": 5, "analyzed": 5}
     assert result.rows.columns == [*ANALYZED_COLUMNS, "page_id", "pos"]
     assert {r["crawled_at"] for r in result.rows.collect()} == {AT}
@@ -76,13 +74,13 @@ def test_score(spark, landing):
 def test_no_posts(spark, tmp_path, load_nothing):
     folder = str(tmp_path)
     write_landing(spark, folder, {1: [77], 2: []})
-    result = score_board(*tables(spark, folder), f"{folder}/out", load_nothing)
+    result = score_board(*tables(spark, folder), f"{folder}/out", load_nothing, TITLES)
     assert result.rows.collect() == [] and result.rows.columns == [*ANALYZED_COLUMNS, "page_id", "pos"]
 
     def send(messages):
         raise AssertionError("nothing to send")
 
-    result = send_board(*tables(spark, folder), f"{folder}/out", load_nothing, send)
+    result = send_board(*tables(spark, folder), f"{folder}/out", load_nothing, TITLES, send)
     assert result.counters == {"refs": 1, "posts": 0, "analyzed": 0, "sent": 0}
 
 
@@ -90,9 +88,9 @@ def test_send(spark, landing):
     result = send_board(
         *tables(spark, landing),
         f"{landing}/out",
-        load_stand_in,
+        stand_in,
+        ScoringConfig("m-1", text_used="title+content"),
         send=lambda m: write_table(m, f"{landing}/messages"),
-        scoring=ScoringConfig(text_used="title+content"),
     )
     assert result.counters == {"refs": 6, "posts": 5, "analyzed": 5, "sent": 5}
     keys = [r["key"] for r in spark.read.parquet(f"{landing}/messages").selectExpr("string(key) key").collect()]
@@ -111,14 +109,15 @@ def test_stream_equals_batch(spark, landing):
             f"{landing}/posts",
             f"{landing}/out",
             f"{landing}/checkpoint",
-            load_stand_in,
+            stand_in,
+            TITLES,
             crawled_at=AT,
             files_per_batch=1,
         )
         query.awaitTermination()
 
     def batch():
-        result = score_board(*tables(spark, landing), f"{landing}/batch", load_stand_in, crawled_at=AT)
+        result = score_board(*tables(spark, landing), f"{landing}/batch", stand_in, TITLES, crawled_at=AT)
         return result.rows
 
     run()
@@ -140,35 +139,14 @@ def test_stream_sends(spark, landing):
         f"{landing}/posts",
         f"{landing}/out",
         f"{landing}/checkpoint",
-        load_stand_in,
+        stand_in,
+        TITLES,
         send=lambda m: sent.append(m.count()) or sent[-1],
     )
     query.awaitTermination()
     assert sent == [5]
 
 
-def session(master, folder=None):
-    conf = SimpleNamespace(get=lambda key, default: folder or default)
-    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
-
-
-def test_scratch_folder():
-    local = scratch_folder(session("local[2]"), "x")
-    assert local.startswith("/tmp/boardpulse-")
-    shared = session("yarn", "hdfs://x/y/")
-    assert scratch_folder(shared, "x").startswith("hdfs://x/y/x-")
-    assert scratch_folder(shared, "x") != scratch_folder(shared, "x")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_folder(session("yarn"), "x")
-
-
-def test_only_small_tables_are_spread(spark, tmp_path):
-    spark.range(100).coalesce(1).write.parquet(f"{tmp_path}/one")
-    spark.range(100).repartition(40).write.parquet(f"{tmp_path}/many")
-    spark.conf.set("spark.sql.files.openCostInBytes", str(128 * 2**20))
-    try:
-        one, many = spark.read.parquet(f"{tmp_path}/one"), spark.read.parquet(f"{tmp_path}/many")
-        assert spread_small_table(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-        assert spread_small_table(many, "id") is many
-    finally:
-        spark.conf.unset("spark.sql.files.openCostInBytes")
+def test_no_batch_yet(spark, tmp_path):
+    assert read_batches(spark, str(tmp_path), "analyzed", "url STRING").columns == ["url", "batch"]
+    assert read_batches(spark, str(tmp_path), "analyzed", "url STRING").collect() == []

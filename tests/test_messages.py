@@ -2,18 +2,25 @@ import json
 
 import pytest
 
-from boardpulse.checks.stand_in import load_stand_in
-from boardpulse.operators.messages import PAYLOAD_COLUMNS, keyed_messages, latest_per_document, payloads
+from boardpulse.config import PAYLOAD_COLUMNS, ScoringConfig
+from boardpulse.operators.messages import keyed_messages, latest_per_document, payloads
 from boardpulse.operators.samples import analyzed_sample, payload_sample, post_sample
 from boardpulse.operators.scoring import analyzed_posts
-from boardpulse.sinks.kafka import KafkaConfig, stream_to_kafka, write_kafka
+from boardpulse.sinks.kafka import (
+    certificate_options,
+    connector_options,
+    login_options,
+    stream_to_kafka,
+    write_kafka,
+)
+from stand_in import stand_in
 from test_scoring import posts
 
 ORDER = ("page_id", "pos")
 
 
 def analyzed(spark, *texts, crawled_at="2026-02-01T00:00:00+00:00"):
-    return analyzed_posts(posts(spark, *texts), load_stand_in, crawled_at=crawled_at, keep=ORDER)
+    return analyzed_posts(posts(spark, *texts), stand_in, ScoringConfig("m-1"), crawled_at=crawled_at, keep=ORDER)
 
 
 def test_messages(spark):
@@ -44,11 +51,13 @@ def test_key_is_stripped(spark):
 
 
 def test_latest_per_document(spark):
+    from pyspark.sql import functions as F
+
     old = analyzed(spark, ("a", ""), ("b", ""), crawled_at="2026-01-01T00:00:00+00:00")
     new = analyzed(spark, ("c", ""))
-    again = analyzed(spark, ("d", "")).selectExpr("* EXCEPT (pos)", "pos + 5 AS pos")
-    rows = latest_per_document(old.unionByName(new).unionByName(again)).orderBy("doc_id").collect()
-    assert [(r["doc_id"], r["title"]) for r in rows] == [("5558:0", "d"), ("5558:1", "b")]
+    moved = new.withColumns({"page_id": F.lit(9).cast("bigint"), "title": F.lit("last")})
+    found = latest_per_document(old.unionByName(new).unionByName(moved).unionByName(moved)).orderBy("doc_id").collect()
+    assert [(r["doc_id"], r["title"]) for r in found] == [("5558:0", "last"), ("5558:1", "b")]
 
 
 def test_samples(spark):
@@ -63,84 +72,43 @@ def test_samples(spark):
     assert payload_sample(payloads(found, keep=ORDER)).count() == 3
 
 
-BASE = {"KAFKA_BOOTSTRAP_SERVERS": " a:1, b:2 ,", "KAFKA_TOPIC": "t"}
-
+BASE = {"kafka.bootstrap.servers": "a:1,b:2", "topic": "posts"}
 
-def test_kafka_defaults():
-    options = KafkaConfig.from_env(BASE).options()
-    assert options == {
-        "topic": "t",
-        "kafka.bootstrap.servers": "a:1,b:2",
-        "kafka.client.id": "board-sentiment",
-        "kafka.acks": "all",
-        "kafka.retries": "10",
-        "kafka.linger.ms": "20",
-        "kafka.batch.size": "32768",
-        "kafka.compression.type": "gzip",
-        "kafka.max.in.flight.requests.per.connection": "5",
-        "kafka.request.timeout.ms": "30000",
-        "kafka.security.protocol": "PLAINTEXT",
-    }
 
-
-def test_kafka_settings():
-    env = BASE | {"KAFKA_ACKS": "1", "KAFKA_RETRIES": "3", "KAFKA_COMPRESSION_TYPE": " ", "KAFKA_CLIENT_ID": " "}
-    options = KafkaConfig.from_env(env).options()
-    assert (options["kafka.acks"], options["kafka.retries"]) == ("1", "3")
-    assert (options["kafka.compression.type"], options["kafka.client.id"]) == ("none", "board-sentiment")
+def test_kafka_options():
+    options = connector_options(BASE | {"kafka.client.id": " me ", "kafka.acks": " ", "kafka.retries": "3"})
+    assert options["kafka.acks"] == "all" and options["kafka.retries"] == "3" and options["kafka.client.id"] == "me"
     for missing in BASE:
         with pytest.raises(ValueError, match=missing):
-            KafkaConfig.from_env({k: v for k, v in BASE.items() if k != missing})
-
-
-def test_kafka_sasl():
-    env = BASE | {
-        "KAFKA_SECURITY_PROTOCOL": "sasl_plaintext",
-        "KAFKA_SASL_MECHANISM": "scram-sha-512",
-        "KAFKA_SASL_USERNAME": "me",
-        "KAFKA_SASL_PASSWORD": 'p"\\q',
-    }
-    config = KafkaConfig.from_env(env)
-    options = config.options()
-    assert options["kafka.security.protocol"] == "SASL_PLAINTEXT"
-    assert options["kafka.sasl.mechanism"] == "SCRAM-SHA-512"
-    assert options["kafka.sasl.jaas.config"] == (
-        "org.apache.kafka.common.security.scram.ScramLoginModule required "
-        'username="me" password="p\\"\\\\q";'
-    )
-    assert "p\"" not in repr(config)
-    for name in ("KAFKA_SASL_MECHANISM", "KAFKA_SASL_USERNAME", "KAFKA_SASL_PASSWORD"):
+            connector_options({k: v for k, v in BASE.items() if k != missing})
+
+
+def test_kafka_login():
+    options = connector_options(BASE | login_options("scram-sha-256", 'a"b', "c\\d"))
+    assert options["kafka.security.protocol"] == "SASL_SSL" and options["kafka.sasl.mechanism"] == "SCRAM-SHA-256"
+    assert options["kafka.sasl.jaas.config"].endswith('ScramLoginModule required username="a\\"b" password="c\\\\d";')
+    for wrong in (("GSSAPI", "a", "b"), ("PLAIN", "", "b"), ("PLAIN", "a", "")):
         with pytest.raises(ValueError):
-            KafkaConfig.from_env(env | {name: ""}).options()
+            login_options(*wrong)
 
 
-def test_kafka_ssl(tmp_path):
-    cert, key = tmp_path / "cert.pem", tmp_path / "key.pem"
-    cert.write_text("CERT")
-    key.write_text("KEY")
-    env = BASE | {"KAFKA_SECURITY_PROTOCOL": "SSL", "KAFKA_SSL_CAFILE": "/ca.pem", "KAFKA_SSL_CERTFILE": str(cert)}
-    options = KafkaConfig.from_env(env).options()
-    assert options["kafka.ssl.truststore.location"] == "/ca.pem"
-    assert options["kafka.ssl.keystore.location"] == str(cert)
-    options = KafkaConfig.from_env(env | {"KAFKA_SSL_KEYFILE": str(key)}).options()
-    assert options["kafka.ssl.keystore.certificate.chain"] == "CERT"
-    assert options["kafka.ssl.keystore.key"] == "KEY"
-    assert "kafka.ssl.truststore.location" not in KafkaConfig.from_env(
-        env | {"KAFKA_SECURITY_PROTOCOL": "PLAINTEXT"}
-    ).options()
+def test_kafka_certificates_are_named_by_place():
+    options = certificate_options("/ca.pem", "/own.pem")
+    assert options["kafka.ssl.truststore.location"] == "/ca.pem" and options["kafka.ssl.keystore.location"] == "/own.pem"
+    assert certificate_options() == {}
 
 
 def test_kafka_write_needs_the_connector(spark):
     """Without the connector the write fails instead of losing messages."""
     messages = keyed_messages(payloads(analyzed(spark, ("a", ""))))
     with pytest.raises(Exception, match="kafka"):
-        write_kafka(messages, KafkaConfig("a:1", "t"))
+        write_kafka(messages, BASE)
 
 
 def test_stream_of_messages_needs_the_connector(spark, tmp_path):
     payloads(analyzed(spark, ("a", ""))).write.parquet(f"{tmp_path}/payloads")
     schema = spark.read.parquet(f"{tmp_path}/payloads").schema
     stream = keyed_messages(spark.readStream.schema(schema).parquet(f"{tmp_path}/payloads"))
-    writer = stream_to_kafka(stream, KafkaConfig("a:1", "t"), f"{tmp_path}/checkpoint")
+    writer = stream_to_kafka(stream, BASE, f"{tmp_path}/checkpoint")
     with pytest.raises(Exception, match="kafka"):
         writer.trigger(availableNow=True).start()

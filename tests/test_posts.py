@@ -1,6 +1,3 @@
-import random
-import re
-
 from helpers import apply
 from pyspark.sql import functions as F
 
@@ -9,7 +6,7 @@ from boardpulse.functions.markup import visible_lines
 from boardpulse.operators.posts import author, content, created_at, parse_lines
 
 LINES = "array<string>"
-DATE = "2026-01-28 13:28"
+DATE = "2031-11-05 07:09"
 
 
 def fields(spark, cases):
@@ -24,17 +21,17 @@ def test_created_at(spark):
     cases = {
         f"on {DATE} here": DATE,
         f"{DATE}:48": DATE,
-        "2026-01-28  13:28": "2026-01-28  13:28",
-        "2026-01-28　13:28": "2026-01-28　13:28",
+        "2031-11-05  07:09": "2031-11-05  07:09",
+        "2031-11-05　07:09": "2031-11-05　07:09",
         f"한{DATE}": None,
         f"{DATE}1": None,
         f"{DATE}_": None,
         f"({DATE})": DATE,
-        "1926-01-28 13:28": None,
+        "1931-11-05 07:09": None,
         f"x{DATE} {DATE}": DATE,
     }
     assert apply(spark, [[line] for line in cases], created_at, LINES) == list(cases.values())
-    late = [["x"] * 119 + [DATE], ["x"] * 120 + [DATE], [], [DATE, "2027-01-28 13:28"]]
+    late = [["x"] * 119 + [DATE], ["x"] * 120 + [DATE], [], [DATE, "2027-01-28 07:09"]]
     assert apply(spark, late, created_at, LINES) == [DATE, None, None, DATE]
     seconds = apply(spark, [[f"{DATE}:48"], [DATE]], lambda c: created_at(c, seconds=True), LINES)
     assert seconds == [f"{DATE}:48", DATE]
@@ -71,40 +68,28 @@ def test_content(spark):
     assert [c for _, _, c in fields(spark, [c[0] for c in cases])] == [c[1] for c in cases]
 
 
-def by_scanning(lines):
-    """The three fields found by going through the lines one at a time."""
-    date = name = None
-    for n, line in enumerate(lines[:120]):
-        hit = re.search(r"\b20\d{2}-\d{2}-\d{2}\s+\d{2}:\d{2}\b", line)
-        if date is None and hit:
-            date = hit[0]
-        if name is None and n and line.startswith("조회:") and len(lines[n - 1]) <= 20:
-            name = lines[n - 1]
-    kept, started = [], date not in lines
-    for line in lines:
-        if started and line in ("목록", "댓글쓰기", "댓글보기"):
-            break
-        if started and line[:3] not in ("조회:", "추천:"):
-            kept.append(line)
-        started = started or line == date
-    return date, name, "\n".join(kept)
-
-
-def test_fields_of_random_lines(spark):
-    words = ["a", "한글", "조회: 1", "추천: 1", "목록", "댓글쓰기", "댓글보기", DATE, f"at {DATE}:11", "l" * 21]
-    dice = random.Random(7)
-    cases = [dice.choices(words, k=dice.randrange(140 if n % 9 == 0 else 9)) for n in range(1500)]
-    assert fields(spark, cases) == [by_scanning(lines) for lines in cases]
+def test_fields_of_whole_pages(spark):
+    """Cases written out: lines, then date, author and content."""
+    long = "l" * 21
+    cases = [
+        (["head", "me", "조회: 1", DATE, "a", "추천: 1", "목록", "b"], (DATE, "me", "a")),
+        (["head", long, "조회: 1", f"at {DATE}:11", "a"], (DATE, None, f"head\n{long}\nat {DATE}:11\na")),
+        (["조회: 1", DATE, "조회: 2", "a", "댓글쓰기"], (DATE, DATE, "a")),
+        (["a", "b"], (None, None, "a\nb")),
+        (["목록", "a", DATE, "b", "댓글보기", "c"], (DATE, None, "b")),
+        ([DATE, DATE, "x"], (DATE, None, f"{DATE}\nx")),
+        (["x"] * 121 + [DATE, "b", "목록"], (None, None, "\n".join(["x"] * 121 + [DATE, "b"]))),
+        (["추천: 9", "조회: 9", "me", "조회: 9"], (None, "추천: 9", "me")),
+    ]
+    assert fields(spark, [c[0] for c in cases]) == [c[1] for c in cases]
 
 
-def test_page_with_seconds(spark):
-    html = """<html><body><h2>[잡담] 테스트 제목</h2><div>닉네임123</div><div>조회: 45</div>
-      <div>2026-01-28 13:28:48</div><div>첫 번째 줄 본문</div><div>두 번째 줄 본문</div>
-      <div>추천확인</div></body></html>"""
+def test_seconds_belong_to_the_date_if_wanted(spark):
+    html = """<html><body><h1>Rain on Sunday</h1><p>gardener</p><p>조회: 7</p><p>2031-11-05 07:09:33</p>
+      <p>It poured.</p><p>Nothing else happened.</p></body></html>"""
     pages = spark.createDataFrame([(html,)], "html string").select(visible_lines("html").alias("lines"))
     row = parse_lines(pages).first()
-    assert (row["created_at"], row["author"]) == (DATE, "닉네임123")
-    assert row["content"].startswith("[잡담] 테스트 제목\n닉네임123\n2026-01-28 13:28:48\n첫 번째")
+    assert (row["created_at"], row["author"]) == (DATE, "gardener")
+    assert row["content"] == "Rain on Sunday\ngardener\n2031-11-05 07:09:33\nIt poured.\nNothing else happened."
     row = parse_lines(pages, BoardConfig(created_at_seconds=True)).first()
-    assert row["created_at"] == "2026-01-28 13:28:48"
-    assert row["content"] == "첫 번째 줄 본문\n두 번째 줄 본문\n추천확인"
+    assert (row["created_at"], row["content"]) == ("2031-11-05 07:09:33", "It poured.\nNothing else happened.")

@@ -1,32 +1,30 @@
-import contextlib
+import hashlib
 import itertools
 import math
-import sys
 from datetime import datetime
-from types import SimpleNamespace
 
 import pytest
 from helpers import apply
 from pyspark.sql import functions as F
 
-from boardpulse.checks.stand_in import load_stand_in, stand_in_logits
-from boardpulse.config import ScoringConfig
+from boardpulse.config import ANALYZED_COLUMNS, ScoringConfig
 from boardpulse.functions.sentiment import model_text, sentiment_label, softmax
 from boardpulse.operators.scoring import (
-    ANALYZED_COLUMNS,
     add_sentiment,
     analyzed_posts,
+    batch_scorer,
     score_posts,
     spread,
-    transformers_model,
     utc_now,
 )
+from boardpulse.operators.weights import learn_weights
+from stand_in import stand_in
 
 POSTS = (
     "board_id int, post_id bigint, url string, title string, category string, author string, "
     "created_at string, content string, page_id bigint, pos int"
 )
-BOTH = ScoringConfig(text_used="title+content")
+BOTH = ScoringConfig("m-1", text_used="title+content")
 
 
 def posts(spark, *texts):
@@ -36,8 +34,8 @@ def posts(spark, *texts):
 
 def test_model_text(spark):
     cases = [
-        ("제목", "본문", "제목", "제목\n\n본문"),
-        ("제목", "", "제목", "제목"),
+        ("Rain", "It poured.", "Rain", "Rain\n\nIt poured."),
+        ("Rain", "", "Rain", "Rain"),
         ("", "본문", "", "본문"),
         (None, None, "", ""),
         (" \xa0제목　", " \n본 문\t", "제목", "제목\n\n본 문"),
@@ -53,9 +51,9 @@ def test_model_text(spark):
 
 
 def test_settings_are_checked():
-    for wrong in ({"batch_size": 0}, {"max_length": -1}, {"text_used": "content"}):
+    for wrong in ({"batch_size": 0}, {"neutral_floor": 1.5}, {"text_used": "content"}):
         with pytest.raises(ValueError):
-            ScoringConfig(**wrong)
+            ScoringConfig("m-1", **wrong)
 
 
 def label_of(neg, neu, pos, floor):
@@ -91,10 +89,14 @@ def test_blank_text_is_neutral_whatever_the_model_says(spark):
 
 def test_model_gives_the_same_as_the_expression(spark):
     df = posts(spark, *[("e" * n, "text" * (n % 7)) for n in range(200)], ("", ""), (None, None))
-    scored = score_posts(df, load_stand_in, BOTH)
+
+    def load(config):
+        return lambda texts: [[len(t) % 5, t.count("e") % 5, 2] for t in texts]
+
+    scored = score_posts(df, batch_scorer(load, BOTH), BOTH)
     native = add_sentiment(
         df.withColumn("model_text", model_text(F.col("title"), F.col("content"), "title+content")).withColumn(
-            "logits", stand_in_logits(F.col("model_text"))
+            "logits", stand_in(F.col("model_text"))
         ),
         "model_text",
         "logits",
@@ -118,7 +120,8 @@ def test_batches_and_loading(spark, tmp_path):
         return predict
 
     df = posts(spark, *[("x", "")] * 50)
-    config = ScoringConfig(batch_size=7)
+    config = ScoringConfig("m-1", batch_size=7)
+    load = batch_scorer(load, config)
     empty = score_posts(df.where("post_id < 0").repartition(4), load, config)
     assert empty.collect() == []
     assert list(tmp_path.iterdir()) == []
@@ -132,17 +135,17 @@ def test_errors_of_the_model_fail_the_job(spark):
         return lambda texts: [[0, 0, 0]] * (len(texts) - 1)
 
     with pytest.raises(Exception, match="reshape"):
-        score_posts(posts(spark, ("a", ""), ("b", "")), load, ScoringConfig()).collect()
+        score_posts(posts(spark, ("a", ""), ("b", "")), batch_scorer(load, BOTH), BOTH).collect()
 
 
 def test_analyzed_posts(spark):
     df = posts(spark, ("eee", "body"), ("", ""))
-    rows = analyzed_posts(df, load_stand_in, BOTH, "2026-02-01T00:00:00+00:00").orderBy("post_id").collect()
+    rows = analyzed_posts(df, stand_in, BOTH, "2026-02-01T00:00:00+00:00").orderBy("post_id").collect()
     assert tuple(rows[0].asDict()) == ANALYZED_COLUMNS
     assert (rows[0]["content"], rows[1]["content"]) == ("body", None)
     assert rows[1]["sentiment_probs"].asDict() == {"neg": 0.0, "neu": 1.0, "pos": 0.0}
     assert {r["crawled_at"] for r in rows} == {"2026-02-01T00:00:00+00:00"}
-    assert {(r["model_version"], r["text_used"]) for r in rows} == {("kcbert-finetuned-v1", "title+content")}
+    assert {(r["model_version"], r["text_used"]) for r in rows} == {("m-1", "title+content")}
     assert datetime.fromisoformat(utc_now()).utcoffset().total_seconds() == 0
 
 
@@ -152,55 +155,22 @@ def test_spread_splits_a_repeated_post(spark):
     assert len(sizes) == 8 and max(r["count"] for r in sizes) < 100
 
 
-class Tokens(dict):
-    def to(self, device):
-        return self | {"device": device}
-
-
-def test_transformers_loader_passes_its_settings(monkeypatch):
-    """With stand-ins for the two libraries, which are not installed here."""
-    calls = []
-
-    class Outputs:
-        def __init__(self, rows):
-            self.rows = rows
-
-        def float(self):
-            return self
-
-        def cpu(self):
-            return self
-
-        def numpy(self):
-            return self.rows
-
-    class Network:
-        def to(self, device):
-            calls.append(("device", device))
-            return self
-
-        def eval(self):
-            return self
-
-        def __call__(self, texts, device):
-            return SimpleNamespace(logits=Outputs([[len(t), 0, 0] for t in texts]))
-
-    def tokenizer(texts, **options):
-        calls.append(("tokenizer", options))
-        return Tokens(texts=texts)
-
-    torch = SimpleNamespace(
-        cuda=SimpleNamespace(is_available=lambda: False), inference_mode=contextlib.nullcontext
-    )
-    transformers = SimpleNamespace(
-        AutoTokenizer=SimpleNamespace(from_pretrained=lambda path: tokenizer),
-        AutoModelForSequenceClassification=SimpleNamespace(from_pretrained=lambda path: Network()),
-    )
-    monkeypatch.setitem(sys.modules, "torch", torch)
-    monkeypatch.setitem(sys.modules, "transformers", transformers)
-    predict = transformers_model("folder")(ScoringConfig(max_length=9))
-    assert predict(["ab", "c"]) == [[2, 0, 0], [1, 0, 0]]
-    options = {"truncation": True, "max_length": 9, "padding": True, "return_tensors": "pt"}
-    assert calls == [("device", "cpu"), ("tokenizer", options)]
-    transformers_model("folder", device="cuda")(ScoringConfig())
-    assert calls[-1] == ("device", "cuda")
+def test_weights_prefer_the_words_of_a_class(spark):
+    texts = [("sun warm", "pos")] * 20 + [("mud cold", "neg")] * 20 + [("a table", "neu")] * 20 + [(None, "pos"), ("x", None), ("x", "odd")]
+    scorer = learn_weights(spark.createDataFrame(texts, "text string, label string")).logits
+    rows = apply(spark, ["warm SUN", "cold\tmud mud", "table", "", None], scorer)
+    assert [r.index(max(r)) for r in rows[:3]] == [2, 0, 1]
+    assert rows[3] == [0.0, 0.0, 0.0]
+    none = learn_weights(spark.createDataFrame([], "text string, label string")).logits
+    assert apply(spark, ["warm"], none) == [[0.0, 0.0, 0.0]]
+
+
+def test_weights_by_hand(spark):
+    texts = [("b b c", "neg"), ("c", "neu"), ("d", "pos")]
+    weights = learn_weights(spark.createDataFrame(texts, "text string, label string"))
+    place = {t: int(hashlib.md5(t.encode()).hexdigest()[:3], 16) for t in "bcd"}
+    n = {"neg": {"b": 2, "c": 1}, "neu": {"c": 1}, "pos": {"d": 1}}
+    for token in "bcd":
+        logs = [math.log((n[x].get(token, 0) + 1) / (4096 + sum(n[x].values()))) for x in ("neg", "neu", "pos")]
+        expected = [round((w - sum(logs) / 3) * 1e6) for w in logs]
+        assert [v[place[token]] for v in weights.values] == pytest.approx(expected, abs=1)
