@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from boardpulse.llm.batches import by_text_size
+from boardpulse.llm.batches import by_text_size, map_batches
 from boardpulse.llm.common import scratch_folder, stored
 
 #: Ids per word and bits per id, by selector. Fixed values of the format.
@@ -44,7 +44,7 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     large = ids >= ESCAPED
     values = np.where(large, np.uint64(ESCAPED), ids)
     size = len(values)
-    bits = np.zeros(size + COUNTS[0], np.uint8)  # zeros after the end fill the last word
+    bits = np.zeros(size + 2 * COUNTS[0], np.uint8)  # zeros after the end fill the last word
     bits[:size] = np.frexp(values.astype(np.float64))[1]
     # The most bits among the next values, for longer and longer runs of them.
     most, run = np.maximum(bits[:-1], bits[1:]), 2
@@ -52,8 +52,10 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for selector in range(len(COUNTS) - 1, -1, -1):
         more = COUNTS[selector] - run
         most, run = np.maximum(most[: len(most) - more], most[more:]), COUNTS[selector]
-        fits = np.concatenate([most, np.zeros(max(0, size - len(most)), np.uint8)])[:size] <= WIDTHS[selector]
-        chosen[fits] = selector
+        fits = most[:size] <= WIDTHS[selector]
+        if not fits.any():
+            break  # nor do longer runs of narrower values fit
+        np.copyto(chosen, selector, where=fits)
     steps = np.array(COUNTS)[chosen]
     hops, starts, at = steps.tolist(), [], 0
     while at < size:
@@ -87,59 +89,106 @@ def unpack(words: np.ndarray, escapes: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
-#: A text of these characters alone is cut into the words of the tokenizer's own pattern.
-_PLAIN = re.compile(rf"[\t\n\r -~{_LETTERS}]*")
-_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s0-9{_LETTERS}]+|\s+(?!\S)|\s+")
+#: A text of these characters alone is cut by array operations into the words of the tokenizer's own pattern.
+_PLAIN = re.compile(r"[\t\n\r -~À-ÖØ-öø-ɏ]*")
 #: Another text is cut where a blank stands before one of these: a word starts there in any case.
 _STARTS = "!-~À-ɏ"
 _SEGMENTS = re.compile(rf"(?:\A[^ ]+| [{_STARTS}][^ ]*)(?: (?![{_STARTS}])[^ ]*)*|\A(?: (?![{_STARTS}])[^ ]*)+")
+#: Kinds of bytes in plain texts: end of a text, white space, letter, digit, other.
+_KINDS = np.array([0 if c == 0 else 1 if c in b"\t\n\r " else 3 if 48 <= c < 58 else 2 if c > 127 or chr(c).isalpha() else 4 for c in range(256)], np.uint8)
 #: Segments whose ids a worker keeps, in each of two generations.
 KEPT_SEGMENTS = 200_000
 
 
+def word_starts(raw: np.ndarray) -> np.ndarray:
+    """Where the tokenizer's words start in plain texts that each end with a zero byte; the zero bytes are words too."""
+    kind = _KINDS[raw]
+    start = np.ones(len(raw), bool)
+    start[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == 0)
+    # The last of the white space before a word stands alone, or is the word's first character if it is a blank.
+    last = np.flatnonzero((kind[:-1] == 1) & (kind[1:] > 1))
+    start[last] = True
+    start[last[raw[last] == 32] + 1] = False
+    quotes = np.flatnonzero(raw == 39)
+    quotes = quotes[start[quotes]]
+    one, two = raw[quotes + 1], raw[np.minimum(quotes + 2, len(raw) - 1)]
+    short = quotes[np.isin(one, np.frombuffer(b"stmd", np.uint8))]
+    r, v, ell, e = b"rvle"
+    long = quotes[((one == r) & (two == e)) | ((one == v) & (two == e)) | ((one == ell) & (two == ell))]
+    for at, size in ((short, 2), (long, 3)):
+        start[at + 1] = False
+        start[at + size] = True
+    return np.flatnonzero(start)
+
+
 class SegmentEncoder:
     """Ids of whole texts by the tokenizers library, which is asked once for each segment kept.
 
     Segments are kept as the bytes of their ids, so that a text's ids are their join.
     """
 
-    def __init__(self, spec: bytes):
+    def __init__(self, spec: bytes, end_id: int = 0):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task per core already
         self.tokenizer = Tokenizer.from_buffer(spec)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.end = array("I", [end_id]).tobytes()
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str], end_id: int) -> list[np.ndarray]:
-        plain = [_PLAIN.fullmatch(t) and not any(x in t for x in self.special) for t in texts]
-        cut = [(_WORDS if p else _SEGMENTS).findall(t) for p, t in zip(plain, texts, strict=True)]
+    def _known(self, segments: set[str]) -> dict[str, bytes]:
+        """The kept segments, with all of these among them."""
         if len(self.young) > KEPT_SEGMENTS:
             self.young, self.old = {}, self.young
-        young, old = self.young, self.old
-        missing = []
-        for segment in {s for c in cut for s in c}:
-            if segment not in young:
-                known = old.get(segment)
-                if known is None:
-                    missing.append(segment)
-                else:
-                    young[segment] = known
+        young = self.young
+        young["\0"] = self.end
+        for segment in segments.difference(young).intersection(self.old):
+            young[segment] = self.old[segment]
+        missing = list(segments.difference(young))
         if missing:
-            found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-            young.update(zip(missing, (array("I", x.ids).tobytes() for x in found), strict=True))
-        end = array("I", [end_id]).tobytes()
-        return [np.frombuffer(b"".join(map(young.__getitem__, c)) + end, np.uint32) for c in cut]
+            # Each segment is a word of its own, so none joins another.
+            found = self.tokenizer.encode(missing, is_pretokenized=True, add_special_tokens=False)
+            ends = np.searchsorted(np.array(found.word_ids), np.arange(len(missing) + 1)).tolist()
+            ids = array("I", found.ids).tobytes()
+            young.update((s, ids[4 * a : 4 * b]) for s, a, b in zip(missing, ends, ends[1:], strict=False))
+        return young
+
+    def _plain(self, texts: list[str]) -> list[np.ndarray]:
+        raw = "\0".join([*texts, ""]).encode()
+        starts = word_starts(np.frombuffer(raw, np.uint8))
+        offsets = np.append(starts, len(raw)).astype(np.int32)
+        words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(raw)).dictionary_encode()
+        names, which = words.dictionary.to_pylist(), words.indices.to_numpy()
+        known = self._known(set(names))
+        parts = [known[n] for n in names]
+        sizes = np.array([len(p) for p in parts]) // 4
+        begins = np.cumsum(sizes) - sizes
+        flat = np.frombuffer(b"".join(parts), np.uint32)
+        own = sizes[which]
+        ends = np.cumsum(own)
+        ids = flat[np.repeat(begins[which] - ends + own, own) + np.arange(ends[-1])]
+        return np.split(ids, ends[which == names.index("\0")][:-1])
+
+    def _other(self, texts: list[str]) -> list[np.ndarray]:
+        cut = [_SEGMENTS.findall(t) for t in texts]
+        known = self._known({s for c in cut for s in c if s != "\0"})
+        alone = {"\0": array("I", self.tokenizer.encode("\0", add_special_tokens=False).ids).tobytes()}
+        return [np.frombuffer(b"".join([alone.get(s) or known[s] for s in c]) + self.end, np.uint32) for c in cut]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text with the end id."""
+        plain = [bool(_PLAIN.fullmatch(t)) and not any(x in t for x in self.special) for t in texts]
+        of_kind = [iter(use([t for p, t in zip(plain, texts, strict=True) if p == k]) if k in plain else []) for k, use in ((False, self._other), (True, self._plain))]
+        return [next(of_kind[p]) for p in plain]
 
 
 _ENCODERS: dict[int, SegmentEncoder] = {}
 
 
-def _encoder(spec: bytes) -> SegmentEncoder:
+def _encoder(spec: bytes, end_id: int) -> SegmentEncoder:
     """One per Python worker."""
-    key = hash(spec)
+    key = hash((spec, end_id))
     if key not in _ENCODERS:
-        _ENCODERS[key] = SegmentEncoder(spec)
+        _ENCODERS[key] = SegmentEncoder(spec, end_id)
     return _ENCODERS[key]
 
 
@@ -178,10 +227,10 @@ def write_ids(documents: DataFrame, spec: bytes, path: str, end_id: int = 0) ->
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard = _encoder(spec), TaskContext.get().partitionId()
+        encoder, shard = _encoder(spec, end_id), TaskContext.get().partitionId()
         docs, ids, size, start, block = [], [], 0, 0, 0
         for batch in by_text_size(batches, "text"):
-            found = encoder.encode(batch.column("text").to_pylist(), end_id)
+            found = encoder.encode(batch.column("text").to_pylist())
             for doc, one in zip(batch.column("doc_id").to_pylist(), found, strict=True):
                 docs.append(doc)
                 ids.append(one)
@@ -192,41 +241,50 @@ def write_ids(documents: DataFrame, spec: bytes, path: str, end_id: int = 0) ->
         if docs:
             yield _block(shard, block, start, docs, ids)
 
-    ordered.mapInArrow(run, _BLOCK).write.mode("overwrite").parquet(path)
+    map_batches(ordered, run, _BLOCK).write.mode("overwrite").parquet(path)
+
+
+def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, pa.Array], np.ndarray, np.ndarray]]:
+    """For each block: columns that name its documents, where each begins (and the last ends), and all ids."""
+    for batch in batches:
+        for at in range(batch.num_rows):
+            row = batch.slice(at, 1).to_pylist()[0]
+            ids = unpack(np.frombuffer(row["words"], "<u8"), np.frombuffer(row["escapes"], "<u8"), row["n_ids"])
+            bounds, count = np.array([*row["begins"], len(ids)]), len(row["doc_ids"])
+            columns = {
+                "shard": pa.array(np.full(count, row["shard"], np.int32)),
+                "block": pa.array(np.full(count, row["block"], np.int32)),
+                "place": pa.array(np.arange(count, dtype=np.int32)),
+                "start": pa.array(bounds[:-1] + row["start"]),
+                "doc_id": pa.array(row["doc_ids"], pa.int64()),
+            }
+            yield columns, bounds, ids
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """(shard, block, place, start in the shard, doc_id, ids) of the written documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                ids = unpack(np.frombuffer(row["words"], "<u8"), np.frombuffer(row["escapes"], "<u8"), row["n_ids"])
-                begins, count = np.array(row["begins"]), len(row["doc_ids"])
-                values = {
-                    "shard": pa.array([row["shard"]] * count, pa.int32()),
-                    "block": pa.array([row["block"]] * count, pa.int32()),
-                    "place": pa.array(range(count), pa.int32()),
-                    "start": pa.array(begins + row["start"], pa.int64()),
-                    "doc_id": pa.array(row["doc_ids"], pa.int64()),
-                    "ids": pa.ListArray.from_arrays(pa.array([*row["begins"], len(ids)], pa.int32()), pa.array(ids.astype(np.int64))),
-                }
-                yield pa.RecordBatch.from_arrays(list(values.values()), list(values))
+        for columns, bounds, ids in _decoded(batches):
+            columns["ids"] = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int64)))
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     blocks = spark.read.schema(_BLOCK).parquet(path)
-    return blocks.mapInArrow(run, "shard int, block int, place int, start long, doc_id long, ids array<bigint>")
+    return map_batches(blocks, run, "shard int, block int, place int, start long, doc_id long, ids array<bigint>")
+
 
+def read_checksums(spark: SparkSession, path: str) -> DataFrame:
+    """As :func:`read_ids`, with the number of ids and the CRC-32 of their bytes (32 bits each) in place of the ids."""
 
-def _crc32(ids: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [x.values.to_numpy() for x in batch.column("ids")]
-            values = {n: batch.column(n) for n in ("shard", "doc_id", "start")}
-            values["n_tokens"] = pa.array([len(x) for x in own], pa.int64())
-            values["ids_crc32"] = pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in own], pa.int64())
-            yield pa.RecordBatch.from_arrays(list(values.values()), list(values))
+        for columns, bounds, ids in _decoded(batches):
+            raw = memoryview(ids.astype("<u4").tobytes())
+            sums = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(bounds.tolist(), bounds.tolist()[1:], strict=False)]
+            columns |= {"n_tokens": pa.array(np.diff(bounds)), "ids_crc32": pa.array(sums, pa.int64())}
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return ids.mapInArrow(run, "shard int, doc_id long, start long, n_tokens long, ids_crc32 long")
+    blocks = spark.read.schema(_BLOCK).parquet(path)
+    return map_batches(blocks, run, "shard int, block int, place int, start long, doc_id long, n_tokens long, ids_crc32 long")
 
 
 def id_digests(documents: DataFrame, spec: bytes, end_id: int = 0) -> DataFrame:
@@ -238,5 +296,5 @@ def id_digests(documents: DataFrame, spec: bytes, end_id: int = 0) -> DataFrame:
     totals = spark.read.parquet(f"{folder}/ids").groupBy("shard").agg(F.sum("n_ids").alias("n"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = stored(totals.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "bases", folder)
-    found = _crc32(read_ids(spark, f"{folder}/ids")).join(bases, "shard")
+    found = read_checksums(spark, f"{folder}/ids").join(bases, "shard")
     return found.select("doc_id", (F.col("start") + F.col("base")).alias("start"), "n_tokens", "ids_crc32")
