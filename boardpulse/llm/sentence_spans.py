@@ -24,13 +24,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boardpulse.llm.batches import by_text_size
+from boardpulse.llm.batches import by_text_size, map_batches
 from boardpulse.llm.common import scratch_folder, stored
 
 #: A run has so many sentences and words at least.
 SENTENCES, WORDS = 3, 16
 #: What ends a sentence. A word of ten letters does so too: long sentences are then cut alike wherever they stand.
-_END = re.compile(r"[.!?;:,…。！？|]+\s+|\n\s*|\w{10,}\s+")
+#: Both are tried at their first character alone, so a long run of either costs no more than its length.
+_END = re.compile(r"(?<![.!?;:,…。！？|])[.!?;:,…。！？|]++\s+|\n\s*|(?<!\w)\w{10,}+\s+")
 
 
 def sentences(text: str) -> list[str]:
@@ -79,7 +80,7 @@ def _occurrences(documents: DataFrame) -> DataFrame:
             )
 
     read = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").where("text is not null")
-    return read.mapInArrow(run, "hash long, doc_id long, text_hash long, first int, last int")
+    return map_batches(read, run, "hash long, doc_id long, text_hash long, first int, last int")
 
 
 def repeated_spans(documents: DataFrame) -> DataFrame:
@@ -119,7 +120,7 @@ def without_repeats(documents: DataFrame) -> DataFrame:
             columns["text"] = pa.array(texts, columns["text"].type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    done = joined.mapInArrow(run, schema)
+    done = map_batches(joined, run, schema)
     if "n_chars" in schema.names:
         done = done.withColumn("n_chars", F.char_length("text").cast(schema["n_chars"].dataType))
     return done
