@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from boardpulse.llm.common import remove_folder, scratch_folder, stored
 
 
-def _towards_minimum(links: DataFrame) -> DataFrame:
+def _towards_minimum(links: DataFrame, folder: str) -> DataFrame:
     """Links (a, b) in both directions: each larger neighbour to the node's minimum."""
     both = links.union(links.select("b", "a"))
-    least = both.groupBy("a").agg(F.min("b").alias("low")).withColumn("low", F.least("a", "low"))
+    # Written, so that the join below reads plain exchanges, whose large keys can be split.
+    least = stored(both.groupBy("a").agg(F.least("a", F.min("b")).alias("low")), "least", folder)
     return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b")
 
 
@@ -42,7 +43,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     seen, turn = None, 0
     while True:
         turn += 1
-        after = stored(_below_minimum(_towards_minimum(now).distinct()), f"round-{turn}", folder)
+        after = stored(_below_minimum(_towards_minimum(now, f"{folder}/in-{turn}").distinct()), f"round-{turn}", folder)
         state = after.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if turn > 1:
             remove_folder(spark, f"{folder}/round-{turn - 2}")

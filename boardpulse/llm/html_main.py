@@ -19,7 +19,7 @@ from itertools import accumulate
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from boardpulse.llm.batches import by_text_size
+from boardpulse.llm.batches import by_text_size, map_batches
 
 #: Lines of the sliding window, and so the empty lines that end a stretch.
 WINDOW = 3
@@ -188,4 +188,4 @@ def extracted(pages: DataFrame) -> DataFrame:
             columns = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])
 
-    return pages.select("page_id", "url", "html").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return map_batches(pages.select("page_id", "url", "html"), run, "page_id long, url string, text string, n_chars long")

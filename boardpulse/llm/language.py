@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boardpulse.llm.batches import by_text_size
+from boardpulse.llm.batches import by_text_size, map_batches
 from boardpulse.llm.common import scratch_folder, stored
 
 #: Country suffixes that speak for a language. Fixed values.
@@ -73,7 +73,8 @@ def triple_counts(texts: DataFrame, settings: Settings = Settings()) -> DataFram
             columns = [pa.array([declared] * len(some), pa.string()), pa.array(some.astype(np.int32)), pa.array(n[some])]
             yield pa.RecordBatch.from_arrays(columns, ["declared", "bucket", "n"])
 
-    return known.select("text", "declared").mapInArrow(run, "declared string, bucket int, n long").groupBy("declared", "bucket").agg(F.sum("n").alias("n"))
+    found = map_batches(known.select("text", "declared"), run, "declared string, bucket int, n long")
+    return found.groupBy("declared", "bucket").agg(F.sum("n").alias("n"))
 
 
 def log_likelihoods(counts: DataFrame, settings: Settings = Settings()) -> np.ndarray:
@@ -107,7 +108,7 @@ def _with_votes(frame: DataFrame, model: np.ndarray, settings: Settings) -> Data
             columns = [batch.column("host"), batch.column("domain"), pa.array([names[i] for i in best], pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["host", "domain", "vote"])
 
-    return frame.select("text", "host", "domain").mapInArrow(run, "host string, domain string, vote string")
+    return map_batches(frame.select("text", "host", "domain"), run, "host string, domain string, vote string")
 
 
 def host_priors(votes: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -195,7 +196,7 @@ def identified(
             columns += [pa.array([names[i] for i in best], pa.string()), pa.array(most), pa.array((best < len(names) - 1) & (most >= settings.least))]
             yield pa.RecordBatch.from_arrays(columns, [*(n for n, _ in fields), "language", "probability", "accepted"])
 
-    return joined.select("text", "declared", "suffix", "prior", *(n for n, _ in fields)).mapInArrow(run, schema)
+    return map_batches(joined.select("text", "declared", "suffix", "prior", *(n for n, _ in fields)), run, schema)
 
 
 def document_languages(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boardpulse.llm.batches import by_text_size
+from boardpulse.llm.batches import by_text_size, map_batches
 
 #: Labelled rows that the trees are fitted on at most, taken in the order of a hash of the id.
 MAX_LABELLED = 20_000
@@ -143,7 +143,7 @@ def _with_features(frame: DataFrame, name: str, kind: str) -> DataFrame:
             lists = pa.FixedSizeListArray.from_arrays(pa.array(x.reshape(-1)), N_FEATURES).cast(pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column(name), lists], ["doc_id", name, "x"])
 
-    return frame.select("doc_id", name, "text").mapInArrow(run, f"doc_id long, {name} {kind}, x array<double>")
+    return map_batches(frame.select("doc_id", name, "text"), run, f"doc_id long, {name} {kind}, x array<double>")
 
 
 def learn(documents: DataFrame, labels: DataFrame, label: str = "quality", most: int = MAX_LABELLED) -> Trees:
@@ -173,4 +173,4 @@ def scored(documents: DataFrame, trees: Trees, cut: float = 0.7) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "score", "predicted"])
 
     read = documents.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    return read.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return map_batches(read, run, "doc_id long, held_out boolean, score double, predicted int")

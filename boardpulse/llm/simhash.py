@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
+from boardpulse.llm.batches import map_batches
 from boardpulse.llm.common import scratch_folder, stored
 from boardpulse.llm.components import connected_components
 
@@ -100,7 +101,7 @@ def with_fingerprints(frame: DataFrame, text_column: str, words: int) -> DataFra
             names = [n for i, n in enumerate(batch.schema.names) if i != at]
             yield pa.RecordBatch.from_arrays([*rest, pa.array(prints.view(np.int64))], [*names, "fp"])
 
-    return frame.mapInArrow(run, StructType([*kept, StructField("fp", LongType())]))
+    return map_batches(frame, run, StructType([*kept, StructField("fp", LongType())]))
 
 
 def _blocks(max_diff: int) -> list[tuple[int, int]]:
@@ -279,13 +280,9 @@ def gray_links(prints: DataFrame, max_diff: int) -> DataFrame:
     """
     blocks = _blocks(max_diff)
     keys = [sum(((1 << blocks[i][1]) - 1) << blocks[i][0] for i in pair) for pair in combinations(range(len(blocks)), 2)]
-    ordered = (
-        prints.select("fp")
-        .mapInArrow(_ranked(max_diff), "combo int, rank long, fp long")
-        .repartitionByRange("combo", "rank")
-        .sortWithinPartitions("combo", "rank")
-    )
-    pages = stored(ordered.mapInArrow(_pages(keys, max_diff), _PAGES), "pages")
+    ranked = map_batches(prints.select("fp"), _ranked(max_diff), "combo int, rank long, fp long")
+    ordered = ranked.repartitionByRange("combo", "rank").sortWithinPartitions("combo", "rank")
+    pages = stored(map_batches(ordered, _pages(keys, max_diff), _PAGES), "pages")
     right = pages.select(
         "combo", "bucket", *(F.col(c).alias(f"{c}2") for c in ("place", "mask", "pattern")), F.col("codes").alias("others")
     )
@@ -293,9 +290,9 @@ def gray_links(prints: DataFrame, max_diff: int) -> DataFrame:
         pages.join(right, ["combo", "bucket"])
         .where("place < place2 and bit_count((pattern ^ pattern2) & mask & mask2) <= " + str(max_diff))
         .select("codes", "others")
-        .mapInArrow(_between(max_diff), "near array<long>")
     )
-    flat = pages.select("near").union(met).where(F.size("near") > 0)
+    between = map_batches(met, _between(max_diff), "near array<long>")
+    flat = pages.select("near").union(between).where(F.size("near") > 0)
     steps = F.transform(
         F.sequence(F.lit(0), F.size("near") - 1, F.lit(2)),
         lambda k: F.struct(F.get("near", k).alias("a"), F.get("near", k + 1).alias("b")),
