@@ -32,6 +32,8 @@ LEAST_ROWS = 100
 FLOORS = (0.06, 0.08, 0.04, 0.08)
 #: Median of the chi-squared distribution with four degrees of freedom, and the squared distance that is too large.
 CHI2_MEDIAN, TOO_FAR = 3.3567, 36.0
+#: Groups whose estimates are broadcast at most; more are joined by a shuffle.
+MAX_BROADCAST_GROUPS = 50_000
 #: What an estimate is for.
 GROUP = ["level", "lang", "source"]
 _X = tuple(f"x{i}" for i in range(4))
@@ -127,6 +129,11 @@ def _inverse_root(frame: DataFrame) -> DataFrame:
 _ESTIMATE = [f"m{i}" for i in range(4)] + [f"w{i}{j}" for i in range(4) for j in range(i + 1)]
 
 
+def _sized(frame: DataFrame) -> DataFrame:
+    """A stored table of groups, to be broadcast if it is known to be small."""
+    return F.broadcast(frame) if frame.count() <= MAX_BROADCAST_GROUPS else frame
+
+
 def _group(level: int) -> Column:
     """The group of a row at a level, the names that do not count being empty."""
     names = [F.col(n) if level <= at else F.lit("") for n, at in (("lang", 1), ("source", 0))]
@@ -152,12 +159,13 @@ def estimates(rows: DataFrame, folder: str) -> DataFrame:
 
     ``scale`` makes the median squared distance that of the chi-squared distribution.
     """
-    now = stored(_first_estimate(rows), "estimate-0", folder)
+    now = _sized(stored(_first_estimate(rows), "estimate-0", folder))
     for step in range(1, STEPS + 1):
         far = rows.join(now, GROUP).withColumn("d", _distance())
-        cut = stored(far.groupBy(*GROUP).agg(F.percentile_approx("d", KEPT, 1000).alias("cut")), f"cut-{step}", folder)
+        cut = far.groupBy(*GROUP).agg(F.percentile_approx("d", KEPT, 1000).alias("cut"))
+        cut = _sized(stored(cut, f"cut-{step}", folder))
         near = far.select(*GROUP, *_X, "d").join(cut, GROUP).where("d <= cut")
-        now = stored(_next_estimate(near), f"estimate-{step}", folder)
+        now = _sized(stored(_next_estimate(near), f"estimate-{step}", folder))
     far = rows.join(now, GROUP).withColumn("d", _distance())
     scale = F.greatest(F.percentile_approx("d", 0.5, 1000) / CHI2_MEDIAN, F.lit(1.0))
     return now.join(far.groupBy(*GROUP).agg(scale.alias("scale"), F.count("*").alias("n")), GROUP)
@@ -179,7 +187,7 @@ def quality_verdicts(documents: DataFrame) -> DataFrame:
     # Level 0 groups by both names, level 1 by the language, level 2 has all rows; the finest with enough rows counts.
     every = rows.where("not base_failed").select(F.explode(F.array(*(_group(k) for k in range(3)))).alias("g"), *_X).select("g.*", *_X)
     found = estimates(every, folder).where(F.col("n") >= LEAST_ROWS)
-    found = stored(found.select(*GROUP, F.struct(*_ESTIMATE, "scale").alias("e")), "estimates", folder)
+    found = _sized(stored(found.select(*GROUP, F.struct(*_ESTIMATE, "scale").alias("e")), "estimates", folder))
     joined = rows
     for k in range(3):
         own = found.where(F.col("level") == k).select(F.struct(*GROUP).alias(f"g{k}"), F.col("e").alias(f"e{k}"))
