@@ -5,33 +5,37 @@ front. An agenda holds the adjacent pairs whose join is a piece; the pair with
 the best score is joined first, the leftmost of equals, and its new neighbours
 enter the agenda. What is no piece in the end becomes bytes.
 
-No piece has a blank after another character, and characters that stand in no
-longer piece never join, so a text is cut there and each segment is encoded
-alone. A Python worker keeps the segments that it has met last. Each new segment
-of an Arrow batch is checked against the library; a difference stops the job.
+Two characters that stand side by side in no piece never join, so a text is cut
+between them (before a blank, around line ends, before most marks), and each
+segment is encoded alone. The segments of an Arrow batch are cut and numbered by
+array operations; each is looked up or encoded once. A Python worker keeps the
+segments that it has met last. Each new segment is checked against the library;
+a difference stops the job.
 """
 
 from __future__ import annotations
 
 import codecs
-import re
 from array import array
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from boardpulse.llm.batches import by_text_size, lists, replaced
+from boardpulse.llm.batches import by_text_size, lists, map_batches, replaced
 
 BLANK = "▁"
 #: Segments that a worker keeps, in each of two generations.
-KEPT_SEGMENTS = 200_000
+KEPT_SEGMENTS = 100_000
 #: Characters of a segment whose agenda is scanned rather than kept as a heap.
 SCANNED = 32
+#: Rows that are decoded at once.
+DECODED = 1000
 #: The cost of a pair that is no piece.
 NEVER = float("inf")
 
@@ -59,23 +63,27 @@ class PieceModel:
         self.shown[lib.unk_id()] = " ⁇ ".encode()
         for b, i in enumerate(self.byte_ids):
             self.shown[i] = bytes([b])
+        self.control = {i for i in every if lib.is_control(i)}
         self.blank_first = {i for p, i in self.ids.items() if p[0] == BLANK}
-        self.cut = self._cutter()
+        self.joins = self._side_by_side()
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _cutter(self) -> re.Pattern[str]:
-        """Cuts before runs of blanks, and around characters that join nothing."""
-        if any(re.search(f"[^{BLANK}]{BLANK}", p) for p in self.costs):
-            raise ValueError("a piece has a blank after another character")
-        joined = {c for p in self.costs for c in p}
-        alone = "".join(re.escape(chr(c)) for c in range(128) if chr(c) not in joined)
-        if not alone:
-            return re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
-        return re.compile(f"[{alone}]|{BLANK}*[^{BLANK}{alone}]+|{BLANK}+")
+    def _side_by_side(self) -> np.ndarray:
+        """For each two bytes, whether they stand side by side in a piece, blanks being spaces.
+
+        Inside a character they always count as such.
+        """
+        joins = np.zeros((256, 256), bool)
+        joins[:, 0x80:0xC0] = True
+        for piece in self.costs:
+            raw = np.frombuffer(piece.replace(BLANK, " ").encode(), np.uint8)
+            joins[raw[:-1], raw[1:]] = True
+        return joins.reshape(-1)
 
     def agenda(self, segment: str) -> bytes:
         """Ids of a segment, as the bytes of 32-bit integers, so that a text's ids are their join."""
+        segment = segment.replace(" ", BLANK)
         parts = self._scanned(segment) if len(segment) <= SCANNED else self._popped(segment)
         out: list[int] = []
         for p in parts:
@@ -129,39 +137,72 @@ class PieceModel:
         return parts
 
     def _checked(self, new: list[str]) -> None:
-        """Compares segments with the library, which puts a blank of its own in front."""
-        after_blank = [s for s in new if len(s) > 1 and s[0] == BLANK]
-        others = [s for s in new if s[0] != BLANK]
-        given = [s[1:] for s in after_blank] + ["\n" + s for s in others]
-        skip = len(self.library.encode("\n")) if others else 0
-        for k, (segment, ids) in enumerate(zip(after_blank + others, self.library.encode(given, num_threads=1), strict=True)):
-            if array("i", ids[skip if k >= len(after_blank) else 0 :]).tobytes() != self.young[segment]:
+        """Compares segments with the library, behind a line end, which joins nothing."""
+        skip = len(self.library.encode("\n"))
+        for segment, ids in zip(new, self.library.encode(["\n" + s for s in new], num_threads=1), strict=True):
+            if array("i", ids[skip:]).tobytes() != self.young[segment]:
                 raise RuntimeError(f"ids differ from the library's for {segment!r}")
 
-    def encode(self, texts: Iterable[str | None], check: bool = True) -> list[np.ndarray]:
-        """Ids of each text; none for a null or empty one."""
-        cut = [self.cut.findall(BLANK + t.replace(" ", BLANK)) if t else [] for t in texts]
+    def _known(self, segments: set[str], check: bool) -> dict[str, bytes]:
+        """The kept segments, with all of these among them."""
         if len(self.young) > KEPT_SEGMENTS:
             self.young, self.old = {}, self.young
-        young, old, new = self.young, self.old, []
-        for segment in {s for c in cut for s in c}:
-            if segment not in young:
-                known = old.get(segment)
-                if known is None:
-                    known = self.agenda(segment)
-                    new.append(segment)
-                young[segment] = known
+        young = self.young
+        for segment in segments.difference(young).intersection(self.old):
+            young[segment] = self.old[segment]
+        new = list(segments.difference(young))
+        young.update((s, self.agenda(s)) for s in new)
         if check and new:
             self._checked(new)
-        return [np.frombuffer(b"".join(map(young.__getitem__, c)), np.int32) for c in cut]
+        return young
+
+    def encode(self, texts: Sequence[str | None], check: bool = True) -> list[np.ndarray]:
+        """Ids of each text; none for a null or empty one."""
+        raws = [(" " + t.replace(BLANK, " ")).encode() if t else b"" for t in texts]
+        joined = b"".join(raws)
+        if not joined:
+            return [np.empty(0, np.int32) for _ in texts]
+        ends = np.cumsum([len(r) for r in raws])
+        raw = np.frombuffer(joined, np.uint8)
+        start = np.ones(len(raw), bool)
+        start[1:] = ~self.joins[(raw[:-1].astype(np.uint16) << 8) | raw[1:]]
+        start[ends[ends < len(raw)]] = True  # a text does not join the one before
+        starts = np.flatnonzero(start)
+        offsets = np.append(starts, len(raw)).astype(np.int32)
+        words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(joined)).dictionary_encode()
+        names, which = words.dictionary.to_pylist(), words.indices.to_numpy()
+        known = self._known(set(names), check)
+        parts = [known[n] for n in names]
+        sizes = np.array([len(p) for p in parts]) // 4
+        begins = np.cumsum(sizes) - sizes
+        own = sizes[which]
+        after = np.cumsum(own)
+        ids = np.frombuffer(b"".join(parts), np.int32)[np.repeat(begins[which] - after + own, own) + np.arange(after[-1])]
+        # A text ends with its last segment.
+        before = np.concatenate(([0], after))[np.searchsorted(starts, ends[:-1], side="left")]
+        return np.split(ids, before)
+
+    def _text(self, raw: bytes, first: int | None) -> str:
+        """The blank in front goes, and bytes that are no text become U+FFFD each."""
+        return (raw[1:] if first in self.blank_first else raw).decode(errors="piece-bytes")
 
     def decode(self, ids: Sequence[int]) -> str:
-        """The text of some ids; the blank in front goes, and bytes that are no text become U+FFFD each."""
-        shown = self.shown
-        parts = [shown[i] for i in ids]
-        if parts and ids[0] in self.blank_first:
-            parts[0] = parts[0][1:]
-        return b"".join(parts).decode(errors="piece-bytes")
+        """The text of some ids."""
+        return self._text(b"".join([self.shown[i] for i in ids]), next((i for i in ids if i not in self.control), None))
+
+    def decode_all(self, ids: pa.ListArray) -> list[str]:
+        """The texts of lists of ids; an empty one for a null."""
+        pieces = pa.array(self.shown, pa.binary()).take(ids.flatten())
+        sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy()
+        offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+        raws = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), pieces), b"").to_pylist()
+        flat = ids.flatten().to_numpy()
+        out = []
+        for raw, a, b in zip(raws, offsets, offsets[1:], strict=False):
+            while a < b and int(flat[a]) in self.control:
+                a += 1
+            out.append(self._text(raw, int(flat[a]) if a < b else None))
+        return out
 
 
 _MODELS: dict[int, PieceModel] = {}
@@ -188,7 +229,7 @@ def with_ids(frame: DataFrame, proto: bytes, text_column: str = "text", check: b
             ids = model.encode(batch.column(text_column).to_pylist(), check)
             yield replaced(batch, text_column, {"ids": lists(ids, pa.int32())})
 
-    return frame.mapInArrow(run, StructType([*kept, StructField("ids", ArrayType(IntegerType()))]))
+    return map_batches(frame, run, StructType([*kept, StructField("ids", ArrayType(IntegerType()))]))
 
 
 def with_text(frame: DataFrame, proto: bytes, ids_column: str = "ids") -> DataFrame:
@@ -196,9 +237,26 @@ def with_text(frame: DataFrame, proto: bytes, ids_column: str = "ids") -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(proto)
-        for batch in batches:
-            texts = [model.decode(x.values.tolist()) if x.is_valid else "" for x in batch.column(ids_column)]
-            columns = [batch.column(i) for i in range(batch.num_columns)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, DECODED):
+                batch = whole.slice(at, DECODED)
+                texts = pa.array(model.decode_all(batch.column(ids_column)), pa.string())
+                columns = [batch.column(i) for i in range(batch.num_columns)]
+                yield pa.RecordBatch.from_arrays([*columns, texts], [*batch.schema.names, "decoded"])
+
+    return map_batches(frame, run, StructType([*frame.schema.fields, StructField("decoded", StringType())]))
+
+
+def round_trip(frame: DataFrame, proto: bytes, text_column: str = "text", check: bool = True) -> DataFrame:
+    """The frame with ``ids`` and ``decoded`` in place of the text, as by :func:`with_ids` and
+    :func:`with_text`, in one pass, so that each task needs one Python worker."""
+    kept = [f for f in frame.schema.fields if f.name != text_column]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = _model(proto)
+        for batch in by_text_size(batches, text_column):
+            ids = lists(model.encode(batch.column(text_column).to_pylist(), check), pa.int32())
+            yield replaced(batch, text_column, {"ids": ids, "decoded": pa.array(model.decode_all(ids), pa.string())})
 
-    return frame.mapInArrow(run, StructType([*frame.schema.fields, StructField("decoded", StringType())]))
+    schema = [*kept, StructField("ids", ArrayType(IntegerType())), StructField("decoded", StringType())]
+    return map_batches(frame, run, StructType(schema))

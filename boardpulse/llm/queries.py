@@ -56,7 +56,7 @@ def op6_main_text(spark: SparkSession, folder: str) -> DataFrame:
 def op7_piece_bpe(spark: SparkSession, folder: str) -> DataFrame:
     proto = _vocabulary("piece_bpe_32k.model")
     documents = _table(spark, folder, "documents").select("doc_id", "text")
-    found = piece_bpe.with_text(piece_bpe.with_ids(documents, proto), proto)
+    found = piece_bpe.round_trip(documents, proto)
     return found.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
