@@ -331,14 +331,13 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     The row with the smallest id stays, ties by the hash of its text; rows equal in
     both are repeated rows, of which any one stays.
     """
+    return first_of_each(docs, near_classes(docs, id_column, text_column, words, max_diff), id_column, text_column)
+
+
+def first_of_each(docs: DataFrame, classes: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """``docs`` with one row of each root of ``classes(doc_id, text_hash, root)``, chosen as by ``one_of_each``."""
     folder = scratch_folder(docs.sparkSession)
-    rows = stored(
-        near_classes(docs, id_column, text_column, words, max_diff)
-        .groupBy("root", "doc_id", "text_hash")
-        .agg(F.count("*").alias("n")),
-        "rows",
-        folder,
-    )
+    rows = stored(classes.groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("n")), "rows", folder)
     best = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("best"))
     judged = rows.join(best, "root").select(
         "doc_id",
