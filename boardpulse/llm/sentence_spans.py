@@ -1,12 +1,13 @@
 """Substring dedup by sliding runs of sentences.
 
 A text is cut into sentences, or parts of long ones, at full stops, other marks,
-line ends and long words. From every sentence on, the shortest run of at least three sentences with
+line ends and long words. Where none of these is near, a part also ends before a word
+whose hash is the least of its neighbours', ties included, so that any text is cut
+alike wherever it stands. From every part on, the shortest run of at least two with
 at least 16 words together is hashed, in lower case and without regard to white
 space. Runs are joined over all documents by hash; every occurrence but the first
 (by document id, then by place) marks its sentences, and marked sentences are
-removed. A passage of over 50 words that repeats holds such a run unless it has
-hardly an end of a sentence; what of it stands in no whole run stays.
+removed. What of a repeated passage stands in no whole run, at its ragged ends, stays.
 
 The first occurrences come from a grouped minimum, combined before the shuffle.
 Occurrences are joined with the hashes found twice, so a passage that a third of
@@ -16,6 +17,7 @@ the documents share is a large key of a plain join, which Spark can split.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +30,9 @@ from boardpulse.llm.batches import by_text_size, map_batches
 from boardpulse.llm.common import scratch_folder, stored
 
 #: A run has so many sentences and words at least.
-SENTENCES, WORDS = 3, 16
+SENTENCES, WORDS = 2, 16
+#: Words on either side that a content-defined end looks at.
+AROUND = 3
 #: What ends a sentence. A word of ten letters does so too: long sentences are then cut alike wherever they stand.
 #: Both are tried at their first character alone, so a long run of either costs no more than its length.
 _END = re.compile(r"(?<![.!?;:,…。！？|])[.!?;:,…。！？|]++\s+|\n\s*|(?<!\w)\w{10,}+\s+")
@@ -39,7 +43,20 @@ def sentences(text: str) -> list[str]:
     ends = [m.end() for m in _END.finditer(text)]
     if not ends or ends[-1] < len(text):
         ends.append(len(text))
-    return [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+    return [part for a, b in zip([0, *ends], ends, strict=False) for part in _cut(text[a:b])]
+
+
+def _cut(part: str) -> list[str]:
+    """A part cut before each word whose hash is the least of those around it, if that many stand on either side of it."""
+    words = part.split()
+    if len(words) < 2 * AROUND + 2:
+        return [part]
+    hashes = np.array([zlib.crc32(w.lower().encode()) for w in words[1:]], np.int64)
+    least = np.lib.stride_tricks.sliding_window_view(hashes, 2 * AROUND + 1).min(axis=1)
+    places = np.flatnonzero(hashes[AROUND : len(hashes) - AROUND] == least) + AROUND + 1
+    starts = [m.start() for m in re.finditer(r"\S+", part)]
+    ends = [*(starts[k] for k in places.tolist()), len(part)]
+    return [part[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
 def run_hashes(text: str) -> tuple[list[int], list[int], list[int]]:

@@ -67,3 +67,16 @@ def test_passages(spark):
 def test_common_lines_stay(spark):
     rows = [(i, f"All rights reserved.\n{prose(300 + i, 50)}") for i in range(5)]
     assert {r.doc_id: r.text for r in spans.without_repeats(documents(spark, rows)).collect()} == dict(rows)
+
+
+def test_passages_without_ends_of_sentences(spark):
+    """Passages of 55 words with no mark in them, between other texts."""
+    passages = [" ".join(w for w in prose(500 + k, 90).replace(".", "").replace(",", "").split() if len(w) < 10)[:400] for k in range(12)]
+    passages = [" ".join(p.split()[:55]) for p in passages]
+    rows = [(10 * k + i, f"{prose(600 + 10 * k + i, 20)} {p} {prose(800 + 10 * k + i, 20)}") for k, p in enumerate(passages) for i in range(2)]
+    check(spark, rows)
+    texts = {r.doc_id: r.text for r in spans.without_repeats(documents(spark, rows)).collect()}
+    for k, passage in enumerate(passages):
+        assert len(passage.split()) > 50
+        middle = " ".join(passage.split()[24:30])
+        assert middle in texts[10 * k] and middle not in texts[10 * k + 1]
