@@ -11,7 +11,7 @@ smoothed over three levels, host, domain and all, by grouped aggregates. A class
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,10 @@ _TO_LETTERS = bytes(c if chr(c).isalpha() or c >= 128 else 32 for c in range(256
 
 @dataclass(frozen=True)
 class Settings:
+    #: Used where no language is declared often enough; else those declared are.
     languages: tuple[str, ...] = ("de", "en", "es", "fr")
+    #: A declared value counts as a language from so many texts on.
+    least_declared: int = 5
     #: How often a declaration or a suffix names the true language.
     declared_right: float = 0.9
     suffix_right: float = 0.7
@@ -56,6 +59,13 @@ def triples(text: str | None) -> np.ndarray:
     return (((b[:-2] << 16) | (b[1:-1] << 8) | b[2:]) * np.uint32(2654435761)) >> np.uint32(16)
 
 
+def declared_languages(texts: DataFrame, settings: Settings = Settings()) -> Settings:
+    """The settings with the languages that enough rows of ``texts(text, declared)`` declare."""
+    counts = texts.where("text is not null and declared <> ''").groupBy("declared").agg(F.count("*").alias("n"))
+    found = sorted(r.declared for r in counts.where(F.col("n") >= settings.least_declared).toLocalIterator() if r.declared != UND)
+    return replace(settings, languages=tuple(found)) if found else settings
+
+
 def triple_counts(texts: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(declared, bucket, n) over all rows of ``texts(text, declared)`` that declare a known language."""
     known = texts.where(F.col("declared").isin(*settings.languages) & F.col("text").isNotNull())
@@ -133,7 +143,7 @@ def host_priors(votes: DataFrame, settings: Settings = Settings()) -> DataFrame:
 def _named_evidence(values: list[str | None], names: tuple[str, ...], right: float) -> np.ndarray:
     """Logarithms for a declared language per text; unknown or missing ones say nothing."""
     out = np.zeros((len(values), len(names) + 1))
-    other = np.log((1 - right) / (len(names) - 1))
+    other = np.log((1 - right) / max(1, len(names) - 1))
     for i, value in enumerate(values):
         if value in names:
             out[i, :-1] = other
@@ -164,7 +174,7 @@ def identified(
 ) -> DataFrame:
     """The ``keep`` columns with language, probability and accepted, a row for each row of ``texts``.
 
-    Missing evidence of any kind (null, or an unknown name) says nothing. A null
+    The languages are those that enough rows declare. Missing evidence of any kind (null, or an unknown name) says nothing. A null
     text, and one without letters, is ``und`` and not accepted. Regions of a
     declared language (``en-GB``) and its case do not count. Long texts are read
     whole. Repeated rows stay; an empty table gives an empty table.
@@ -174,6 +184,7 @@ def identified(
     evidence = [text.alias("text"), main.alias("declared"), host.alias("host"), domain.alias("domain"), F.lower(suffix).alias("suffix")]
     kept = [c.alias(f"k{i}") for i, c in enumerate(keep)]
     read = texts.select(*evidence, *kept)
+    settings = declared_languages(read, settings)
     model = log_likelihoods(stored(triple_counts(read, settings), "triples", folder), settings)
     priors = stored(host_priors(_with_votes(read, model, settings), settings), "priors", folder)
     if priors.count() <= MAX_BROADCAST_HOSTS:

@@ -79,3 +79,13 @@ def test_pages(spark):
     found = {r.page_id: r for r in language.page_languages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert [found[i].language for i in range(4)] == ["en", "de", "fr", "es"]
     assert not found[90].accepted and not found[91].accepted
+
+
+def test_fifth_declared_language(spark):
+    texts = TEXTS | {"it": "la vecchia casa sulla collina era vuota e il vento soffiava attraverso le finestre rotte"}
+    rows = [(i, " ".join(np.random.default_rng(i).permutation(texts[x].split())), x) for i, x in enumerate(list(texts) * 12)]
+    rows += [(900, texts["it"], None), (901, texts["en"], "zz")]
+    frame = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in language.document_languages(frame).collect()}
+    assert all(got[i].language == (x or "it") and got[i].accepted for i, _, x in rows if i != 901)
+    assert got[901].language == "en"
