@@ -2,17 +2,19 @@
 
 A page becomes lines: every block element starts one, and an element that is no
 part of the article (menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, comments) leaves a gap of empty lines. Lines that are mostly links are
-emptied. The text lengths of a sliding window of lines are summed: where the sum
+scripts, comments) leaves a gap of empty lines. Lines that are mostly links have
+no weight. The text lengths of a sliding window of lines are summed: where the sum
 surges from nothing, a stretch of text begins, and where it dives to nothing, one
-ends. If the page marks its article, the stretches inside it are kept; else
-those as dense as the densest one.
+ends. If the page marks its article, the stretches inside it are kept; else all
+that are not mostly links themselves, however short. A missing end tag ends a
+left-out element where HTML lets it: at the next sibling or its parent's end.
 """
 
 from __future__ import annotations
 
 import html as html_entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -23,8 +25,8 @@ from boardpulse.llm.batches import by_text_size, map_batches
 
 #: Lines of the sliding window, and so the empty lines that end a stretch.
 WINDOW = 3
-#: Without a marked article: the share of the longest stretch that another one needs, and the share of link text that empties a line.
-LEAST_SHARE, LINK_SHARE = 0.2, 0.5
+#: Without a marked article: the share of link text from which a line has no weight, and a stretch is left out.
+LINK_SHARE = 0.5
 
 # Names of elements and of classes, ids and roles.
 _RAW = frozenset("script style textarea title noscript iframe".split())
@@ -46,14 +48,32 @@ _TOKEN = re.compile(
     re.DOTALL,
 )
 _PROTECTED = frozenset("html body main article".split())
+_IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+_CLOSE_P = frozenset(
+    "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main "
+    "menu nav ol p pre section summary table ul li dd dt".split()
+)
+_CELLS, _PARTS = frozenset("td th tr tbody thead tfoot".split()), frozenset("tr tbody thead tfoot".split())
+#: Elements whose end tag may be missing: the start tags that end them, and the elements in between that prevent it.
+_ENDED_BY = {
+    "head": (None, frozenset()),
+    "p": (_CLOSE_P, frozenset(["button", "table", "object"])),
+    "li": (frozenset(["li"]), frozenset(["ul", "ol", "menu"])),
+    "dt": (frozenset(["dt", "dd"]), frozenset(["dl"])),
+    "dd": (frozenset(["dt", "dd"]), frozenset(["dl"])),
+    "td": (_CELLS, frozenset(["table"])),
+    "th": (_CELLS, frozenset(["table"])),
+    "tr": (_PARTS, frozenset(["table"])),
+}
 
 
 class _Lines:
-    """Lines of text with their link text, and whether they stand in a marked article."""
+    """Lines of text with the size of their link text, and whether they stand in a marked article."""
 
     def __init__(self) -> None:
         self.texts: list[str] = []
         self.inside: list[bool] = []
+        self.linked: list[int] = []
         self.now: list[str] = []
         self.link_chars = 0
 
@@ -66,25 +86,37 @@ class _Lines:
         if self.now:
             text = " ".join(html_entities.unescape("".join(self.now)).split())
             if text:
-                mostly_links = self.link_chars > LINK_SHARE * len(text) and not inside
-                self.texts.append("" if mostly_links else text)
+                self.texts.append(text)
                 self.inside.append(inside)
+                self.linked.append(min(self.link_chars, len(text)))
             self.now, self.link_chars = [], 0
 
     def gap(self) -> None:
         self.texts += [""] * WINDOW
         self.inside += [False] * WINDOW
+        self.linked += [0] * WINDOW
+
+
+def _end_by_start(out_of: list[str], name: str) -> None:
+    """Takes those elements off the open ones that a start tag of that name ends."""
+    for at in range(len(out_of) - 1, -1, -1):
+        by, held = _ENDED_BY.get(out_of[at], (frozenset(), frozenset()))
+        if (name not in _IN_HEAD if by is None else name in by) and held.isdisjoint(out_of[at + 1 :]):
+            del out_of[at:]
 
 
-def page_lines(page: str) -> tuple[list[str], list[bool]]:
-    """Lines of a page, and for each whether it stands in a marked article."""
+def page_lines(page: str) -> tuple[list[str], list[bool], list[int]]:
+    """Lines of a page, and for each whether it stands in a marked article and how much of it is link text."""
     lines = _Lines()
     out_of: list[str] = []  # open elements from the first left-out one on
+    around: Counter[str] = Counter()  # open elements that are not left out
     articles = links = 0
     at = 0
     while at < len(page):
         found = _TOKEN.search(page, at)
         text = page[at : found.start() if found else len(page)]
+        if out_of == ["head"] and text.strip():
+            out_of.clear()
         if text and not out_of:
             lines.add(text, links > 0)
         if not found:
@@ -99,7 +131,11 @@ def page_lines(page: str) -> tuple[list[str], list[bool]]:
                 if name in out_of:
                     while out_of and out_of.pop() != name:
                         pass
-                continue
+                    continue
+                if name in _INLINE or not around[name]:
+                    continue
+                out_of.clear()  # the end of an element around it
+            around[name] = max(0, around[name] - 1)
             if name in ("article", "main"):
                 lines.end(articles > 0)
                 articles = max(0, articles - 1)
@@ -116,7 +152,9 @@ def page_lines(page: str) -> tuple[list[str], list[bool]]:
                 lines.add(" ", False)
             continue
         if out_of:
-            if not empty and name in (out_of[0], *_OUT):
+            _end_by_start(out_of, name)
+        if out_of:
+            if not empty:
                 out_of.append(name)
             continue
         unwanted = name in _OUT or (name not in _PROTECTED and attributes and _is_unwanted(attributes))
@@ -125,7 +163,10 @@ def page_lines(page: str) -> tuple[list[str], list[bool]]:
             lines.end(articles > 0)
             lines.gap()
             out_of.append(name)
-        elif name in ("article", "main"):
+            continue
+        if not empty:
+            around[name] += 1
+        if name in ("article", "main"):
             lines.end(articles > 0)
             articles += 1
         elif name == "a":
@@ -135,7 +176,7 @@ def page_lines(page: str) -> tuple[list[str], list[bool]]:
         elif name not in _INLINE:
             lines.end(articles > 0)
     lines.end(articles > 0)
-    return lines.texts, lines.inside
+    return lines.texts, lines.inside, lines.linked
 
 
 def _is_unwanted(attributes: str) -> bool:
@@ -161,17 +202,15 @@ def stretches(lengths: list[int]) -> list[tuple[int, int]]:
 
 def main_text(page: str | None) -> str:
     """Blocks of the main text, joined by an empty line; empty if there is none."""
-    texts, inside = page_lines(page or "")
+    texts, inside, linked = page_lines(page or "")
     marked = any(i and t for i, t in zip(inside, texts, strict=True))
     if marked:
         texts = [t if i else "" for t, i in zip(texts, inside, strict=True)]
-    lengths = [len(t) for t in texts]
-    found = stretches(lengths)
-    if not found:
-        return ""
-    weights = [sum(lengths[a:b]) for a, b in found]
-    least = 0 if marked else LEAST_SHARE * max(weights)
-    kept = [t for (a, b), w in zip(found, weights, strict=True) if w >= least for t in texts[a:b] if t]
+    lengths = [len(t) if marked or n <= LINK_SHARE * len(t) else 0 for t, n in zip(texts, linked, strict=True)]
+    kept = []
+    for a, b in stretches(lengths):
+        if marked or sum(linked[a:b]) <= LINK_SHARE * sum(map(len, texts[a:b])):
+            kept += [t for t in texts[a:b] if t]
     return "\n\n".join(kept)
 
 

@@ -38,3 +38,19 @@ def test_frame(spark):
     found = sorted(map(tuple, html_main.extracted(frame).collect()), key=str)
     assert found == [(1, "u", A, len(A)), (1, "u", A, len(A)), (None, None, "", 0)]
     assert html_main.extracted(frame.limit(0)).collect() == []
+
+
+def test_short_parts_of_a_page_without_marks():
+    """A short closing part stays, and a line that is mostly a link inside the text; a menu of links goes."""
+    menu = "".join(f"<div><a href=x>{w}</a></div>" for w in A.split()[:6])
+    page = f"<body>{menu}<div>{A} {B}</div><div>see <a href=y>the whole of it</a></div><div>{C}</div><div class=ad>buy</div><p>The end.</p>{menu}</body>"
+    assert html_main.main_text(page).split("\n\n") == [f"{A} {B}", "see the whole of it", C, "The end."]
+
+
+def test_missing_end_tags():
+    assert html_main.main_text(f"<html><head><title>T</title><meta charset=x><body><p>{A}</p></body>") == A
+    assert html_main.main_text(f"<head><link href=x><p>{A}") == A
+    assert html_main.main_text(f"<article><p>{A}<p class=notice>old <b>news<p>{B}</article><p>{C}") == f"{A}\n\n{B}"
+    assert html_main.main_text(f"<div><p class=notice>old</div><div>{B}</div>") == B
+    assert html_main.main_text(f"<div><ul><li>{A}<li class=ad>buy<ul><li>x</ul>more<li>{B}</ul>{C}</div>") == f"{A}\n\n{B}\n\n{C}"
+    assert html_main.main_text(f"<div><article><div class=ad>buy<p>x</article></div><main>{A}</main>") == A
