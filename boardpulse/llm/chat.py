@@ -124,7 +124,7 @@ def format_conversations(rows: DataFrame, template: Template = PLAIN_CHAT) -> Da
 def read_back(formatted: Column, template: Template = PLAIN_CHAT) -> Column:
     """array<struct<role, text>> of a formatted conversation."""
     head, _, tail = template.other.before.partition("{role}")
-    before = [*(re.escape(t.before) for t in template.turns.values()), f"{re.escape(head)}(?:[^\\\\\\]]|\\\\.)*{re.escape(tail)}"]
+    before = [*(re.escape(t.before) for t in template.turns.values()), f"{re.escape(head)}(?:[^\\\\\\]]++|\\\\.)*+{re.escape(tail)}"]
     after = [re.escape(t.after) for t in (*template.turns.values(), template.other)]
     pattern = f"(?s)({'|'.join(before)})(.*?)(?:{'|'.join(after)})"
     roles = F.create_map(*chain.from_iterable((F.lit(t.before), F.lit(r)) for r, t in template.turns.items()))

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardpulse.llm import chat, decontam, html_main, language, piece_bpe, quality_trees, robust, sentence_spans, simhash, simple8b
+from boardpulse.llm import chat, decontam, html_main, language, piece_bpe, quality_trees, robust, secret_ledger, sentence_spans, simhash, simple8b
 from boardpulse.llm.oracle import ORACLE_SQL  # noqa: F401
 
 
@@ -83,6 +83,10 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.conversation_digests(chat.format_conversations(rows.union(own)))
 
 
+def op11_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_ledger.secret_digests(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_simhash": op2_simhash,
@@ -94,4 +98,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_robust": op8_robust,
     "op9_quality_trees": op9_quality_trees,
     "op10_chat": op10_chat,
+    "op11_secrets": op11_secrets,
 }
