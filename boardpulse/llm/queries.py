@@ -9,7 +9,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardpulse.llm import chat, decontam, html_main, language, piece_bpe, quality_trees, robust, secret_ledger, sentence_spans, simhash, simple8b
+from boardpulse.llm import (
+    chat,
+    decontam,
+    dual_lloyd,
+    html_main,
+    language,
+    merkle,
+    piece_bpe,
+    quality_trees,
+    robust,
+    secret_ledger,
+    sentence_spans,
+    simhash,
+    simple8b,
+)
 from boardpulse.llm.oracle import ORACLE_SQL  # noqa: F401
 
 
@@ -87,6 +101,14 @@ def op11_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_ledger.secret_digests(_table(spark, folder, "documents"))
 
 
+def op12_dual_lloyd(spark: SparkSession, folder: str) -> DataFrame:
+    return dual_lloyd.vector_codes(_table(spark, folder, "embeddings"))
+
+
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.verified(merkle.document_manifest(_table(spark, folder, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_simhash": op2_simhash,
@@ -99,4 +121,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_trees": op9_quality_trees,
     "op10_chat": op10_chat,
     "op11_secrets": op11_secrets,
+    "op12_dual_lloyd": op12_dual_lloyd,
+    "op13_merkle": op13_merkle,
 }

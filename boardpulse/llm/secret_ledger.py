@@ -191,13 +191,12 @@ def findings_of(history: DataFrame, ledger: str, rules: Sequence[Rule] = RULES,
     place = F.create_map(*(F.lit(x) for k, (i, _) in keys.items() for x in (k, i)))
     name = F.create_map(*(F.lit(x) for k, (_, n) in keys.items() for x in (k, n)))
     one = F.struct("start", place[F.col("rule")].alias("place"), name[F.col("rule")].alias("kind"), "end")
-    # Two runs at a time may have scanned the same pair. Written, so that the join below reads plain exchanges, whose large keys can be split.
+    # Two runs at a time may have scanned the same pair.
     per_blob = known.where(F.col("rule").isin(list(keys))).distinct().groupBy("blob").agg(F.array_sort(F.collect_list(one)).alias("found"))
-    per_blob = stored(per_blob, "per_blob", folder)
-    scanned = _seen(spark, ledger).where(F.size(F.array_except(F.array(*map(F.lit, keys)), "seen")) == 0).select("blob", F.lit(True).alias("known"))
-    scanned = stored(scanned, "scanned", folder)
-    joined = rows.join(per_blob, "blob", "left").join(scanned, "blob", "left")
-    return joined.select("row", "blob", F.when(F.col("known"), F.coalesce("found", empty)).alias("findings"))
+    scanned = _seen(spark, ledger).where(F.size(F.array_except(F.array(*map(F.lit, keys)), "seen")) == 0).select("blob")
+    # Written, so that the join below is the only one and reads plain exchanges, whose large keys can be split.
+    by_blob = stored(scanned.join(per_blob, "blob", "left").select("blob", F.coalesce("found", empty).alias("findings")), "by_blob", folder)
+    return rows.join(by_blob, "blob", "left").select("row", "blob", "findings")
 
 
 def spans_text(findings: Column) -> Column:
