@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from boardpulse.llm.oracle_stores import CODES, MANIFEST, SECRETS
+
 _WORDS = """list_filter(regexp_split_to_array(
     translate(coalesce({t}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"""
@@ -53,4 +55,7 @@ ORACLE_SQL: dict[str, str] = {
                CAST(length(learnt) AS BIGINT) AS loss_chars, sha256(learnt) AS loss_sha256,
                CAST(formatted_chars AS BIGINT) AS formatted_chars, valid
         FROM g""",
+    "op11_secrets": SECRETS,
+    "op12_dual_lloyd": CODES,
+    "op13_merkle": MANIFEST,
 }
