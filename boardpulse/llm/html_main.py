@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import html as html_entities
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from itertools import accumulate
@@ -97,27 +98,64 @@ class _Lines:
         self.linked += [0] * WINDOW
 
 
-def _end_by_start(out_of: list[str], name: str) -> None:
-    """Takes those elements off the open ones that a start tag of that name ends."""
-    for at in range(len(out_of) - 1, -1, -1):
-        by, held = _ENDED_BY.get(out_of[at], (frozenset(), frozenset()))
-        if (name not in _IN_HEAD if by is None else name in by) and held.isdisjoint(out_of[at + 1 :]):
-            del out_of[at:]
+def _enders() -> dict[str, list[tuple[str, frozenset[str]]]]:
+    """For a start tag, the open elements that it ends and what in between prevents it."""
+    found: dict[str, list[tuple[str, frozenset[str]]]] = {}
+    for element, (by, held) in _ENDED_BY.items():
+        for name in by or ():
+            found.setdefault(name, []).append((element, held))
+    return found
+
+
+_ENDS = _enders()
+
+
+class _Open:
+    """Open elements from the first left-out one on, and where those of each name stand; a tag costs the same at any depth."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, name: str) -> None:
+        self.places.setdefault(name, []).append(len(self.names))
+        self.names.append(name)
+
+    def cut(self, place: int) -> None:
+        """Closes all from a place on."""
+        while len(self.names) > place:
+            self.places[self.names.pop()].pop()
+
+    def last(self, name: str) -> int:
+        return self.places[name][-1] if self.places.get(name) else -1
+
+    def end_by_start(self, name: str) -> None:
+        """Closes those elements that a start tag of that name ends."""
+        head = [] if name in _IN_HEAD else [("head", frozenset())]
+        ended = True
+        while ended:
+            ended = False
+            for element, held in [*_ENDS.get(name, ()), *head]:
+                places = self.places.get(element, [])
+                first = bisect_right(places, max((self.last(h) for h in held), default=-1))
+                if first < len(places):
+                    self.cut(places[first])
+                    ended = True
 
 
 def page_lines(page: str) -> tuple[list[str], list[bool], list[int]]:
     """Lines of a page, and for each whether it stands in a marked article and how much of it is link text."""
     lines = _Lines()
-    out_of: list[str] = []  # open elements from the first left-out one on
+    out_of = _Open()
     around: Counter[str] = Counter()  # open elements that are not left out
     articles = links = 0
     at = 0
     while at < len(page):
         found = _TOKEN.search(page, at)
         text = page[at : found.start() if found else len(page)]
-        if out_of == ["head"] and text.strip():
-            out_of.clear()
-        if text and not out_of:
+        if out_of.names == ["head"] and text.strip():
+            out_of.cut(0)
+        if text and not out_of.names:
             lines.add(text, links > 0)
         if not found:
             break
@@ -127,14 +165,13 @@ def page_lines(page: str) -> tuple[list[str], list[bool], list[int]]:
             continue
         closing, attributes = bool(found[1] or found[4]), found[3] or found[6] or ""
         if closing:
-            if out_of:
-                if name in out_of:
-                    while out_of and out_of.pop() != name:
-                        pass
+            if out_of.names:
+                if out_of.last(name) >= 0:
+                    out_of.cut(out_of.last(name))
                     continue
                 if name in _INLINE or not around[name]:
                     continue
-                out_of.clear()  # the end of an element around it
+                out_of.cut(0)  # the end of an element around it
             around[name] = max(0, around[name] - 1)
             if name in ("article", "main"):
                 lines.end(articles > 0)
@@ -148,21 +185,21 @@ def page_lines(page: str) -> tuple[list[str], list[bool], list[int]]:
         if name in _RAW:
             end = re.compile(f"</{name}[^>]*+>?", re.IGNORECASE).search(page, at)
             at = end.end() if end else len(page)
-            if not out_of:
+            if not out_of.names:
                 lines.add(" ", False)
             continue
-        if out_of:
-            _end_by_start(out_of, name)
-        if out_of:
+        if out_of.names:
+            out_of.end_by_start(name)
+        if out_of.names:
             if not empty:
-                out_of.append(name)
+                out_of.push(name)
             continue
         unwanted = name in _OUT or (name not in _PROTECTED and attributes and _is_unwanted(attributes))
         comment = name in _PROTECTED and articles and attributes and _is_unwanted(attributes)
         if (unwanted or comment) and not empty:
             lines.end(articles > 0)
             lines.gap()
-            out_of.append(name)
+            out_of.push(name)
             continue
         if not empty:
             around[name] += 1

@@ -16,6 +16,7 @@ TALKS = {
     6: [("user", "a" * 200_000 + "</s>" * 5000), ("assistant", "[" * 1000)],
     7: [("system", "only")],
     8: [("user", "<<<</SYS>> [[INST]] <s><s>"), ("assistant", " lead and trail \n")],
+    9: [("r" * 200_000, "x"), ("]\\" * 100_000, "\\" * 200_000), ("assistant", "[/ROLE]" * 30_000)],
 }
 VALID = {1, 2, 6, 8}
 

@@ -1,3 +1,7 @@
+import random
+import time
+
+import pytest
 from llm.cases import prose
 
 from boardpulse.llm import html_main
@@ -54,3 +58,34 @@ def test_missing_end_tags():
     assert html_main.main_text(f"<div><p class=notice>old</div><div>{B}</div>") == B
     assert html_main.main_text(f"<div><ul><li>{A}<li class=ad>buy<ul><li>x</ul>more<li>{B}</ul>{C}</div>") == f"{A}\n\n{B}\n\n{C}"
     assert html_main.main_text(f"<div><article><div class=ad>buy<p>x</article></div><main>{A}</main>") == A
+
+
+def plain_end_by_start(names, name):
+    """What a start tag ends, by walking all open elements."""
+    for at in range(len(names) - 1, -1, -1):
+        by, held = html_main._ENDED_BY.get(names[at], (frozenset(), frozenset()))
+        if (name not in html_main._IN_HEAD if by is None else name in by) and held.isdisjoint(names[at + 1 :]):
+            del names[at:]
+
+
+def test_start_tags_end_what_a_walk_over_all_says():
+    rng = random.Random(1)
+    tags = "head p li dt dd td th tr ul ol dl table button div b object link menu tbody".split()
+    for _ in range(3000):
+        names, opened = [], html_main._Open()
+        for name in rng.choices(tags, k=rng.randrange(25)):
+            plain_end_by_start(names, name)
+            opened.end_by_start(name)
+            assert opened.names == names
+            names.append(name)
+            opened.push(name)
+        for name in tags:
+            assert opened.last(name) == max((i for i, n in enumerate(names) if n == name), default=-1)
+
+
+@pytest.mark.parametrize("tags", ["<ul><li>", "<p><button>", "<div>", "<table><tr><td>", "<dl><dd><p>", "<p>", "<article><section>", "<a><b>"])
+def test_a_megabyte_of_nesting_takes_seconds(tags):
+    for page in (f"<nav>{tags * (1_000_000 // len(tags))}", tags * (1_000_000 // len(tags)) + f"<p>{A}"):
+        start = time.process_time()
+        html_main.main_text(page)
+        assert time.process_time() - start < 60
