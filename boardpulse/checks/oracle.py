@@ -216,7 +216,12 @@ outputs AS (
          coalesce(CAST(sc AS DOUBLE) / (size * 1000000) * 20, 0) AS c
   FROM numbered LEFT JOIN token_sums USING (row_no)
 ),
-probs AS (
+{judged(floor)}"""
+
+
+def judged(floor: float = 0.0) -> str:
+    """CTEs that make probabilities, score and label of ``outputs`` (a, b, c, blank)."""
+    return f"""probs AS (
   SELECT *, CASE WHEN blank THEN 0 ELSE exp(a) / (exp(a) + exp(b) + exp(c)) END AS neg,
          CASE WHEN blank THEN 1 ELSE exp(b) / (exp(a) + exp(b) + exp(c)) END AS neu,
          CASE WHEN blank THEN 0 ELSE exp(c) / (exp(a) + exp(b) + exp(c)) END AS pos_p
@@ -232,6 +237,19 @@ scored AS (
 )"""
 
 
+# What a caller's model sees and says of a text.
+LETTERS = f"""
+letter_texts AS (
+  SELECT *, {strip("model_text")} = '' AS blank,
+         regexp_extract(model_text, '^(?:[\\x09-\\x0D ]*[^\\x09-\\x0D ]+){{0,40}}') AS seen
+  FROM doc_texts
+),
+outputs AS (
+  SELECT *, length(seen) % 5 AS a, (length(seen) - length(replace(seen, 'e', ''))) % 5 AS b,
+         (length(seen) - length(replace(seen, ' ', ''))) % 4 AS c
+  FROM letter_texts
+)"""
+
 SCORES = "sentiment_label, sentiment_score, prob_neg, prob_neu, prob_pos"
 VERSION = "'token-weights-1' AS model_version"
 BOTH = "'title+content' AS text_used"
@@ -358,6 +376,9 @@ FROM refs WHERE post_id % 8 = 4 OR post_id NOT IN (SELECT event_id FROM events)"
     "sentiment_scores": f"WITH {TEXTS}, {scored('texts', 'text')} SELECT kind, id, part, {SCORES} FROM scored",
     "sentiment_neutral_floor": f"WITH {TEXTS}, {scored('texts', 'text', 0.6)} SELECT kind, id, part, {SCORES} FROM scored",
     "batch_scoring": f"WITH {DOC_SCORED} SELECT post_id, {SCORES} FROM scored",
+    "model_batches": f"""WITH {DOC_POSTS}, doc_texts AS (SELECT *, {model_text(True)} AS model_text FROM doc_posts),
+{LETTERS}, {judged()}
+SELECT post_id, {SCORES} FROM scored""",
     "analyzed_posts": f"""WITH {DOC_SCORED}
 SELECT board_id, post_id, url, title, nullif(content, '') AS content, author,
        CAST(NULL AS VARCHAR) AS created_at, {CRAWLED}, {SCORES}, {VERSION}, {BOTH}

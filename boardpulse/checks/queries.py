@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +32,7 @@ from boardpulse.operators.refs import (
     unparsable_pages,
 )
 from boardpulse.operators.samples import analyzed_sample, payload_sample, post_sample
-from boardpulse.operators.scoring import Scorer, add_sentiment, analyzed_posts, score_posts
+from boardpulse.operators.scoring import Predict, Scorer, add_sentiment, analyzed_posts, batch_scorer, score_posts
 from boardpulse.plans.jobs import ORDER, JobResult, collect_posts, run_counters, score_board, send_board
 from boardpulse.operators.weights import learn_weights
 from boardpulse.sinks.tables import run_folder, stored, write_table
@@ -44,6 +44,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 MODEL = "token-weights-1"
 TITLES = ScoringConfig(MODEL)
 BOTH_TEXTS = ScoringConfig(MODEL, text_used=TEXT_TITLE_CONTENT)
+SHORT_TEXTS = ScoringConfig("letters-1", text_used=TEXT_TITLE_CONTENT, max_length=40)
 CRAWLED_AT = "2026-02-01T00:00:00.000000+00:00"
 EARLIER = "2026-01-01T00:00:00.000000+00:00"
 
@@ -201,7 +202,7 @@ def _scorer(spark: SparkSession, sf_dir: str) -> Scorer:
     """Weights learnt from all labelled documents: bad ones against toxic and other good ones."""
     label = F.when(F.col("quality") == 0, "neg").when(F.col("toxic") == 1, "neu").otherwise("pos")
     labels = table(spark, sf_dir, "labels").select("doc_id", label.alias("label"))
-    return learn_weights(_documents(spark, sf_dir).join(labels, "doc_id")).logits
+    return learn_weights(_documents(spark, sf_dir).join(labels, "doc_id"), run_folder(spark, "weights"))
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,8 +217,7 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "text",
     )
     blank = talk.select(F.lit("blank").alias("kind"), "id").distinct().select("kind", "id", F.lit(0).cast("bigint").alias("part"), F.lit("  \n").alias("text"))
-    scorer = _scorer(spark, sf_dir)
-    return documents.unionByName(talk).unionByName(blank).withColumn("logits", scorer(F.col("text")))
+    return _scorer(spark, sf_dir)(documents.unionByName(talk).unionByName(blank), "text")
 
 
 def q_sentiment_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,9 +235,27 @@ def q_batch_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _analyzed(spark: SparkSession, sf_dir: str, crawled_at: str = CRAWLED_AT) -> DataFrame:
+def _load_letters(config: ScoringConfig) -> Predict:
+    """In place of a network: outputs by the letters that a batch shows."""
+
+    def predict(texts: Sequence[str]) -> list[list[int]]:
+        return [[len(t) % 5, t.count("e") % 5, t.count(" ") % 4] for t in texts]
+
+    return predict
+
+
+def q_model_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A caller's model over all documents in Arrow batches, each text cut to what the model sees."""
+    posts = document_posts(_documents(spark, sf_dir))
+    scored = score_posts(posts, batch_scorer(_load_letters, SHORT_TEXTS), SHORT_TEXTS)
+    return flat_probs(scored).select(
+        "post_id", "sentiment_label", "sentiment_score", "prob_neg", "prob_neu", "prob_pos"
+    )
+
+
+def _analyzed(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = document_posts(_documents(spark, sf_dir))
-    return analyzed_posts(posts, _scorer(spark, sf_dir), BOTH_TEXTS, crawled_at, keep=ORDER)
+    return analyzed_posts(posts, _scorer(spark, sf_dir), BOTH_TEXTS, CRAWLED_AT, keep=ORDER)
 
 
 def q_analyzed_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,9 +291,10 @@ def q_payload_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_latest_per_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs over all documents, the later one with each of them on two pages."""
-    later = _analyzed(spark, sf_dir)
+    later = stored(_analyzed(spark, sf_dir), run_folder(spark, "analyzed"))
+    earlier = later.withColumn("crawled_at", F.lit(EARLIER))
     again = later.withColumn("page_id", F.col("page_id") + 1).withColumn("sentiment_label", F.lit("neu"))
-    both = _analyzed(spark, sf_dir, EARLIER).unionByName(later).unionByName(again)
+    both = earlier.unionByName(later).unionByName(again)
     return latest_per_document(both, ["sentiment_label"]).select("doc_id", "crawled_at", "page_id", "sentiment_label")
 
 

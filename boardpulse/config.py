@@ -104,6 +104,7 @@ class ScoringConfig:
     model_version: str
     text_used: str = TEXT_TITLE
     batch_size: int = 16
+    max_length: int = 256  # tokens of a text that a model sees
     neutral_floor: float = 0.0
 
     def __post_init__(self) -> None:
@@ -111,5 +112,7 @@ class ScoringConfig:
             raise ValueError(f"unknown choice of text: {self.text_used}")
         if self.batch_size <= 0:
             raise ValueError("a batch holds one text at least")
+        if self.max_length <= 0:
+            raise ValueError("a model sees one token at least")
         if not 0 <= self.neutral_floor <= 1:
             raise ValueError("the floor of a neutral label is a probability")

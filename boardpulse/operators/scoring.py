@@ -1,4 +1,4 @@
-"""Posts to analysed posts: scoring by a column expression or in batches."""
+"""Posts to analysed posts: scoring by learnt weights, a column expression, or a model in batches."""
 
 from __future__ import annotations
 
@@ -22,8 +22,8 @@ from boardpulse.functions.sentiment import (
 )
 from boardpulse.functions.text import is_blank
 
-# Gives the three outputs (neg, neu, pos) of a text column as an array column.
-Scorer = Callable[[Column], Column]
+# Takes a frame and the name of its text column; adds ``logits``, an array of the three outputs (neg, neu, pos).
+Scorer = Callable[[DataFrame, str], DataFrame]
 # Takes a batch of texts, gives one row of three outputs (neg, neu, pos) each.
 Predict = Callable[[Sequence[str]], Any]
 # Loads the model; called in the Python worker, on the first batch with rows.
@@ -35,11 +35,22 @@ def utc_now() -> str:
     return datetime.now(timezone.utc).isoformat()
 
 
+def column_scorer(outputs: Callable[[Column], Column]) -> Scorer:
+    """A column expression as a scorer."""
+    return lambda frame, text: frame.withColumn("logits", outputs(F.col(text)))
+
+
+def first_words(text: Column, count: int) -> Column:
+    """The text up to its ``count``-th word between white space; the whole text if it has no more."""
+    return F.regexp_extract(text, rf"^(?:\s*+\S++){{0,{count}}}+", 0)
+
+
 def batch_logits(text: Column, load_model: LoadModel, config: ScoringConfig) -> Column:
     """Model outputs for a text column, in batches of ``config.batch_size``.
 
     The model stays in the Python worker between batches and tasks. Partitions
-    without rows do not load it.
+    without rows do not load it. A model sees ``config.max_length`` tokens at most, so of a
+    longer text only as many words leave the JVM; the model cuts by its own tokens.
     """
 
     def make_predict() -> Predict:
@@ -56,12 +67,12 @@ def batch_logits(text: Column, load_model: LoadModel, config: ScoringConfig) ->
     udf = predict_batch_udf(
         make_predict, return_type=ArrayType(FloatType()), batch_size=config.batch_size
     )
-    return udf(text)
+    return udf(first_words(text, config.max_length))
 
 
 def batch_scorer(load_model: LoadModel, config: ScoringConfig) -> Scorer:
     """A model of the caller's own as a scorer."""
-    return lambda text: batch_logits(text, load_model, config)
+    return column_scorer(lambda text: batch_logits(text, load_model, config))
 
 
 def add_sentiment(df: DataFrame, text: str, logits: str, neutral_floor: float = 0.0) -> DataFrame:
@@ -83,7 +94,7 @@ def score_posts(posts: DataFrame, scorer: Scorer, config: ScoringConfig) -> Data
     with_text = posts.withColumn("model_text", text)
     # The text is never NULL; the model sees blank texts as empty ones.
     shown = F.when(is_blank(F.col("model_text")), F.lit("")).otherwise(F.col("model_text"))
-    with_logits = with_text.withColumn("logits", scorer(shown))
+    with_logits = scorer(with_text.withColumn("shown_text", shown), "shown_text").drop("shown_text")
     return add_sentiment(with_logits, "model_text", "logits", config.neutral_floor)
 
 

@@ -1,4 +1,4 @@
-"""A scorer learnt from labelled texts by grouped counts.
+"""A scorer learnt from labelled texts by grouped counts, and applied as a sparse product.
 
 A text is a bag of tokens, each hashed to one of a fixed number of buckets. For
 every bucket and class the weight is the logarithm of the bucket's share among
@@ -6,20 +6,25 @@ the tokens of the class's texts, smoothed by one, against the mean over the
 classes. The outputs of a text are the means of its tokens' weights, stretched.
 Weights are whole millionths, so their sums do not depend on the order.
 
-Learning is one aggregate over (class, bucket), combined before the shuffle, and
-scoring a fold over the tokens of a row: no shuffle and no Python.
+Learning is one aggregate over the buckets, combined before the shuffle. Scoring
+multiplies the sparse matrix of texts and buckets by the table of weights: a row per
+token, a join with the table, and sums per text, which are combined where the text
+was read, so that one narrow row per text and task is moved.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boardpulse.config import LABELS
+from boardpulse.sinks.tables import stored
 
-BUCKETS = 4096  # three hexadecimal digits of a digest
+DIGITS = 3  # hexadecimal digits of a token's digest that name its bucket
+BUCKETS = 16**DIGITS
 UNIT = 1_000_000
 STRETCH = 20.0
 
@@ -29,47 +34,42 @@ def tokens(text: Column) -> Column:
 
 
 def bucket_of(token: Column) -> Column:
-    return F.conv(F.substring(F.md5(token), 1, 3), 16, 10).cast("int")
+    return F.substring(F.md5(token), 1, DIGITS)
 
 
 @dataclass(frozen=True)
 class TokenWeights:
-    """Weights per label, in the order of the buckets."""
-
-    values: tuple[tuple[int, ...], ...]
-
-    def logits(self, text: Column) -> Column:
-        """Outputs (neg, neu, pos) of a text column; zeros for a text without tokens."""
-        tables = [F.lit(list(v)) for v in self.values]
-        zero = F.array(*(F.lit(0).cast("bigint") for _ in LABELS))
-        buckets = F.transform(tokens(text), bucket_of)
-
-        def add(sums: Column, bucket: Column) -> Column:
-            return F.array(*(F.get(sums, F.lit(k)) + F.get(t, bucket) for k, t in enumerate(tables)))
-
-        def mean(sums: Column, size: Column) -> Column:
-            return F.transform(sums, lambda s: s.cast("double") / (size.cast("bigint") * F.lit(UNIT)) * F.lit(STRETCH))
-
-        return F.get(
-            F.transform(F.array(buckets), lambda b: mean(F.aggregate(b, zero, add), F.greatest(F.size(b), F.lit(1)))), 0
-        )
-
-
-def learn_weights(texts: DataFrame) -> TokenWeights:
-    """Weights from ``texts(text, label)`` over all its rows; nulls and unknown labels are left out."""
+    """``table``: bucket and a weight for each label, all buckets being there. Sums are written below ``folder``."""
+
+    table: DataFrame
+    folder: str
+
+    def __call__(self, frame: DataFrame, text: str) -> DataFrame:
+        """The frame with ``logits``, the outputs (neg, neu, pos) for a text column; zeros for a text without tokens.
+
+        Texts are told apart by a digest of 128 bits, so equal ones are one row of the product. Copies
+        add to the sums and to the size alike and leave the means as they are. The sums are written, so
+        that the join back reads plain exchanges, of which the planner can split one with a hot text.
+        """
+        texts = frame.select(F.md5(text).alias("text_key"), F.explode(tokens(F.col(text))).alias("token"))
+        found = texts.select("text_key", bucket_of(F.col("token")).alias("bucket")).join(F.broadcast(self.table), "bucket")  # BUCKETS rows
+        sums = found.groupBy("text_key").agg(F.count(F.lit(1)).alias("size"), *(F.sum(name).alias(f"sum_{name}") for name in LABELS))
+        means = [F.col(f"sum_{name}").cast("double") / (F.col("size") * F.lit(UNIT)) * F.lit(STRETCH) for name in LABELS]
+        outputs = stored(sums.select("text_key", F.array(*means).alias("found")), f"{self.folder}/sums-{uuid.uuid4().hex}")
+        none = F.array(*(F.lit(0.0) for _ in LABELS))
+        joined = frame.withColumn("text_key", F.md5(text)).join(outputs, "text_key", "left")
+        return joined.withColumn("logits", F.coalesce("found", none)).drop("text_key", "found")
+
+
+def learn_weights(texts: DataFrame, folder: str) -> TokenWeights:
+    """Weights from ``texts(text, label)`` over all its rows, written below ``folder``; nulls and unknown labels are left out."""
     known = texts.where(F.col("label").isin(*LABELS))
-    counts = (
-        known.select("label", F.explode(F.transform(tokens(F.col("text")), bucket_of)).alias("bucket"))
-        .groupBy("label", "bucket")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    every = counts.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"), F.explode(F.array(*map(F.lit, LABELS))).alias("label"))
-    n = F.coalesce("n", F.lit(0)) + 1.0
-    full = every.join(counts, ["label", "bucket"], "left").select("label", "bucket", n.alias("n"))
-    totals = full.groupBy("label").agg(F.sum("n").alias("total"))
-    logs = full.join(totals, "label").withColumn("w", F.log(F.col("n") / F.col("total")))
-    means = logs.groupBy("bucket").agg(F.avg("w").alias("mean"))
-    whole = F.round((F.col("w") - F.col("mean")) * UNIT).cast("bigint")
-    rows = logs.join(means, "bucket").select("label", "bucket", whole.alias("w")).collect()  # labels x BUCKETS rows
-    found = {(r["label"], r["bucket"]): r["w"] for r in rows}
-    return TokenWeights(tuple(tuple(found[label, b] for b in range(BUCKETS)) for label in LABELS))
+    each = known.select("label", F.explode(tokens(F.col("text"))).alias("token")).select("label", bucket_of(F.col("token")).alias("bucket"))
+    counts = each.groupBy("bucket").agg(*(F.count_if(F.col("label") == name).alias(name) for name in LABELS))
+    every = texts.sparkSession.range(BUCKETS).select(F.lower(F.lpad(F.hex("id"), DIGITS, "0")).alias("bucket"))
+    smoothed = every.join(counts, "bucket", "left").select("bucket", *((F.coalesce(name, F.lit(0)) + 1.0).alias(name) for name in LABELS))
+    whole = Window.partitionBy()  # over BUCKETS rows
+    logs = smoothed.select("bucket", *(F.log(F.col(name) / F.sum(name).over(whole)).alias(name) for name in LABELS))
+    mean = sum((F.col(name) for name in LABELS[1:]), F.col(LABELS[0])) / len(LABELS)
+    weights = logs.select("bucket", *(F.round((F.col(name) - mean) * UNIT).cast("bigint").alias(name) for name in LABELS))
+    return TokenWeights(stored(weights, f"{folder}/weights"), folder)

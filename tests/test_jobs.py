@@ -6,7 +6,7 @@ from boardpulse.plans.jobs import collect_posts, run_counters, score_board, send
 from boardpulse.sinks.tables import write_table
 from boardpulse.sources.landing import LIST_PAGES, POST_PAGES, read_list_pages, read_post_pages
 from boardpulse.streaming.landing import read_batches, score_new_pages
-from stand_in import stand_in
+from stand_in import stand_in_scorer
 
 TITLES = ScoringConfig("m-1")
 AT = "2026-02-01T00:00:00+00:00"
@@ -65,7 +65,7 @@ def test_running_again_replaces_the_results(spark, landing):
 
 
 def test_score(spark, landing):
-    result = score_board(*tables(spark, landing), f"{landing}/out", stand_in, TITLES, crawled_at=AT, partitions=3)
+    result = score_board(*tables(spark, landing), f"{landing}/out", stand_in_scorer, TITLES, crawled_at=AT, partitions=3)
     assert result.counters == {"refs": 6, "posts": 5, "analyzed": 5}
     assert result.rows.columns == [*ANALYZED_COLUMNS, "page_id", "pos"]
     assert {r["crawled_at"] for r in result.rows.collect()} == {AT}
@@ -88,7 +88,7 @@ def test_send(spark, landing):
     result = send_board(
         *tables(spark, landing),
         f"{landing}/out",
-        stand_in,
+        stand_in_scorer,
         ScoringConfig("m-1", text_used="title+content"),
         send=lambda m: write_table(m, f"{landing}/messages"),
     )
@@ -109,7 +109,7 @@ def test_stream_equals_batch(spark, landing):
             f"{landing}/posts",
             f"{landing}/out",
             f"{landing}/checkpoint",
-            stand_in,
+            stand_in_scorer,
             TITLES,
             crawled_at=AT,
             files_per_batch=1,
@@ -117,7 +117,7 @@ def test_stream_equals_batch(spark, landing):
         query.awaitTermination()
 
     def batch():
-        result = score_board(*tables(spark, landing), f"{landing}/batch", stand_in, TITLES, crawled_at=AT)
+        result = score_board(*tables(spark, landing), f"{landing}/batch", stand_in_scorer, TITLES, crawled_at=AT)
         return result.rows
 
     run()
@@ -139,7 +139,7 @@ def test_stream_sends(spark, landing):
         f"{landing}/posts",
         f"{landing}/out",
         f"{landing}/checkpoint",
-        stand_in,
+        stand_in_scorer,
         TITLES,
         send=lambda m: sent.append(m.count()) or sent[-1],
     )

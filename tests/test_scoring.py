@@ -13,12 +13,13 @@ from boardpulse.operators.scoring import (
     add_sentiment,
     analyzed_posts,
     batch_scorer,
+    first_words,
     score_posts,
     spread,
     utc_now,
 )
 from boardpulse.operators.weights import learn_weights
-from stand_in import stand_in
+from stand_in import stand_in, stand_in_scorer
 
 POSTS = (
     "board_id int, post_id bigint, url string, title string, category string, author string, "
@@ -51,7 +52,7 @@ def test_model_text(spark):
 
 
 def test_settings_are_checked():
-    for wrong in ({"batch_size": 0}, {"neutral_floor": 1.5}, {"text_used": "content"}):
+    for wrong in ({"batch_size": 0}, {"max_length": 0}, {"neutral_floor": 1.5}, {"text_used": "content"}):
         with pytest.raises(ValueError):
             ScoringConfig("m-1", **wrong)
 
@@ -140,7 +141,7 @@ def test_errors_of_the_model_fail_the_job(spark):
 
 def test_analyzed_posts(spark):
     df = posts(spark, ("eee", "body"), ("", ""))
-    rows = analyzed_posts(df, stand_in, BOTH, "2026-02-01T00:00:00+00:00").orderBy("post_id").collect()
+    rows = analyzed_posts(df, stand_in_scorer, BOTH, "2026-02-01T00:00:00+00:00").orderBy("post_id").collect()
     assert tuple(rows[0].asDict()) == ANALYZED_COLUMNS
     assert (rows[0]["content"], rows[1]["content"]) == ("body", None)
     assert rows[1]["sentiment_probs"].asDict() == {"neg": 0.0, "neu": 1.0, "pos": 0.0}
@@ -155,22 +156,70 @@ def test_spread_splits_a_repeated_post(spark):
     assert len(sizes) == 8 and max(r["count"] for r in sizes) < 100
 
 
-def test_weights_prefer_the_words_of_a_class(spark):
+def scores(spark, weights, texts):
+    """Outputs for texts, in their order."""
+    frame = spark.createDataFrame(list(enumerate(texts)), "n int, x string").repartition(3)
+    return [r["logits"] for r in sorted(weights(frame, "x").collect(), key=lambda r: r["n"])]
+
+
+def test_weights_prefer_the_words_of_a_class(spark, tmp_path):
     texts = [("sun warm", "pos")] * 20 + [("mud cold", "neg")] * 20 + [("a table", "neu")] * 20 + [(None, "pos"), ("x", None), ("x", "odd")]
-    scorer = learn_weights(spark.createDataFrame(texts, "text string, label string")).logits
-    rows = apply(spark, ["warm SUN", "cold\tmud mud", "table", "", None], scorer)
+    weights = learn_weights(spark.createDataFrame(texts, "text string, label string"), f"{tmp_path}/a")
+    rows = scores(spark, weights, ["warm SUN", "cold\tmud mud", "table", "", None])
     assert [r.index(max(r)) for r in rows[:3]] == [2, 0, 1]
-    assert rows[3] == [0.0, 0.0, 0.0]
-    none = learn_weights(spark.createDataFrame([], "text string, label string")).logits
-    assert apply(spark, ["warm"], none) == [[0.0, 0.0, 0.0]]
+    assert rows[3] == rows[4] == [0.0, 0.0, 0.0]
+    none = learn_weights(spark.createDataFrame([], "text string, label string"), f"{tmp_path}/b")
+    assert scores(spark, none, ["warm"]) == [[0.0, 0.0, 0.0]]
+    assert scores(spark, none, []) == []
+
+
+def by_hand(texts):
+    """Weights by bucket, for the labels in their order."""
+    def bucket(token):
+        return int(hashlib.md5(token.encode()).hexdigest()[:3], 16)
 
+    counts = {label: [0] * 4096 for label in ("neg", "neu", "pos")}
+    for text, label in texts:
+        for token in text.split():
+            counts[label][bucket(token)] += 1
+    logs = [[math.log((n + 1) / (4096 + sum(row))) for n in row] for row in counts.values()]
+    return bucket, [[round((row[b] - sum(x[b] for x in logs) / 3) * 1e6) for row in logs] for b in range(4096)]
 
-def test_weights_by_hand(spark):
+
+def test_weights_and_scores_by_hand(spark, tmp_path):
     texts = [("b b c", "neg"), ("c", "neu"), ("d", "pos")]
-    weights = learn_weights(spark.createDataFrame(texts, "text string, label string"))
-    place = {t: int(hashlib.md5(t.encode()).hexdigest()[:3], 16) for t in "bcd"}
-    n = {"neg": {"b": 2, "c": 1}, "neu": {"c": 1}, "pos": {"d": 1}}
-    for token in "bcd":
-        logs = [math.log((n[x].get(token, 0) + 1) / (4096 + sum(n[x].values()))) for x in ("neg", "neu", "pos")]
-        expected = [round((w - sum(logs) / 3) * 1e6) for w in logs]
-        assert [v[place[token]] for v in weights.values] == pytest.approx(expected, abs=1)
+    weights = learn_weights(spark.createDataFrame(texts, "text string, label string"), str(tmp_path))
+    bucket, expected = by_hand(texts)
+    rows = weights.table.collect()
+    assert len(rows) == 4096
+    for r in rows:
+        assert [r["neg"], r["neu"], r["pos"]] == pytest.approx(expected[int(r["bucket"], 16)], abs=1)
+    shown = ["b", "B  c\nd", "z " * 5000, "b", "b"]  # repeated texts do not change each other
+    for text, found in zip(shown, scores(spark, weights, shown)):
+        words = text.lower().split()
+        assert found == pytest.approx([sum(expected[bucket(w)][k] for w in words) / len(words) / 1e6 * 20 for k in range(3)], abs=1e-4)
+
+
+def test_plan_of_the_product(spark, tmp_path):
+    """No weights in the plan, and nothing but sums per text moves before the join back."""
+    weights = learn_weights(spark.createDataFrame([("a b", "pos")], "text string, label string"), str(tmp_path))
+    frame = spark.createDataFrame([("a b c",)], "x string")
+    plan = weights(frame, "x")._jdf.queryExecution().toString()
+    assert "Join" in plan and "Python" not in plan and len(plan) < 20_000
+
+
+def test_first_words(spark):
+    texts = ["a b  c\td", " a b", "", "   ", "x" * 100_000 + " y", "w " * 100_000]
+    for count in (1, 2, 300):
+        found = apply(spark, texts, lambda t: first_words(t, count))
+        for text, cut in zip(texts, found):
+            assert text.startswith(cut) and cut.split() == text.split()[:count]
+
+
+def test_a_model_sees_its_words(spark):
+    def load(config):
+        return lambda texts: [[len(t.split()), config.max_length, 0] for t in texts]
+
+    config = ScoringConfig("m-1", max_length=3)
+    rows = score_posts(posts(spark, ("a b c d e", ""), ("a", "")), batch_scorer(load, config), config).collect()
+    assert sorted(r["logits"][:2] for r in rows) == [[1.0, 3.0], [3.0, 3.0]]
