@@ -7,7 +7,7 @@ on the table ``pages`` read HTML here too, with RE2 patterns of their own.
 
 from __future__ import annotations
 
-from boardpulse.config import ALLOWED_HOSTS, FOOTER_LINES, SITE_ORIGIN, VIEWS_PREFIX, VOTES_PREFIX
+from boardpulse.config import ALLOWED_HOSTS, CATEGORY_PATTERN, FOOTER_LINES, SITE_ORIGIN, VIEWS_PREFIX, VOTES_PREFIX
 from boardpulse.functions.text import WHITE_SPACE
 
 _, WWW, BARE = ALLOWED_HOSTS
@@ -72,15 +72,15 @@ anchors AS (
   FROM links
 )"""
 
-CATEGORY_PATTERN = "^\\[([^\\]]{1,6})\\]\\s*(.+)$"
+CATEGORY = f"^{CATEGORY_PATTERN}\\s*(.+)$"
 
 
 def category(raw: str) -> str:
-    return f"nullif(regexp_extract({raw}, '{CATEGORY_PATTERN}', 1), '')"
+    return f"nullif(regexp_extract({raw}, '{CATEGORY}', 1), '')"
 
 
 def title(raw: str) -> str:
-    rest = f"regexp_extract({raw}, '{CATEGORY_PATTERN}', 2)"
+    rest = f"regexp_extract({raw}, '{CATEGORY}', 2)"
     return strip(f"CASE WHEN {category(raw)} IS NULL THEN {raw} ELSE {rest} END")
 
 
@@ -362,6 +362,8 @@ SELECT doc_id, CAST(i AS INTEGER) AS i, {category('title_raw')} AS category, {ti
 SELECT DISTINCT CAST(board AS INTEGER) AS board_id, page_id, true AS is_list
 FROM links WHERE page_id NOT IN (SELECT page_id FROM refs)""",
     "latest_snapshots": f"WITH {PAGE_LINES} SELECT url, false AS is_old FROM page_lines",
+    "store_lookup": f"""WITH {REFS}, {PAGE_LINES}
+SELECT url, unnest(['2026-01-01', '2026-02-01']) AS day FROM page_lines WHERE url IN (SELECT url FROM refs)""",
     "visible_lines": f"""WITH {VISIBLE}
 SELECT page_id, CAST(unnest(range(len(lines))) AS INTEGER) AS pos, unnest(lines) AS line FROM shown""",
     "post_fields": f"WITH {PARSED} SELECT url, created_at, author, content FROM parsed",

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boardpulse.checks.inputs import (
+    OLD_FETCHED,
     board_of,
     document_links,
     document_posts,
@@ -36,7 +37,7 @@ from boardpulse.operators.scoring import Predict, Scorer, add_sentiment, analyze
 from boardpulse.plans.jobs import ORDER, JobResult, collect_posts, run_counters, score_board, send_board
 from boardpulse.operators.weights import learn_weights
 from boardpulse.sinks.tables import run_folder, stored, write_table
-from boardpulse.sources.landing import latest_rows, write_post_pages
+from boardpulse.sources.landing import PostStore, latest_rows, write_post_pages
 from boardpulse.streaming.landing import read_batches, score_new_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -363,16 +364,33 @@ def q_sent_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _opened(spark.read.parquet(place), result.rows)
 
 
+def _stored_pages(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    return stored(_posts(spark, sf_dir), f"{folder}/made")
+
+
+def q_store_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which pages a store filled in two batches has for the URLs of all references, each time of them once."""
+    folder = run_folder(spark, "store")
+    pages, refs = _stored_pages(spark, sf_dir, folder), stored(board_refs(_lists(spark, sf_dir)).select("url"), f"{folder}/urls")
+    for old in (True, False):
+        write_post_pages(pages.where((F.col("fetched_at") == OLD_FETCHED) == old), f"{folder}/store", range_bytes=1 << 20)
+    store = PostStore(spark, f"{folder}/store")
+    wanted = refs.distinct()
+    return store.pages_for(wanted).join(wanted, "url").select("url", F.date_format("fetched_at", "yyyy-MM-dd").alias("day"))
+
+
 def q_once_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three batches of list pages over a bucketed store; a fifth of the post pages comes after the first batch."""
+    """Two batches of list pages over a store, and a third without any, in which a fifth of the post pages come late."""
     folder = run_folder(spark, "landing")
     lists, posts, out = f"{folder}/list_pages", f"{folder}/post_pages", f"{folder}/out"
     every, scorer = _lists(spark, sf_dir), _scorer(spark, sf_dir)
-    pages = stored(_posts(spark, sf_dir), f"{folder}/pages")
+    pages = _stored_pages(spark, sf_dir, folder)
     late = F.crc32("url") % 5 == 0
-    for batch, new in enumerate((~late, late, F.lit(False))):
-        every.where(F.col("page_id") % 3 == batch).write.mode("append").parquet(lists)
-        write_post_pages(pages.where(new), posts)
+    for batch, new in enumerate((~late, None, late)):
+        if batch < 2:
+            every.where(F.col("page_id") % 2 == batch).write.mode("append").parquet(lists)
+        if new is not None:
+            write_post_pages(pages.where(new), posts)
         score_new_pages(
             spark, lists, posts, out, f"{folder}/checkpoint", scorer, BOTH_TEXTS, crawled_at=CRAWLED_AT
         ).awaitTermination()

@@ -70,6 +70,9 @@ PAYLOAD_COLUMNS = (
     "model_version",
 )
 
+# Category before a title: a few characters in brackets.
+CATEGORY_PATTERN = r"\[([^\]]{1,6})\]"
+
 # Date and time of a post: day and minutes, and what may follow.
 DATE_PATTERN = r"20\d{2}-\d{2}-\d{2}"
 MINUTES_PATTERN = r"\d{2}:\d{2}"

@@ -13,6 +13,8 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from boardpulse.config import CATEGORY_PATTERN
+
 # Code points counted as white space when stripping.
 WHITE_SPACE = "".join(
     chr(c)
@@ -34,7 +36,7 @@ WS_CLASS = "[\\x09-\\x0d\\x1c-\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u202
 # What ends a line besides the line feed.
 _OTHER_LINE_BREAKS = "\x0b\x0c\r\x1c\x1d\x1e\x85\u2028\u2029"
 
-_CATEGORY = f"(?d)^\\[([^\\]]{{1,6}})\\]{WS_CLASS}*(.+)$"
+_CATEGORY = f"(?d)^{CATEGORY_PATTERN}{WS_CLASS}*(.+)$"
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:

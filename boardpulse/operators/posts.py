@@ -94,10 +94,11 @@ def parse_lines(df: DataFrame, config: BoardConfig = BoardConfig()) -> DataFrame
 def parsed_pages(post_pages: DataFrame, config: BoardConfig = BoardConfig()) -> DataFrame:
     """The newest snapshot of each URL, parsed: (url, author, created_at, content).
 
-    Pages are parsed where they are read, so no HTML is shuffled or sorted.
+    Pages are parsed where they are read, so no HTML is shuffled or sorted. Of several
+    snapshots of the same time the one whose HTML has the largest hash counts.
     """
-    lines = post_pages.withColumn("lines", visible_lines(F.col("html"))).drop("html")
-    return latest_rows(parse_lines(lines, config), ("author", "created_at", "content"))
+    lines = post_pages.withColumns({"lines": visible_lines(F.col("html")), "html_hash": F.xxhash64("html")}).drop("html")
+    return latest_rows(parse_lines(lines, config), ("author", "created_at", "content"), F.col("html_hash"))
 
 
 def looked_up(

@@ -21,7 +21,7 @@ from boardpulse.operators.posts import looked_up, posts_of, rejects_of
 from boardpulse.operators.refs import REF_COLUMNS, list_rows, quarantine_of, refs_of
 from boardpulse.operators.scoring import Scorer, analyzed_posts, spread, utc_now
 from boardpulse.sinks.tables import count_rows, read_table, stored, write_measured, write_table
-from boardpulse.sources.landing import pages_for
+from boardpulse.sources.landing import PostStore, pages_for
 
 ORDER = ("page_id", "pos")
 
@@ -53,7 +53,7 @@ def run_counters(spark: SparkSession, counters: dict[str, int]) -> DataFrame:
 
 def _collect(
     list_pages: DataFrame,
-    post_pages: DataFrame,
+    post_pages: DataFrame | PostStore,
     out: str,
     config: BoardConfig,
     keep_unparsable: bool,
@@ -77,7 +77,7 @@ def _collect(
 
 def collect_posts(
     list_pages: DataFrame,
-    post_pages: DataFrame,
+    post_pages: DataFrame | PostStore,
     out: str,
     config: BoardConfig = BoardConfig(),
     keep_unparsable: bool = True,
@@ -111,7 +111,7 @@ def _score(
 
 def score_board(
     list_pages: DataFrame,
-    post_pages: DataFrame,
+    post_pages: DataFrame | PostStore,
     out: str,
     scorer: Scorer,
     scoring: ScoringConfig,
@@ -132,7 +132,7 @@ def score_board(
 
 def send_board(
     list_pages: DataFrame,
-    post_pages: DataFrame,
+    post_pages: DataFrame | PostStore,
     out: str,
     scorer: Scorer,
     scoring: ScoringConfig,

@@ -25,13 +25,23 @@ PRODUCER_OPTIONS = {
     "kafka.security.protocol": "PLAINTEXT",
 }
 NEEDED = ("kafka.bootstrap.servers", "topic")
+PROTOCOLS = ("PLAINTEXT", "SSL", "SASL_PLAINTEXT", "SASL_SSL")
+NEEDED_TO_LOG_IN = ("kafka.sasl.mechanism", "kafka.sasl.jaas.config")
 _LOGINS = {"PLAIN": "plain.Plain", "SCRAM-SHA-256": "scram.Scram", "SCRAM-SHA-512": "scram.Scram"}
 
 
 def connector_options(given: Mapping[str, str]) -> dict[str, str]:
-    """The given options over the fixed ones; blank ones count as not given."""
+    """The given options over the fixed ones; blank ones count as not given.
+
+    The security protocol may be written in any case; with a login its mechanism and settings
+    are needed, which :func:`login_options` makes.
+    """
     options = PRODUCER_OPTIONS | {k: v.strip() for k, v in given.items() if v.strip()}
-    missing = [k for k in NEEDED if k not in options]
+    options["kafka.security.protocol"] = protocol = options["kafka.security.protocol"].upper()
+    if protocol not in PROTOCOLS:
+        raise ValueError(f"no security protocol {protocol}; there are {', '.join(PROTOCOLS)}")
+    needed = NEEDED + (NEEDED_TO_LOG_IN if protocol.startswith("SASL_") else ())
+    missing = [k for k in needed if k not in options]
     if missing:
         raise ValueError(f"options needed by the connector: {', '.join(missing)}")
     return options

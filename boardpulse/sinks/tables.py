@@ -46,6 +46,19 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files is not None and len(files) > 0
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Makes a folder where there is none yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [x.getPath().getName() for x in files.listStatus(folder)] if files.exists(folder) else []
+
+
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new folder for the tables of one run, below the shared ``spark.checkpoint.dir``.
 

@@ -5,7 +5,7 @@ import pytest
 from boardpulse.config import ALLOWED_HOSTS, SITE_ORIGIN, BoardConfig
 from boardpulse.operators.attach import hot_urls, is_allowed_url
 from boardpulse.operators.posts import board_posts, parsed_pages, rejected_refs
-from boardpulse.sources.landing import latest_rows, pages_for, read_post_pages, write_post_pages
+from boardpulse.sources.landing import PostStore, latest_rows, pages_for, read_post_pages, write_post_pages
 from helpers import apply
 
 REFS = "board_id int, post_id bigint, url string, title string, category string, page_id bigint, pos int"
@@ -89,24 +89,68 @@ def test_only_needed_columns_are_read(spark, pages, tmp_path):
     pages.write.parquet(f"{tmp_path}/pages")
     stored = spark.read.parquet(f"{tmp_path}/pages")
     assert "html" in plan(parsed_pages(stored))
-    assert "html" not in plan(parsed_pages(stored).select("url"))
-    assert "html" not in plan(latest_rows(stored, ["html"]).select("url"))
+    parsed = parsed_pages(stored)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [url" in parsed
 
 
 def test_no_html_is_shuffled_or_sorted(spark, refs, pages, tmp_path):
     pages.write.parquet(f"{tmp_path}/p")
     shown = plan(board_posts(refs, spark.read.parquet(f"{tmp_path}/p")))
     moved = [x for x in shown.splitlines() if "Exchange" in x or " Sort " in x or "SortAggregate" in x]
-    assert moved and not any("html" in x for x in moved)
+    assert moved and not any("html#" in x for x in moved)
+    assert "SortAggregate" not in shown
 
 
-def test_bucketed_store(spark, refs, pages, tmp_path):
-    write_post_pages(pages.withColumn("fetched_at", pages.fetched_at.cast("timestamp")), f"{tmp_path}/store")
+def with_times(pages):
+    return pages.withColumn("fetched_at", pages.fetched_at.cast("timestamp"))
+
+
+def test_store_gives_the_same_posts(spark, refs, pages, tmp_path):
+    write_post_pages(with_times(pages), f"{tmp_path}/store", range_bytes=600)
     store = read_post_pages(spark, f"{tmp_path}/store")
     few = refs.where("post_id < 2")
     some = pages_for(store, few)
     assert 0 < some.count() < pages.count()
     assert rows_of(board_posts(few, some)) == rows_of(board_posts(few, pages))
+    assert rows_of(store.pages().drop("fetched_at")) == rows_of(pages.drop("fetched_at"))
+    assert isinstance(store, PostStore) and store.pages_for(refs.where("false")).count() == 0
+
+
+def test_a_batch_reads_only_files_that_can_hold_it(spark, tmp_path):
+    """Files by ranges as the bytes ask for; those read are those whose ranges meet a hash, as a full comparison says."""
+    made = spark.range(20_000).selectExpr("concat('https://h/', id) url", "repeat('x', 100) html", "timestamp_seconds(id % 7) fetched_at")
+    for size, part in ((1 << 16, "url < 'https://h/4'"), (1 << 14, "url >= 'https://h/4' AND url < 'https://h/6'"), (1 << 30, "url >= 'https://h/6'")):
+        write_post_pages(made.where(part).limit(10**9), f"{tmp_path}/store", range_bytes=size)
+    store = PostStore(spark, f"{tmp_path}/store")
+    index = store.index().collect()
+    assert len(index) > 30
+    for urls in (made.where("url LIKE '%77'"), made.limit(3), made.where("url = 'https://h/9'"), made.limit(0)):
+        hashes = [r[0] for r in urls.selectExpr("xxhash64(url)").collect()]
+        expected = {(r["folder"], r["file"]) for r in index if any(r["low"] <= h <= r["high"] for h in hashes)}
+        assert {tuple(r) for r in store.files_for(urls).collect()} == expected
+        assert len(hashes) > 20 or len(expected) < len(index)
+        assert store.pages_for(urls).join(urls.select("url"), "url", "left_semi").count() == urls.count()
+
+
+def test_store_of_nothing_and_of_one_url(spark, tmp_path):
+    empty = spark.createDataFrame([], "url string, html string, fetched_at timestamp")
+    write_post_pages(empty, f"{tmp_path}/a")
+    assert read_post_pages(spark, f"{tmp_path}/a").pages().collect() == []
+    same = spark.range(500).selectExpr("'u' url", "if(id % 9 = 0, null, 'x') html", "timestamp_seconds(id) fetched_at")
+    write_post_pages(same.union(spark.createDataFrame([(None, None, None)], empty.schema)), f"{tmp_path}/b", range_bytes=50)
+    store = PostStore(spark, f"{tmp_path}/b")
+    assert store.index().count() > 3  # snapshots of one URL are dealt by time
+    assert store.pages_for(same.select("url")).where("url = 'u'").count() == 500 and store.pages().count() == 501
+
+
+def test_snapshots_of_the_same_time(spark):
+    """One of several, the same however they are dealt; equal ones are one; times are compared to the microsecond."""
+    rows = [("a", f"<p>{k % 5}</p>", 7) for k in range(50)] + [("b", "x", None), ("b", "y", None)]
+    pages = spark.createDataFrame(rows, PAGES)
+    found = [rows_of(latest_rows(pages.repartition(n), ["html"])) for n in (1, 5, 9)]
+    assert found[0] == found[1] == found[2] and sum(found[0].values()) == 2
+    near = spark.createDataFrame([("a", "old"), ("a", "new")], "url string, html string").selectExpr("url", "html", "timestamp_micros(if(html = 'old', -1, 0) + 1700000000000001) fetched_at")
+    assert rows_of(latest_rows(near, ["html"])) == Counter({("a", "new"): 1})
 
 
 def test_other_hosts_by_configuration(spark, pages):

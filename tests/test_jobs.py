@@ -1,10 +1,12 @@
+from datetime import datetime
+
 import pytest
 
 from boardpulse.config import ANALYZED_COLUMNS, SITE_ORIGIN, ScoringConfig
 from boardpulse.operators.scoring import batch_scorer
 from boardpulse.plans.jobs import collect_posts, run_counters, score_board, send_board
 from boardpulse.sinks.tables import write_table
-from boardpulse.sources.landing import LIST_PAGES, POST_PAGES, read_list_pages, read_post_pages
+from boardpulse.sources.landing import LIST_PAGES, POST_PAGES, read_list_pages, read_post_pages, write_post_pages
 from boardpulse.streaming.landing import read_batches, score_new_pages
 from stand_in import stand_in_scorer
 
@@ -131,6 +133,102 @@ def test_stream_equals_batch(spark, landing):
     assert rows(found.drop("batch")) == rows(batch())
 
 
+def write_pages(spark, folder, numbers, store):
+    """Post pages that arrive: a file of a plain folder, or a batch of a store."""
+    rows = [(f"{SITE_ORIGIN}/board/a/5558/{n}", f"<p>me<p>조회: 1<p>text {n}", None) for n in numbers]
+    frame = spark.createDataFrame(rows, POST_PAGES)
+    if store:
+        write_post_pages(frame, f"{folder}/pages", range_bytes=40)
+    else:
+        frame.write.mode("append").parquet(f"{folder}/pages")
+
+
+def land(spark, folder, pages, at="2026-02-01 00:00:00"):
+    rows = [(5558, page, "u", list_html(numbers), datetime.fromisoformat(at)) for page, numbers in pages.items()]
+    spark.createDataFrame(rows, LIST_PAGES).coalesce(1).write.mode("append").parquet(f"{folder}/lists")
+
+
+def stream(spark, folder, **more):
+    paths = (f"{folder}/lists", f"{folder}/pages", f"{folder}/out", f"{folder}/checkpoint")
+    score_new_pages(spark, *paths, stand_in_scorer, TITLES, crawled_at=AT, **more).awaitTermination()
+
+
+def found_posts(spark, folder, table="analyzed"):
+    return sorted(r["post_id"] for r in read_batches(spark, f"{folder}/out", table).collect())
+
+
+@pytest.mark.parametrize("store", [False, True])
+def test_a_late_page_alone_wakes_its_references(spark, tmp_path, store):
+    folder = str(tmp_path)
+    land(spark, folder, {1: [1, 2, 3], 2: [3]})
+    write_pages(spark, folder, [1], store)
+    stream(spark, folder)
+    assert found_posts(spark, folder) == [1]
+    write_pages(spark, folder, [3, 9], store)  # no new list page
+    stream(spark, folder)
+    assert found_posts(spark, folder) == [1, 3, 3]
+    land(spark, folder, {3: [9, 2]})
+    stream(spark, folder)
+    assert found_posts(spark, folder) == [1, 3, 3, 9]
+    write_pages(spark, folder, [2], store)
+    stream(spark, folder)
+    assert found_posts(spark, folder) == [1, 2, 2, 3, 3, 9]
+    pending = spark.read.parquet(f"{folder}/out/batch=3/pending")
+    assert pending.count() == 0 and "since" in pending.columns
+    batch = score_board(read_list_pages(spark, f"{folder}/lists"), read_post_pages(spark, f"{folder}/pages"), f"{folder}/all", stand_in_scorer, TITLES, crawled_at=AT)
+    assert rows(read_batches(spark, f"{folder}/out", "analyzed").drop("batch")) == rows(batch.rows)
+
+
+def test_references_stop_waiting(spark, tmp_path):
+    folder = str(tmp_path)
+    land(spark, folder, {1: [1]})
+    for batch, numbers in enumerate(([7], [8], [9], [1])):
+        write_pages(spark, folder, numbers, True)
+        stream(spark, folder, wait_batches=2)
+    assert found_posts(spark, folder) == []
+    assert found_posts(spark, folder, "expired") == [1]
+    assert spark.read.parquet(f"{folder}/out/batch=2/expired").count() == 1
+
+
+def test_a_list_page_that_lands_again_counts_once(spark, tmp_path):
+    folder = str(tmp_path)
+    write_pages(spark, folder, range(9), True)
+    more = {"repeats_within": "7 days"}
+    land(spark, folder, {1: [1, 2, 1], 2: [3]})
+    land(spark, folder, {1: [1, 2, 1]})
+    stream(spark, folder, **more)
+    land(spark, folder, {1: [1, 2, 1], 3: [4]})
+    stream(spark, folder, **more)
+    assert found_posts(spark, folder) == [1, 1, 2, 3, 4]  # links repeated on one page stay
+    land(spark, folder, {1: [1, 5]})  # changed
+    land(spark, folder, {2: [3]}, at="2026-02-02 00:00:00")  # fetched again
+    stream(spark, folder, **more)
+    assert found_posts(spark, folder) == [1, 1, 1, 2, 3, 3, 4, 5]
+
+
+def test_a_batch_that_was_delivered_is_not_sent_again(spark, tmp_path):
+    folder, topic, calls = str(tmp_path), [], []
+    land(spark, folder, {1: [1, 2]})
+    write_pages(spark, folder, [1, 2], True)
+
+    def send(messages):
+        calls.append(messages.count())
+        if len(calls) == 1:
+            raise RuntimeError("the broker is away")
+        messages.write.mode("append").parquet(f"{folder}/topic")
+        return calls[-1]
+
+    with pytest.raises(Exception, match="broker"):
+        stream(spark, folder, send=send)
+    stream(spark, folder, send=send)
+    assert calls == [2, 2] and spark.read.parquet(f"{folder}/topic").count() == 2
+    # Delivered, but the stream did not get to note the batch as done.
+    for name in ("0", ".0.crc"):
+        (tmp_path / "checkpoint" / "commits" / name).unlink(missing_ok=True)
+    stream(spark, folder, send=send)
+    assert calls == [2, 2] and spark.read.parquet(f"{folder}/topic").count() == 2
+
+
 def test_stream_sends(spark, landing):
     sent = []
     query = score_new_pages(

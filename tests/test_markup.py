@@ -134,7 +134,7 @@ def test_subject_titles(spark):
 def test_subject_titles_of_other_layouts(spark):
     inners = ["<strong class='subject'>x</strong>", "<span class='subject'>y</span>"]
     assert titles(spark, inners, ("span",)) == [None, "y"]
-    assert titles(spark, [" 잡담 <b>테스트</b> "], ("a",)) == ["잡담테스트"]
+    assert titles(spark, [" 비 오는 <b>저녁</b> "], ("a",)) == ["비 오는저녁"]
 
 
 def test_hidden_text_in_titles(spark):

@@ -13,14 +13,14 @@ from boardpulse.sinks.kafka import (
     stream_to_kafka,
     write_kafka,
 )
-from stand_in import stand_in
+from stand_in import stand_in_scorer
 from test_scoring import posts
 
 ORDER = ("page_id", "pos")
 
 
 def analyzed(spark, *texts, crawled_at="2026-02-01T00:00:00+00:00"):
-    return analyzed_posts(posts(spark, *texts), stand_in, ScoringConfig("m-1"), crawled_at=crawled_at, keep=ORDER)
+    return analyzed_posts(posts(spark, *texts), stand_in_scorer, ScoringConfig("m-1"), crawled_at=crawled_at, keep=ORDER)
 
 
 def test_messages(spark):
@@ -60,6 +60,27 @@ def test_latest_per_document(spark):
     assert [(r["doc_id"], r["title"]) for r in found] == [("5558:0", "last"), ("5558:1", "b")]
 
 
+def test_latest_per_document_by_time_page_and_place(spark):
+    import random
+    from collections import defaultdict
+
+    from pyspark.sql import functions as F
+
+    rng, groups = random.Random(4), defaultdict(list)
+    times = ["1969-12-31T23:59:59.999999+00:00", "2026-02-01T00:00:00.000001+00:00", "2026-02-01T00:00:00.000002+00:00", None]
+    rows = [(rng.randrange(40), rng.choice(times), rng.choice([0, 1, 10**12 - 1]), rng.choice([0, 5, 10**9 - 1]), str(n)) for n in range(600)]
+    for post, at, page, pos, title in rows:
+        groups[post].append((at or "", page, pos, title))
+    frame = spark.createDataFrame(rows, "post_id bigint, crawled_at string, page_id bigint, pos int, title string").withColumn("board_id", F.lit(1))
+    found = defaultdict(set)
+    for r in latest_per_document(frame, ["title"]).collect():
+        found[int(r["doc_id"][2:])].add(r["title"])
+    assert found == {post: {t for *place, t in group if tuple(place) == max(g[:3] for g in group)} for post, group in groups.items()}
+    for wrong in (frame.withColumn("page_id", F.lit(-1).cast("bigint")), frame.withColumn("pos", F.lit(10**9))):
+        with pytest.raises(Exception, match="out of range"):
+            latest_per_document(wrong, ["title"]).collect()
+
+
 def test_samples(spark):
     texts = [(f"t{n}", "x" * (119 + n)) for n in range(12)]
     sample = post_sample(posts(spark, *texts)).collect()
@@ -83,6 +104,17 @@ def test_kafka_options():
             connector_options({k: v for k, v in BASE.items() if k != missing})
 
 
+def test_kafka_security_protocol_is_checked():
+    assert connector_options(BASE | {"kafka.security.protocol": " ssl "})["kafka.security.protocol"] == "SSL"
+    with pytest.raises(ValueError, match="TLS"):
+        connector_options(BASE | {"kafka.security.protocol": "tls"})
+    login = login_options("PLAIN", "a", "b") | {"kafka.security.protocol": "sasl_plaintext"}
+    assert connector_options(BASE | login)["kafka.security.protocol"] == "SASL_PLAINTEXT"
+    for part in ("kafka.sasl.mechanism", "kafka.sasl.jaas.config"):
+        with pytest.raises(ValueError, match=part):
+            connector_options(BASE | login | {part: " "})
+
+
 def test_kafka_login():
     options = connector_options(BASE | login_options("scram-sha-256", 'a"b', "c\\d"))
     assert options["kafka.security.protocol"] == "SASL_SSL" and options["kafka.sasl.mechanism"] == "SCRAM-SHA-256"

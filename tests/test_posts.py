@@ -56,7 +56,7 @@ def test_content(spark):
     cases = [
         ([DATE], ""),
         ([f"x {DATE}", "b"], f"x {DATE}\nb"),
-        (["a", DATE, "b", "조회: 1", "추천: 2", "추천확인", "c"], "b\n추천확인\nc"),
+        (["a", DATE, "b", "조회: 1", "추천: 2", "추천합니다", "c"], "b\n추천합니다\nc"),
         (["a", "목록", DATE, "b", "댓글쓰기", "c", "댓글보기"], "b"),
         (["a", "목록", "b"], "a"),
         (["댓글보기 x", "b"], "댓글보기 x\nb"),
