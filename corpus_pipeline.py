@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardpulse.llm import decontam, language, near_copies, piece_bpe, sentence_spans
+from boardpulse.llm import decontam, language, piece_bpe, sentence_spans, simhash
 from boardpulse.llm.common import scratch_folder, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -21,8 +21,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, by five-word Jaccard similarity of 0.8 or more."""
-    return near_copies.one_of_each(docs)
+    """One document of each group whose fingerprints of four-word shingles link at four differing bits or fewer."""
+    return simhash.one_of_each(docs)
 
 
 def repeated_span_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
