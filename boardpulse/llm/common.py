@@ -40,6 +40,16 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def matched(docs: DataFrame, keys: DataFrame, kind: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose id and text are (``left_semi``) or are not (``left_anti``) among ``keys(doc_id, text_hash)``.
+
+    The sides go by aliases, so that columns of any name pass through.
+    """
+    same_id = F.col(f"docs_side.{id_column}").eqNullSafe(F.col("keys_side.doc_id"))
+    same_text = F.xxhash64(f"docs_side.{text_column}") == F.col("keys_side.text_hash")
+    return docs.alias("docs_side").join(keys.alias("keys_side"), same_id & same_text, kind)
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case and all else as it was.
 

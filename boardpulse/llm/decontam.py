@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boardpulse.llm.common import lower_ascii, scratch_folder, stored
+from boardpulse.llm.common import lower_ascii, matched, scratch_folder, stored
 
 #: What stands between words; it has A-Z, as texts are in lower case before.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -143,6 +143,4 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``documents`` without its contaminated rows, all columns as they were."""
     bad = contamination(documents, benchmark).where("contaminated").select("doc_id", "text_hash").distinct()
-    bad = stored(bad, "contaminated").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-    on = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
-    return documents.join(bad, on, "left_anti")
+    return matched(documents, stored(bad, "contaminated"), "left_anti")

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boardpulse.llm.batches import by_text_size, map_batches
-from boardpulse.llm.common import scratch_folder, stored
+from boardpulse.llm.common import matched, scratch_folder, stored
 
 #: Country suffixes that speak for a language. Fixed values.
 SUFFIXES = {"de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "ar": "es", "uk": "en", "us": "en", "au": "en", "ie": "en"}
@@ -232,6 +232,4 @@ def page_languages(pages: DataFrame, settings: Settings = Settings()) -> DataFra
 def without_rejected(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``documents`` without the rows that are not accepted, all columns as they were."""
     bad = document_languages(documents, settings).where("not accepted").select("doc_id", "text_hash").distinct()
-    bad = stored(bad, "rejected").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-    on = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
-    return documents.join(bad, on, "left_anti")
+    return matched(documents, stored(bad, "rejected"), "left_anti")

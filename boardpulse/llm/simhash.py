@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from boardpulse.llm.batches import map_batches
-from boardpulse.llm.common import scratch_folder, stored
+from boardpulse.llm.common import matched, scratch_folder, stored
 from boardpulse.llm.components import connected_components
 
 BITS = 64
@@ -331,14 +331,12 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     The row with the smallest id stays, ties by the hash of its text; rows equal in
     both are repeated rows, of which any one stays.
     """
-    return first_of_each(docs, near_classes(docs, id_column, text_column, words, max_diff), id_column, text_column)
-
-
-def first_of_each(docs: DataFrame, classes: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``docs`` with one row of each root of ``classes(doc_id, text_hash, root)``, chosen as by ``one_of_each``."""
+    classes = near_classes(docs, id_column, text_column, words, max_diff)
     folder = scratch_folder(docs.sparkSession)
     rows = stored(classes.groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("n")), "rows", folder)
+    # Written, so that the join below reads plain exchanges, whose large keys can be split.
     best = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("best"))
+    best = stored(best, "best", folder)
     judged = rows.join(best, "root").select(
         "doc_id",
         "text_hash",
@@ -346,11 +344,6 @@ def first_of_each(docs: DataFrame, classes: DataFrame, id_column: str, text_colu
         (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_hash") == F.col("best.text_hash"))).alias("stays"),
     )
     judged = stored(judged.where("not stays or n > 1"), "judged", folder)
-
-    def met(kind: str, which: DataFrame) -> DataFrame:
-        keys = which.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-        on = F.col(id_column).eqNullSafe(F.col("__id")) & (F.xxhash64(text_column) == F.col("__hash"))
-        return docs.join(keys, on, kind)
-
-    again = met("left_semi", judged.where("stays"))
-    return met("left_anti", judged).unionByName(again.dropDuplicates([id_column, text_column]))
+    again = matched(docs, judged.where("stays"), "left_semi", id_column, text_column)
+    others = matched(docs, judged, "left_anti", id_column, text_column)
+    return others.unionByName(again.dropDuplicates([id_column, text_column]))

@@ -7,7 +7,8 @@ import random
 WORDS = "the and of to in is was that it for on with as by at from are this be or river stone light house garden winter music paper".split()
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, "
-    "fp string, root string, spans string, hash string, language string, words string, kept string, h string"
+    "fp string, root string, spans string, hash string, language string, words string, kept string, h string, "
+    "__id string, __hash string, __spans string, text_hash string, row string, blob string, best string, begin string"
 )
 
 
@@ -22,7 +23,7 @@ def prose(seed: int, words: int) -> str:
 def documents(spark, texts, lang="en", source="s"):
     """Ids from 0 on for a list, or the rows given as (id, text)."""
     rows = [x if isinstance(x, tuple) else (i, x) for i, x in enumerate(texts)]
-    full = [(i, t, lang, source, None if t is None else len(t), *"abcdefgh") for i, t in rows]
+    full = [(i, t, lang, source, None if t is None else len(t), *"abcdefghijklmnop") for i, t in rows]
     return spark.createDataFrame(full, SCHEMA).repartition(3)
 
 
