@@ -169,21 +169,39 @@ def model_text(both: bool) -> str:
 BLANKS = "[\\x09-\\x0D ]+"
 
 
-def bucket(token: str) -> str:
-    return f"CAST('0x' || substr(md5({token}), 1, 3) AS INTEGER)"
+def buckets(every_text: str) -> str:
+    """CTEs with the bucket of each token of some texts: the CRC-32 of its bytes, counted out byte by byte."""
+    step = "xor({x} // 2, ({x} % 2) * 3988292384)"
+    return f"""
+crc_steps AS (
+  SELECT i, i AS x, 0 AS k FROM (SELECT unnest(generate_series(0, 255)) AS i)
+  UNION ALL SELECT i, {step.format(x='x')}, k + 1 FROM crc_steps WHERE k < 8
+),
+crc_bytes AS (SELECT i, x FROM crc_steps WHERE k = 8),
+every_token AS (SELECT DISTINCT unnest({tokens('text')}) AS token FROM ({every_text})),
+crc_sums AS (
+  SELECT token, hex(token) AS bytes, 0 AS k, CAST(4294967295 AS BIGINT) AS c FROM every_token
+  UNION ALL
+  SELECT token, bytes, k + 1, xor(x, c // 256) FROM crc_sums JOIN crc_bytes
+    ON i = xor(c % 256, CAST('0x' || substr(bytes, 2 * k + 1, 2) AS BIGINT))
+  WHERE 2 * k < length(bytes)
+),
+token_buckets AS (SELECT token, xor(c, 4294967295) % 4096 AS bucket FROM crc_sums WHERE 2 * k = length(bytes))"""
 
 
 def tokens(text: str) -> str:
     return f"list_filter(regexp_split_to_array(lower({text}), '{BLANKS}'), lambda t: t <> '')"
 
 
-WEIGHTS = f"""
+def weights(every_text: str) -> str:
+    """CTEs with the weights, and with the buckets of the tokens of the documents and some texts."""
+    return f"""{buckets(f'SELECT text FROM documents UNION ALL {every_text}')},
 labelled AS (
   SELECT CASE WHEN quality = 0 THEN 'neg' WHEN toxic = 1 THEN 'neu' ELSE 'pos' END AS label,
          unnest({tokens('text')}) AS token
   FROM documents JOIN labels USING (doc_id)
 ),
-token_counts AS (SELECT label, {bucket('token')} AS bucket, count(*) AS n FROM labelled GROUP BY ALL),
+token_counts AS (SELECT label, bucket, count(*) AS n FROM labelled JOIN token_buckets USING (token) GROUP BY ALL),
 shares AS (
   SELECT l.label, b.range AS bucket, coalesce(n, 0) + 1.0::DOUBLE AS n
   FROM range(4096) b CROSS JOIN (SELECT unnest(['neg', 'neu', 'pos']) AS label) l
@@ -202,12 +220,12 @@ wide AS (
 
 def scored(source: str, text: str, floor: float = 0.0) -> str:
     """CTEs that add probabilities, score and label to ``source``."""
-    return f"""{WEIGHTS},
+    return f"""{weights(f'SELECT {text} FROM {source}')},
 numbered AS (SELECT *, row_number() OVER () AS row_no FROM {source}),
 token_sums AS (
   SELECT row_no, count(*) AS size, sum(wa) AS sa, sum(wb) AS sb, sum(wc) AS sc
   FROM (SELECT row_no, unnest({tokens(text)}) AS token FROM numbered) t
-  JOIN wide ON wide.bucket = {bucket('token')} GROUP BY row_no
+  JOIN token_buckets USING (token) JOIN wide USING (bucket) GROUP BY row_no
 ),
 outputs AS (
   SELECT *, {strip(f"coalesce({text}, '')")} = '' AS blank,
@@ -271,7 +289,7 @@ BOARD_SCORED = f"""{BOARD_POSTS},
 post_texts AS (SELECT *, {model_text(True)} AS model_text FROM posts),
 {scored('post_texts', 'model_text')}"""
 
-BOARD_ANALYZED = f"""WITH {BOARD_SCORED}
+BOARD_ANALYZED = f"""WITH RECURSIVE {BOARD_SCORED}
 SELECT board_id, post_id, url, title, nullif(content, '') AS content, author, created_at, {CRAWLED},
        {SCORES}, {VERSION}, {BOTH}, page_id, pos
 FROM scored"""
@@ -375,27 +393,27 @@ FROM refs WHERE post_id % 8 = 4 OR post_id NOT IN (SELECT event_id FROM events)"
     "board_posts_hot": f"WITH {BOARD_POSTS} SELECT * FROM posts",
     "model_text_title": f"WITH {DOC_POSTS} SELECT post_id, {model_text(False)} AS model_text FROM doc_posts",
     "model_text_content": f"WITH {DOC_POSTS} SELECT post_id, {model_text(True)} AS model_text FROM doc_posts",
-    "sentiment_scores": f"WITH {TEXTS}, {scored('texts', 'text')} SELECT kind, id, part, {SCORES} FROM scored",
-    "sentiment_neutral_floor": f"WITH {TEXTS}, {scored('texts', 'text', 0.6)} SELECT kind, id, part, {SCORES} FROM scored",
-    "batch_scoring": f"WITH {DOC_SCORED} SELECT post_id, {SCORES} FROM scored",
+    "sentiment_scores": f"WITH RECURSIVE {TEXTS}, {scored('texts', 'text')} SELECT kind, id, part, {SCORES} FROM scored",
+    "sentiment_neutral_floor": f"WITH RECURSIVE {TEXTS}, {scored('texts', 'text', 0.6)} SELECT kind, id, part, {SCORES} FROM scored",
+    "batch_scoring": f"WITH RECURSIVE {DOC_SCORED} SELECT post_id, {SCORES} FROM scored",
     "model_batches": f"""WITH {DOC_POSTS}, doc_texts AS (SELECT *, {model_text(True)} AS model_text FROM doc_posts),
 {LETTERS}, {judged()}
 SELECT post_id, {SCORES} FROM scored""",
-    "analyzed_posts": f"""WITH {DOC_SCORED}
+    "analyzed_posts": f"""WITH RECURSIVE {DOC_SCORED}
 SELECT board_id, post_id, url, title, nullif(content, '') AS content, author,
        CAST(NULL AS VARCHAR) AS created_at, {CRAWLED}, {SCORES}, {VERSION}, {BOTH}
 FROM scored""",
-    "kafka_payload": f"WITH {DOC_SCORED} SELECT '5558:' || post_id AS key, {PAYLOAD} FROM scored",
+    "kafka_payload": f"WITH RECURSIVE {DOC_SCORED} SELECT '5558:' || post_id AS key, {PAYLOAD} FROM scored",
     "post_sample": f"""WITH {DOC_POSTS}
 SELECT board_id, post_id, url, CAST(NULL AS VARCHAR) AS category, title, author,
        CAST(NULL AS VARCHAR) AS created_at,
        CASE WHEN length(content) > 120 THEN substring(content, 1, 120) || '…' ELSE content END AS content_preview
 FROM doc_posts ORDER BY page_id LIMIT 5""",
-    "analyzed_sample": f"""WITH {DOC_SCORED}
+    "analyzed_sample": f"""WITH RECURSIVE {DOC_SCORED}
 SELECT '5558:' || post_id AS doc_id, title, {SCORES}, {BOTH}, {VERSION}, url
 FROM scored ORDER BY page_id LIMIT 10""",
-    "payload_sample": f"WITH {DOC_SCORED} SELECT {PAYLOAD} FROM scored ORDER BY page_id LIMIT 3",
-    "latest_per_document": f"""WITH {DOC_SCORED}
+    "payload_sample": f"WITH RECURSIVE {DOC_SCORED} SELECT {PAYLOAD} FROM scored ORDER BY page_id LIMIT 3",
+    "latest_per_document": f"""WITH RECURSIVE {DOC_SCORED}
 SELECT '5558:' || post_id AS doc_id,
        {CRAWLED}, page_id + 1 AS page_id, 'neu' AS sentiment_label
 FROM scored""",
@@ -404,7 +422,7 @@ FROM scored""",
     "run_counters": f"""WITH {BOARD_POSTS}
 SELECT 'refs' AS stage, count(*) AS rows FROM refs
 UNION ALL SELECT unnest(['posts', 'analyzed', 'sent']), count(*) FROM posts""",
-    "sent_messages": f"WITH {BOARD_SCORED} SELECT board_id || ':' || post_id AS key, board_id || ':' || post_id AS doc_id, {PAYLOAD_REST} FROM scored",
+    "sent_messages": f"WITH RECURSIVE {BOARD_SCORED} SELECT board_id || ':' || post_id AS key, board_id || ':' || post_id AS doc_id, {PAYLOAD_REST} FROM scored",
     "collect_posts_reasons": REASONS,
     "score_board_reasons": REASONS,
     "once_stream": BOARD_ANALYZED,

@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from boardpulse.config import LABELS
 from boardpulse.sinks.tables import stored
 
-DIGITS = 3  # hexadecimal digits of a token's digest that name its bucket
-BUCKETS = 16**DIGITS
+BUCKETS = 4096
+KEYS = ["text_key", "more_key"]
 UNIT = 1_000_000
 STRETCH = 20.0
 
@@ -34,7 +34,13 @@ def tokens(text: Column) -> Column:
 
 
 def bucket_of(token: Column) -> Column:
-    return F.substring(F.md5(token), 1, DIGITS)
+    """Number of a token's bucket, by a checksum that any engine has or can count out."""
+    return (F.crc32(token.cast("binary")) % F.lit(BUCKETS)).cast("int")
+
+
+def text_keys(text: Column) -> list[Column]:
+    """Two hashes of 64 bits that tell texts apart."""
+    return [F.xxhash64(text).alias("text_key"), F.xxhash64(F.lit("more"), text).alias("more_key")]
 
 
 @dataclass(frozen=True)
@@ -47,26 +53,30 @@ class TokenWeights:
     def __call__(self, frame: DataFrame, text: str) -> DataFrame:
         """The frame with ``logits``, the outputs (neg, neu, pos) for a text column; zeros for a text without tokens.
 
-        Texts are told apart by a digest of 128 bits, so equal ones are one row of the product. Copies
+        Texts are told apart by 128 bits, so equal ones are one row of the product. Copies
         add to the sums and to the size alike and leave the means as they are. The sums are written, so
         that the join back reads plain exchanges, of which the planner can split one with a hot text.
         """
-        texts = frame.select(F.md5(text).alias("text_key"), F.explode(tokens(F.col(text))).alias("token"))
-        found = texts.select("text_key", bucket_of(F.col("token")).alias("bucket")).join(F.broadcast(self.table), "bucket")  # BUCKETS rows
-        sums = found.groupBy("text_key").agg(F.count(F.lit(1)).alias("size"), *(F.sum(name).alias(f"sum_{name}") for name in LABELS))
+        keys = text_keys(F.col(text))
+        # Keys and tokens first: beside an explode the keys would be computed again for each token. An outer explode cuts texts once;
+        # the row of a text without tokens has no bucket and goes at the join.
+        texts = frame.select(*keys, tokens(F.col(text)).alias("tokens"))
+        buckets = texts.select(*KEYS, F.explode_outer("tokens").alias("token")).select(*KEYS, bucket_of(F.col("token")).alias("bucket"))
+        found = buckets.join(F.broadcast(self.table), "bucket")  # BUCKETS rows
+        sums = found.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("size"), *(F.sum(name).alias(f"sum_{name}") for name in LABELS))
         means = [F.col(f"sum_{name}").cast("double") / (F.col("size") * F.lit(UNIT)) * F.lit(STRETCH) for name in LABELS]
-        outputs = stored(sums.select("text_key", F.array(*means).alias("found")), f"{self.folder}/sums-{uuid.uuid4().hex}")
+        outputs = stored(sums.select(*KEYS, F.array(*means).alias("found")), f"{self.folder}/sums-{uuid.uuid4().hex}")
         none = F.array(*(F.lit(0.0) for _ in LABELS))
-        joined = frame.withColumn("text_key", F.md5(text)).join(outputs, "text_key", "left")
-        return joined.withColumn("logits", F.coalesce("found", none)).drop("text_key", "found")
+        joined = frame.select("*", *keys).join(outputs, KEYS, "left")
+        return joined.withColumn("logits", F.coalesce("found", none)).drop(*KEYS, "found")
 
 
 def learn_weights(texts: DataFrame, folder: str) -> TokenWeights:
     """Weights from ``texts(text, label)`` over all its rows, written below ``folder``; nulls and unknown labels are left out."""
     known = texts.where(F.col("label").isin(*LABELS))
-    each = known.select("label", F.explode(tokens(F.col("text"))).alias("token")).select("label", bucket_of(F.col("token")).alias("bucket"))
-    counts = each.groupBy("bucket").agg(*(F.count_if(F.col("label") == name).alias(name) for name in LABELS))
-    every = texts.sparkSession.range(BUCKETS).select(F.lower(F.lpad(F.hex("id"), DIGITS, "0")).alias("bucket"))
+    each = known.select("label", F.explode_outer(tokens(F.col("text"))).alias("token")).select("label", bucket_of(F.col("token")).alias("bucket"))
+    counts = each.where("bucket IS NOT NULL").groupBy("bucket").agg(*(F.count_if(F.col("label") == name).alias(name) for name in LABELS))
+    every = texts.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
     smoothed = every.join(counts, "bucket", "left").select("bucket", *((F.coalesce(name, F.lit(0)) + 1.0).alias(name) for name in LABELS))
     whole = Window.partitionBy()  # over BUCKETS rows
     logs = smoothed.select("bucket", *(F.log(F.col(name) / F.sum(name).over(whole)).alias(name) for name in LABELS))
