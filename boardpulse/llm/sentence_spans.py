@@ -38,9 +38,9 @@ AROUND = 3
 #: What ends a sentence as the last character of a word.
 MARKS = ".!?;:,…。！？|"
 #: Bytes of text that are worked on at once.
-PIECE_BYTES = 1 << 20
-#: Bits of the filter, a power of two: 16 MB at most are broadcast, whatever the input.
-FILTER_BITS = 1 << 27
+PIECE_BYTES = 1 << 18
+#: Bits of the filter, a power of two: 8 MB are broadcast, whatever the input.
+FILTER_BITS = 1 << 26
 
 _U = np.uint64
 _SPACE, _MARK, _LINE = 1, 2, 4
@@ -61,11 +61,14 @@ def _numbers(seed: int, count: int) -> np.ndarray:
 @cache
 def _characters() -> tuple[np.ndarray, np.ndarray]:
     """For each code point its kind, and a number of 64 bits for its lower case."""
-    every = [chr(c) for c in range(0x110000)]
-    kinds = np.array([c.isspace() for c in every], np.uint8)
+    kinds, lower = np.zeros(0x110000, np.uint8), np.arange(0x110000, dtype=_U)
+    for c in map(chr, range(0x20000)):  # no character beyond has a case or is white space
+        kinds[ord(c)] = c.isspace()
+        small = c.lower()
+        if small != c and len(small) == 1:
+            lower[ord(c)] = ord(small)
     kinds[[ord(c) for c in MARKS]] |= _MARK
     kinds[ord("\n")] |= _LINE
-    lower = np.array([ord(c.lower()) if len(c.lower()) == 1 else ord(c) for c in every], _U)
     return kinds, _mixed(lower + _U(1))
 
 
