@@ -2,8 +2,8 @@
 
 The lookup is one left join on the URL, which gives posts and rejects alike. A
 pinned post may be linked from every list page, so one URL can hold a large share
-of the references. Such URLs are counted first and joined on (url, salt), their
-page being repeated once per salt; every other URL has the one salt 0. There is
+of the references. Such URLs are found first, by a sketch, and joined on (url, salt),
+their page being repeated once per salt; every other URL has the one salt 0. There is
 one plan for all sizes.
 """
 
@@ -23,6 +23,10 @@ PAGE_MISSING = "page_missing"
 LEAST_ROWS_PER_SALT = 100_000
 # ... and so many that no more URLs than this can need several: their list is broadcast.
 MOST_HOT_URLS = 10_000
+# URLs that a sketch tracks. It misses none with more than 7 / TRACKED of the references, less than one in MOST_HOT_URLS.
+TRACKED = 1 << 17
+# Sketches of tasks are merged in so many groups before the last merge.
+SKETCH_GROUPS = 64
 
 
 def is_allowed_url(url: Column, config: BoardConfig = BoardConfig()) -> Column:
@@ -38,8 +42,17 @@ def refused_reason(config: BoardConfig = BoardConfig()) -> Column:
 
 
 def hot_urls(refs: DataFrame, rows_per_salt: int) -> DataFrame:
-    """(url, salts) of the URLs with more than ``rows_per_salt`` references."""
-    counts = refs.groupBy("url").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > rows_per_salt)
+    """(url, salts) of the URLs with more than ``rows_per_salt`` references, the MOST_HOT_URLS largest at most.
+
+    A sketch of frequent items is filled where the references are read, so sketches move and no URLs. Its
+    counts are never too low; it has all URLs above its bound of error, see ``TRACKED``. What it
+    misses has one salt, which changes no result.
+    """
+    read = refs.where("url IS NOT NULL").select("url", F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("part"))
+    sketches = read.groupBy("part").agg(F.expr(f"approx_top_k_accumulate(url, {TRACKED})").alias("sketch"))
+    # A group of its own, as a merge of no sketches at all fails.
+    top = sketches.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {TRACKED}), {MOST_HOT_URLS})").alias("top"))
+    counts = top.select(F.inline("top")).select(F.col("item").alias("url"), F.col("count").alias("n")).where(F.col("n") > rows_per_salt)
     return counts.select("url", F.ceil(F.col("n") / rows_per_salt).cast("int").alias("salts"))
 
 

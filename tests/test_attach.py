@@ -3,7 +3,7 @@ from collections import Counter
 import pytest
 
 from boardpulse.config import ALLOWED_HOSTS, SITE_ORIGIN, BoardConfig
-from boardpulse.operators.attach import hot_urls, is_allowed_url
+from boardpulse.operators.attach import MOST_HOT_URLS, hot_urls, is_allowed_url
 from boardpulse.operators.posts import board_posts, parsed_pages, rejected_refs
 from boardpulse.sources.landing import PostStore, latest_rows, pages_for, read_post_pages, write_post_pages
 from helpers import apply
@@ -73,6 +73,18 @@ def test_hot_urls(refs):
     assert found == {url(0): 4, url(1): 2}
 
 
+def test_hot_urls_among_very_many(spark):
+    """More URLs than a sketch tracks: none of the hot ones is missed, no count is too low, and no URL is moved."""
+    n = 600_000
+    made = spark.range(n).repartition(6).selectExpr("CASE WHEN id % 3 = 0 THEN 'a' WHEN id % 100 = 1 THEN 'b' WHEN id % 2000 = 2 THEN 'c' ELSE concat('u', id) END url")
+    exact = {r["url"]: r["count"] for r in made.groupBy("url").count().where("count > 60").collect()}
+    assert len(exact) == 3
+    found = {r["url"]: r["salts"] for r in hot_urls(made, n // MOST_HOT_URLS).collect()}
+    assert set(exact) <= set(found) and all(found[u] >= -(-k // 60) for u, k in exact.items())
+    assert "hashpartitioning(url" not in plan(hot_urls(made, 60))
+    assert hot_urls(made.limit(0), 60).collect() == []
+
+
 @pytest.mark.parametrize("rows_per_salt", [1, 20, 1000])
 def test_split_urls_give_the_same_rows(refs, pages, rows_per_salt):
     others = pages.where(pages.url != url(0))
