@@ -7,30 +7,30 @@ classes. The outputs of a text are the means of its tokens' weights, stretched.
 Weights are whole millionths, so their sums do not depend on the order.
 
 Learning is one aggregate over the buckets, combined before the shuffle. Scoring
-multiplies the sparse matrix of texts and buckets by the table of weights: a row per
-token, a join with the table, and sums per text, which are combined where the text
-was read, so that one narrow row per text and task is moved.
+multiplies the sparse matrix of texts and buckets by the table of weights: the table is
+one broadcast row of arrays, joined to every text, and a text's tokens are looked up in
+it and summed where the text was read. Nothing is moved but the table, whatever the
+number and length of the texts.
 """
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boardpulse.config import LABELS
+from boardpulse.functions.text import let
 from boardpulse.sinks.tables import stored
 
 BUCKETS = 4096
-KEYS = ["text_key", "more_key"]
 UNIT = 1_000_000
 STRETCH = 20.0
 
 
 def tokens(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), r"[ \t-\r]+"), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(text), r"[ \t-\r]+"), "")
 
 
 def bucket_of(token: Column) -> Column:
@@ -38,37 +38,32 @@ def bucket_of(token: Column) -> Column:
     return (F.crc32(token.cast("binary")) % F.lit(BUCKETS)).cast("int")
 
 
-def text_keys(text: Column) -> list[Column]:
-    """Two hashes of 64 bits that tell texts apart."""
-    return [F.xxhash64(text).alias("text_key"), F.xxhash64(F.lit("more"), text).alias("more_key")]
-
-
 @dataclass(frozen=True)
 class TokenWeights:
-    """``table``: bucket and a weight for each label, all buckets being there. Sums are written below ``folder``."""
+    """``table``: bucket and a weight for each label, all buckets being there."""
 
     table: DataFrame
-    folder: str
 
     def __call__(self, frame: DataFrame, text: str) -> DataFrame:
         """The frame with ``logits``, the outputs (neg, neu, pos) for a text column; zeros for a text without tokens.
 
-        Texts are told apart by 128 bits, so equal ones are one row of the product. Copies
-        add to the sums and to the size alike and leave the means as they are. The sums are written, so
-        that the join back reads plain exchanges, of which the planner can split one with a hot text.
+        A text is summed in its own row, so neither it nor the columns beside it are moved.
         """
-        keys = text_keys(F.col(text))
-        # Keys and tokens first: beside an explode the keys would be computed again for each token. An outer explode cuts texts once;
-        # the row of a text without tokens has no bucket and goes at the join.
-        texts = frame.select(*keys, tokens(F.col(text)).alias("tokens"))
-        buckets = texts.select(*KEYS, F.explode_outer("tokens").alias("token")).select(*KEYS, bucket_of(F.col("token")).alias("bucket"))
-        found = buckets.join(F.broadcast(self.table), "bucket")  # BUCKETS rows
-        sums = found.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("size"), *(F.sum(name).alias(f"sum_{name}") for name in LABELS))
-        means = [F.col(f"sum_{name}").cast("double") / (F.col("size") * F.lit(UNIT)) * F.lit(STRETCH) for name in LABELS]
-        outputs = stored(sums.select(*KEYS, F.array(*means).alias("found")), f"{self.folder}/sums-{uuid.uuid4().hex}")
-        none = F.array(*(F.lit(0.0) for _ in LABELS))
-        joined = frame.select("*", *keys).join(outputs, KEYS, "left")
-        return joined.withColumn("logits", F.coalesce("found", none)).drop(*KEYS, "found")
+        rows = F.array_sort(F.collect_list(F.struct("bucket", *(F.col(name).cast("int").alias(name) for name in LABELS))))  # BUCKETS rows
+        weights = self.table.agg(rows.alias("rows")).select(*(F.col("rows").getField(name).alias(f"weights_{name}") for name in LABELS))
+
+        def mean(buckets: Column, name: str) -> Column:
+            # Buckets are counted from 0 and all there, as are the places of the array.
+            total = F.aggregate(buckets, F.lit(0).cast("bigint"), lambda sum, bucket: sum + F.get(f"weights_{name}", bucket))
+            return total.cast("double") / (F.size(buckets).cast("bigint") * F.lit(UNIT)) * F.lit(STRETCH)
+
+        def outputs(buckets: Column) -> Column:
+            none = F.array(*(F.lit(0.0) for _ in LABELS))
+            return F.when(F.size(buckets) > 0, F.array(*(mean(buckets, name) for name in LABELS))).otherwise(none)
+
+        buckets = F.transform(tokens(F.col(text)), bucket_of)
+        joined = frame.join(F.broadcast(weights))
+        return joined.withColumn("logits", let(buckets, outputs)).drop(*weights.columns)
 
 
 def learn_weights(texts: DataFrame, folder: str) -> TokenWeights:
@@ -82,4 +77,4 @@ def learn_weights(texts: DataFrame, folder: str) -> TokenWeights:
     logs = smoothed.select("bucket", *(F.log(F.col(name) / F.sum(name).over(whole)).alias(name) for name in LABELS))
     mean = sum((F.col(name) for name in LABELS[1:]), F.col(LABELS[0])) / len(LABELS)
     weights = logs.select("bucket", *(F.round((F.col(name) - mean) * UNIT).cast("bigint").alias(name) for name in LABELS))
-    return TokenWeights(stored(weights, f"{folder}/weights"), folder)
+    return TokenWeights(stored(weights, f"{folder}/weights"))

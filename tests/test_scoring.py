@@ -223,3 +223,17 @@ def test_a_model_sees_its_words(spark):
     config = ScoringConfig("m-1", max_length=3)
     rows = score_posts(posts(spark, ("a b c d e", ""), ("a", "")), batch_scorer(load, config), config).collect()
     assert sorted(r["logits"][:2] for r in rows) == [[1.0, 3.0], [3.0, 3.0]]
+
+
+def test_scoring_moves_no_text(spark, tmp_path):
+    """Sums are made in a text's row: without a limit of broadcasts nothing is shuffled beside the table of weights."""
+    weights = learn_weights(spark.createDataFrame([("a b", "pos"), ("c", "neg")], "text string, label string"), str(tmp_path))
+    df = posts(spark, ("a", "b c"), ("a", "b c"), (None, None), (" ", "x"))
+    scored = analyzed_posts(df, weights, BOTH, keep=("page_id", "pos"))
+    plan = scored._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and plan.count("Join") == 1
+    rows = scored.orderBy("post_id").collect()
+    assert [r["sentiment_probs"] for r in rows[:1]] == [r["sentiment_probs"] for r in rows[1:2]]
+    assert rows[2]["sentiment_probs"].asDict() == {"neg": 0.0, "neu": 1.0, "pos": 0.0}
+    long = scores(spark, weights, ["a " * 30_000, "a"])  # beyond 32 bits in millionths
+    assert long[0] == pytest.approx(long[1])
