@@ -56,25 +56,40 @@ def hot_urls(refs: DataFrame, rows_per_salt: int) -> DataFrame:
     return counts.select("url", F.ceil(F.col("n") / rows_per_salt).cast("int").alias("salts"))
 
 
-def with_pages(
-    refs: DataFrame, pages: DataFrame, config: BoardConfig = BoardConfig(), rows_per_salt: int | None = None
-) -> DataFrame:
-    """References with the columns of ``pages(url, ...)``, a row per URL, and ``reason``.
+def salted_urls(refs: DataFrame, rows_per_salt: int | None = None) -> DataFrame:
+    """(url, salts) of the URLs that need several; :func:`hot_urls` by what the number of references asks for, if not given."""
+    if rows_per_salt is not None:
+        return hot_urls(refs, rows_per_salt)
+    rows_per_salt = max(LEAST_ROWS_PER_SALT, -(-refs.count() // MOST_HOT_URLS))
+    return F.broadcast(hot_urls(refs, rows_per_salt))  # at most MOST_HOT_URLS rows
+
+
+def with_salts(pages: DataFrame, hot: DataFrame) -> DataFrame:
+    """Pages with ``salt``, those of a hot URL once for each of its salts."""
+    each = F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))
+    return pages.join(hot, "url", "left").withColumn("salt", each).drop("salts")
+
+
+def attached(refs: DataFrame, salted: DataFrame, hot: DataFrame, config: BoardConfig = BoardConfig()) -> DataFrame:
+    """References with the columns of ``salted(url, salt, ...)``, a row per URL and salt, and ``reason``.
 
     ``reason`` is NULL where the reference may be used and its page is there. A
-    reference listed twice gives two rows. The references are read three times:
-    to count them, to find hot URLs, and to join; pass a stored table.
+    reference listed twice gives two rows.
     """
-    if rows_per_salt is None:
-        rows_per_salt = max(LEAST_ROWS_PER_SALT, -(-refs.count() // MOST_HOT_URLS))
-        hot = F.broadcast(hot_urls(refs, rows_per_salt))  # at most MOST_HOT_URLS rows
-    else:
-        hot = hot_urls(refs, rows_per_salt)
-    salts = F.coalesce("salts", F.lit(1))
     row = F.xxhash64(*[F.col(c) for c in refs.columns])
-    keyed = refs.join(hot, "url", "left").withColumn("salt", F.pmod(row, salts).cast("int")).drop("salts")
-    each = F.explode(F.sequence(F.lit(0), salts - 1))
-    repeated = pages.join(hot, "url", "left").withColumn("salt", each).drop("salts").withColumn("found", F.lit(True))
+    salt = F.pmod(row, F.coalesce("salts", F.lit(1))).cast("int")
+    keyed = refs.join(hot, "url", "left").withColumn("salt", salt).drop("salts")
     missing = F.when(F.col("found").isNull(), F.lit(PAGE_MISSING))
-    joined = keyed.join(repeated, ["url", "salt"], "left")
+    joined = keyed.join(salted.withColumn("found", F.lit(True)), ["url", "salt"], "left")
     return joined.withColumn("reason", F.coalesce(refused_reason(config), missing)).drop("salt", "found")
+
+
+def with_pages(
+    refs: DataFrame, pages: DataFrame, config: BoardConfig = BoardConfig(), rows_per_salt: int | None = None
+) -> DataFrame:
+    """:func:`attached` for ``pages(url, ...)``, a row per URL.
+
+    The references are read three times: to count them, to find hot URLs, and to join; pass a stored table.
+    """
+    hot = salted_urls(refs, rows_per_salt)
+    return attached(refs, with_salts(pages, hot), hot, config)

@@ -18,7 +18,7 @@ from boardpulse.config import (
 )
 from boardpulse.functions.markup import visible_lines
 from boardpulse.functions.text import WS_CLASS
-from boardpulse.operators.attach import with_pages
+from boardpulse.operators.attach import attached, salted_urls, with_salts
 from boardpulse.sources.landing import latest_rows
 
 _MINUTES = f"\\b{DATE_PATTERN}{WS_CLASS}+{MINUTES_PATTERN}"
@@ -91,14 +91,20 @@ def parse_lines(df: DataFrame, config: BoardConfig = BoardConfig()) -> DataFrame
     )
 
 
-def parsed_pages(post_pages: DataFrame, config: BoardConfig = BoardConfig()) -> DataFrame:
+def parsed_pages(
+    post_pages: DataFrame, config: BoardConfig = BoardConfig(), hot: DataFrame | None = None
+) -> DataFrame:
     """The newest snapshot of each URL, parsed: (url, author, created_at, content).
 
     Pages are parsed where they are read, so no HTML is shuffled or sorted. Of several
-    snapshots of the same time the one whose HTML has the largest hash counts.
+    snapshots of the same time the one whose HTML has the largest hash counts. With ``hot``
+    each page is there once for each ``salt`` of its URL, and placed by both.
     """
     lines = post_pages.withColumns({"lines": visible_lines(F.col("html")), "html_hash": F.xxhash64("html")}).drop("html")
-    return latest_rows(parse_lines(lines, config), ("author", "created_at", "content"), F.col("html_hash"))
+    parsed, keys = parse_lines(lines, config), ["url"]
+    if hot is not None:
+        parsed, keys = with_salts(parsed, hot), ["url", "salt"]
+    return latest_rows(parsed, ("author", "created_at", "content"), F.col("html_hash"), keys)
 
 
 def looked_up(
@@ -113,12 +119,13 @@ def looked_up(
     ``reason`` is NULL for posts; the title is the reference's. Without
     ``parse`` only the presence of the page counts, and its fields are NULL.
     """
+    hot = salted_urls(refs, rows_per_salt)
     if parse:
-        pages = parsed_pages(post_pages, config)
+        pages = parsed_pages(post_pages, config, hot)
     else:
-        pages = post_pages.select("url").distinct()
+        pages = with_salts(post_pages.select("url"), hot).distinct()
         pages = pages.withColumns({n: F.lit(None).cast("string") for n in ("author", "created_at", "content")})
-    return with_pages(refs, pages, config, rows_per_salt).select(*POST_COLUMNS, "reason")
+    return attached(refs, pages, hot, config).select(*POST_COLUMNS, "reason")
 
 
 def posts_of(found: DataFrame) -> DataFrame:

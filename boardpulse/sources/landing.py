@@ -17,7 +17,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from boardpulse.sinks.tables import exists, make_folder
@@ -140,26 +140,24 @@ def stream_page_urls(spark: SparkSession, path: str, files_per_batch: int = 1_00
     return reader.option("recursiveFileLookup", "true").parquet(folder)
 
 
-def packed_order(at: Column, digest: Column) -> Column:
-    """Time and digest as one decimal, of a fixed width that a hash aggregate can keep; no time comes first."""
-    micros = F.coalesce(F.unix_micros(at.cast("timestamp")), F.lit(-(1 << 62)))
-    positive = digest.bitwiseAND(F.lit((1 << 63) - 1))
-    return micros.cast("decimal(19,0)") * F.lit(f"{10**19}").cast("decimal(20,0)") + positive.cast("decimal(19,0)")
+def latest_rows(
+    snapshots: DataFrame, columns: Sequence[str], digest: Column | None = None, keys: Sequence[str] = ("url",)
+) -> DataFrame:
+    """(keys, columns) of the newest of ``snapshots(keys, fetched_at, columns)`` of each URL, or of all ``keys``.
 
-
-def latest_rows(snapshots: DataFrame, columns: Sequence[str], digest: Column | None = None) -> DataFrame:
-    """(url, columns) of the newest of ``snapshots(url, fetched_at, columns)`` of each URL.
-
-    Time and digest of the newest come from a hash aggregate over narrow rows, combined before
-    the shuffle; ``columns`` are read and moved for the chosen rows alone, once and without a sort of
-    them. Among snapshots of the same time the one with the largest digest counts, a hash of
-    ``columns`` if not given; equal ones are one row.
+    The newest time comes from a hash aggregate over keys and times alone, combined before the
+    shuffle; ``columns`` are read and moved once, and what follows on the same keys finds them in
+    place. Among snapshots of the same time the one with the largest digest counts, a hash of ``columns``
+    if not given; equal ones are one row. No time comes first.
     """
-    order = packed_order(F.col("fetched_at"), F.xxhash64(*columns) if digest is None else digest)
-    keyed = snapshots.select("url", *columns, order.alias("order"))
-    newest = keyed.groupBy("url").agg(F.max("order").alias("newest"))
-    found = keyed.join(newest, "url").where(F.col("order") == F.col("newest"))
-    return found.select("url", "order", *columns).distinct().drop("order")
+    micros = F.coalesce(F.unix_micros(F.col("fetched_at").cast("timestamp")), F.lit(-(1 << 62)))
+    newest = snapshots.select(*keys, micros.alias("at")).groupBy(*keys).agg(F.max("at").alias("newest"))
+    tie = (F.xxhash64(*columns) if digest is None else digest).bitwiseAND(F.lit((1 << 63) - 1))
+    rows = snapshots.select(*keys, *columns, micros.alias("at"), tie.alias("tie"))
+    # No row is newer. Written so, as an equality would become a key of the join, and what follows would be moved again.
+    found = rows.join(newest, list(keys)).where(F.col("at") >= F.col("newest"))
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("tie"))))
+    return ranked.where("rank = 1").select(*keys, *columns)
 
 
 def latest_list_pages(list_pages: DataFrame) -> DataFrame:

@@ -1,11 +1,14 @@
+from datetime import datetime
+
 from helpers import apply
 from pyspark.sql import functions as F
 
 from boardpulse.config import BoardConfig
 from boardpulse.functions.markup import visible_lines
-from boardpulse.operators.posts import author, content, created_at, parse_lines
+from boardpulse.operators.posts import author, content, created_at, looked_up, parse_lines
 
 LINES = "array<string>"
+REFS = "board_id int, post_id bigint, url string, title string, category string, page_id bigint, pos int"
 DATE = "2031-11-05 07:09"
 
 
@@ -93,3 +96,32 @@ def test_seconds_belong_to_the_date_if_wanted(spark):
     assert row["content"] == "Rain on Sunday\ngardener\n2031-11-05 07:09:33\nIt poured.\nNothing else happened."
     row = parse_lines(pages, BoardConfig(created_at_seconds=True)).first()
     assert (row["created_at"], row["content"]) == ("2031-11-05 07:09:33", "It poured.\nNothing else happened.")
+
+
+def test_pages_are_moved_once(spark, tmp_path):
+    """One exchange of parsed pages serves the newest snapshot, ties and the lookup, and times are read without HTML."""
+    rows = [
+        ("u", "<p>old</p>", datetime(2026, 1, 1)),
+        ("u", "<p>new</p>", datetime(2026, 2, 1)),
+        ("u", "<p>new</p>", datetime(2026, 2, 1)),
+        ("v", "<p>none</p>", None),
+        (None, "<p>x</p>", None),
+    ]
+    pages = f"{tmp_path}/pages"
+    spark.createDataFrame(rows, "url string, html string, fetched_at timestamp").write.parquet(pages)
+    refs = spark.createDataFrame([(5558, n, u, "t", None, 1, n) for n, u in enumerate(["u", "u", "v", "w", None])], REFS)
+    limits = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in limits}
+    try:
+        for name, value in limits.items():
+            spark.conf.set(name, value)
+        found = looked_up(refs, spark.read.parquet(pages))
+        plan = found._jdf.queryExecution().executedPlan().toString().splitlines()
+        got = sorted((r["post_id"], r["content"]) for r in found.collect())
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert got == [(0, "new"), (1, "new"), (2, "none"), (3, None), (4, None)]
+    assert sum("Exchange hashpartitioning(url" in line for line in plan) == 3  # references, pages, newest times
+    scans = [line for line in plan if "FileScan parquet" in line]
+    assert len(scans) == 2 and sum("html" in line.split("Batched")[0] for line in scans) == 1
