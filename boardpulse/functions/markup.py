@@ -70,7 +70,7 @@ def anchors(html: Column) -> Column:
     return F.transform(
         pieces,
         lambda p: F.struct(
-            let(F.regexp_extract(p, _HREF, 1), lambda v: strip(let(_unquote(v), decode_entities))).alias("href"),
+            let(F.regexp_extract(p, _HREF, 1), lambda v: let(let(_unquote(v), decode_entities), strip)).alias("href"),
             F.regexp_replace(F.regexp_extract(p, _ANCHOR_INNER, 1), _NO_HIDDEN, "<!>").alias("inner"),
         ),
     )
@@ -102,7 +102,7 @@ def title_tag(inner: Column, tags: Sequence[str]) -> Column:
 def _text_of_token(token: Column) -> Column:
     """The stripped text that follows the tag at the start of a token."""
     text = F.regexp_extract(token, f"(?s)^(?:{_TAG})?+(.*)", 1)
-    return strip(let(text, decode_entities))
+    return let(let(text, decode_entities), strip)
 
 
 def _tokens_inside(tokens: Column, tag: Column) -> Column:

@@ -48,13 +48,17 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def strip(text: Column) -> Column:
-    """Remove white space from both ends."""
-    return F.btrim(text, F.lit(WHITE_SPACE))
+    """Remove white space from both ends. The text is used more than once, so it should be cheap or bound by ``let``.
+
+    Trimming the end takes time by the length of the text, so it is done only where there is something to remove.
+    """
+    ends = F.contains(F.lit(WHITE_SPACE), F.substring(text, -1, 1))
+    return F.when(ends, F.btrim(text, F.lit(WHITE_SPACE))).otherwise(F.ltrim(text, F.lit(WHITE_SPACE)))
 
 
 def is_blank(text: Column) -> Column:
     """True for NULL, empty and white-space-only text."""
-    return F.coalesce(strip(text) == "", F.lit(True))
+    return F.coalesce(F.ltrim(text, F.lit(WHITE_SPACE)) == "", F.lit(True))
 
 
 def _only_line_feeds(text: Column) -> Column:
@@ -73,8 +77,7 @@ def _only_line_feeds(text: Column) -> Column:
 def non_blank_lines(text: Column) -> Column:
     """Stripped lines of a text, without the blank ones."""
     lines = F.split(let(text, _only_line_feeds), "\n")
-    filled = F.filter(lines, lambda line: line != "")
-    return F.filter(F.transform(filled, strip), lambda line: line != "")
+    return F.array_remove(F.transform(F.array_remove(lines, ""), strip), "")
 
 
 def split_category(title: Column) -> Column:
@@ -87,7 +90,7 @@ def split_category(title: Column) -> Column:
     rest = F.regexp_extract(title, _CATEGORY, 2)
     return F.struct(
         category.alias("category"),
-        strip(F.when(category.isNull(), title).otherwise(rest)).alias("title"),
+        let(F.when(category.isNull(), title).otherwise(rest), strip).alias("title"),
     )
 
 

@@ -1,6 +1,7 @@
 from helpers import apply
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from boardpulse.functions.text import (
     WHITE_SPACE,
@@ -74,3 +75,12 @@ def test_preview_at_the_limit(spark):
     texts = ["한" * 120, "한" * 121, ""]
     shown = apply(spark, texts, lambda c: preview(c, 120, "…"))
     assert shown == ["한" * 120, "한" * 120 + "…", ""]
+
+
+def test_the_end_is_trimmed_only_where_it_has_to_be(spark):
+    """Trimming an end counts all characters of a text, which long contents paid for at every look."""
+    df = spark.createDataFrame([("x",)], "x string")
+    for use in (strip, is_blank):
+        plan = df.select(use(F.col("x")).alias("y"))._jdf.queryExecution().optimizedPlan().toString()
+        assert "ltrim" in plan.lower()
+    assert apply(spark, ["a", " a", "a　", "　", "", None, "é\x85", "𝒳"], strip) == ["a", "a", "a", "", "", None, "é", "𝒳"]
