@@ -26,8 +26,11 @@ LIST_PAGES = "board_id INT, page_id BIGINT, url STRING, html STRING, fetched_at
 POST_PAGES = "url STRING, html STRING, fetched_at TIMESTAMP"
 INDEX = "folder STRING, file STRING, low BIGINT, high BIGINT"
 
-#: Characters of URLs and HTML that a file of a store holds, more or less.
+#: Characters of URLs and HTML that a file of a store holds at most, more or less.
 RANGE_BYTES = 512 << 20
+#: Files are smaller, down to this, where cores would have none to sort, write and parse otherwise.
+LEAST_BYTES = 8 << 20
+FILES_PER_CORE = 4
 
 
 def read_list_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -38,24 +41,27 @@ def url_hash(url: Column) -> Column:
     return F.xxhash64(url)
 
 
-def write_post_pages(post_pages: DataFrame, path: str, range_bytes: int = RANGE_BYTES) -> None:
+def write_post_pages(
+    post_pages: DataFrame, path: str, range_bytes: int = RANGE_BYTES, least_bytes: int = LEAST_BYTES
+) -> None:
     """Adds a batch of pages to a store.
 
-    The pages are sorted by ranges of hashes, as many as their bytes ask for, so that a file
-    holds neighbours and its least and largest hash tell which URLs cannot be in it. Very many
+    The pages are sorted by ranges of hashes, as many as their bytes and the session's cores ask for, so that a
+    file holds neighbours and its least and largest hash tell which URLs cannot be in it. Very many
     snapshots of one URL are dealt by their time. The pages are read three times: to be
     measured, to find the ranges, and to be written.
     """
     spark = post_pages.sparkSession
     size = F.octet_length("url") + F.octet_length(F.coalesce("html", F.lit("")))
     total = post_pages.agg(F.sum(size.cast("bigint"))).first()[0] or 0
+    files = max(-(-total // range_bytes), min(-(-total // least_bytes), FILES_PER_CORE * spark.sparkContext.defaultParallelism), 1)
     folder = f"batch-{uuid.uuid4().hex}"
     hashed = post_pages.select("url", "html", "fetched_at", url_hash(F.col("url")).alias("url_hash"))
-    ranged = hashed.repartitionByRange(-(-total // range_bytes) or 1, "url_hash", "fetched_at").sortWithinPartitions("url_hash")
+    ranged = hashed.repartitionByRange(files, "url_hash", "fetched_at").sortWithinPartitions("url_hash")
     ranged.write.parquet(f"{path}/pages/{folder}")
     written = spark.read.schema(f"{POST_PAGES}, url_hash BIGINT").parquet(f"{path}/pages/{folder}")
-    files = written.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.min("url_hash").alias("low"), F.max("url_hash").alias("high"))
-    files.select(F.lit(folder).alias("folder"), "file", "low", "high").write.parquet(f"{path}/index/{folder}")
+    index = written.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.min("url_hash").alias("low"), F.max("url_hash").alias("high"))
+    index.select(F.lit(folder).alias("folder"), "file", "low", "high").write.parquet(f"{path}/index/{folder}")
     written.select("url").distinct().write.parquet(f"{path}/arrivals/{folder}")
 
 

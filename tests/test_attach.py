@@ -171,3 +171,13 @@ def test_other_hosts_by_configuration(spark, pages):
     config = BoardConfig(allowed_hosts=("x.org",))
     assert board_posts(refs, pages, config).count() == 1
     assert board_posts(refs, pages).count() == 0
+
+
+def test_a_store_has_files_for_all_cores(spark, tmp_path):
+    """Pages of one large file's size are dealt over more of them, as the cores ask for; few bytes are not."""
+    made = spark.range(4_000).selectExpr("concat('https://h/', id) url", "repeat('x', 100) html", "timestamp_seconds(id % 7) fetched_at")
+    cores = spark.sparkContext.defaultParallelism
+    for least, files in ((1 << 12, 4 * cores), (1 << 30, 1)):
+        write_post_pages(made, f"{tmp_path}/{least}", least_bytes=least)
+        store = PostStore(spark, f"{tmp_path}/{least}")
+        assert 0.8 * files <= store.index().count() <= files and store.pages().count() == 4_000
