@@ -5,6 +5,9 @@ pinned post may be linked from every list page, so one URL can hold a large shar
 of the references. Such URLs are found first, by a sketch, and joined on (url, salt),
 their page being repeated once per salt; every other URL has the one salt 0. There is
 one plan for all sizes.
+
+Pages without a reference are left out where they are read, by bits of hashes. A page that
+passes by chance finds no reference in the join.
 """
 
 from __future__ import annotations
@@ -27,6 +30,11 @@ MOST_HOT_URLS = 10_000
 TRACKED = 1 << 17
 # Sketches of tasks are merged in so many groups before the last merge.
 SKETCH_GROUPS = 64
+# Bits for each key of a filter, in words of 64: few at first, and 8 MB at most, which lets more keys pass by chance.
+BITS_PER_KEY = 16
+MOST_WORDS = 1 << 20
+# Words of a filter come in arrays of so many.
+CHUNK_WORDS = 1 << 10
 
 
 def is_allowed_url(url: Column, config: BoardConfig = BoardConfig()) -> Column:
@@ -41,6 +49,40 @@ def refused_reason(config: BoardConfig = BoardConfig()) -> Column:
     )
 
 
+def _place(key: Column, words: int) -> tuple[Column, Column]:
+    """Word and bit of a key in a filter."""
+    key_hash = F.xxhash64(key)
+    word = F.shiftrightunsigned(key_hash, 6).bitwiseAND(F.lit(words - 1))
+    return word, F.call_function("shiftleft", F.lit(1).cast("long"), key_hash.bitwiseAND(F.lit(63)).cast("int"))
+
+
+def maybe_among(key: Column, keys: DataFrame, count: int) -> Column:
+    """True if ``key`` is in the one column of ``keys``; true by chance for few others. Of the kind of a key, not NULL.
+
+    The bits of the hashes of ``keys``, some ``count`` rows, are set by hash aggregates, so keys do not move,
+    and reach the tasks as one value of bounded size. The type of ``key`` must be that of ``keys``.
+    """
+    words = min(MOST_WORDS, max(CHUNK_WORDS, 1 << (count * BITS_PER_KEY // 64).bit_length()))
+    word, bit = _place(F.col(keys.columns[0]), words)
+    every = keys.sparkSession.range(words).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bit"))
+    by_word = keys.select(word.alias("word"), bit.alias("bit")).unionAll(every).groupBy("word").agg(F.bit_or("bit").alias("bit"))
+
+    def in_order(name: str, value: str) -> Column:
+        return F.array_sort(F.collect_list(F.struct(name, value))).getField(value)
+
+    chunks = by_word.groupBy(F.floor(F.col("word") / CHUNK_WORDS).alias("chunk")).agg(in_order("word", "bit").alias("bits"))
+    bits = chunks.agg(in_order("chunk", "bits").alias("bits")).scalar()  # words / CHUNK_WORDS rows
+    word, bit = _place(key, words)
+    chunk = F.shiftright(word, CHUNK_WORDS.bit_length() - 1).cast("int")
+    found = F.get(F.get(bits, chunk), word.bitwiseAND(F.lit(CHUNK_WORDS - 1)).cast("int"))
+    return key.isNotNull() & (found.bitwiseAND(bit) != 0)
+
+
+def with_references(pages: DataFrame, refs: DataFrame, count: int) -> DataFrame:
+    """The pages that a reference has, and few others; ``refs`` are some ``count`` rows."""
+    return pages.where(maybe_among(F.col("url"), refs.where("url IS NOT NULL").select("url"), count))
+
+
 def hot_urls(refs: DataFrame, rows_per_salt: int) -> DataFrame:
     """(url, salts) of the URLs with more than ``rows_per_salt`` references, the MOST_HOT_URLS largest at most.
 
@@ -56,11 +98,11 @@ def hot_urls(refs: DataFrame, rows_per_salt: int) -> DataFrame:
     return counts.select("url", F.ceil(F.col("n") / rows_per_salt).cast("int").alias("salts"))
 
 
-def salted_urls(refs: DataFrame, rows_per_salt: int | None = None) -> DataFrame:
+def salted_urls(refs: DataFrame, rows_per_salt: int | None = None, count: int | None = None) -> DataFrame:
     """(url, salts) of the URLs that need several; :func:`hot_urls` by what the number of references asks for, if not given."""
     if rows_per_salt is not None:
         return hot_urls(refs, rows_per_salt)
-    rows_per_salt = max(LEAST_ROWS_PER_SALT, -(-refs.count() // MOST_HOT_URLS))
+    rows_per_salt = max(LEAST_ROWS_PER_SALT, -(-(refs.count() if count is None else count) // MOST_HOT_URLS))
     return F.broadcast(hot_urls(refs, rows_per_salt))  # at most MOST_HOT_URLS rows
 
 

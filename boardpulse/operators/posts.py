@@ -18,7 +18,7 @@ from boardpulse.config import (
 )
 from boardpulse.functions.markup import visible_lines
 from boardpulse.functions.text import WS_CLASS
-from boardpulse.operators.attach import attached, salted_urls, with_salts
+from boardpulse.operators.attach import attached, refused_reason, salted_urls, with_references, with_salts
 from boardpulse.sources.landing import latest_rows
 
 _MINUTES = f"\\b{DATE_PATTERN}{WS_CLASS}+{MINUTES_PATTERN}"
@@ -36,6 +36,8 @@ POST_COLUMNS = (
     "pos",
 )
 
+PAGE_FIELDS = ("author", "created_at", "content")
+
 
 def created_at(lines: Column, seconds: bool = False) -> Column:
     """The first date and time in the header lines, as written."""
@@ -104,7 +106,7 @@ def parsed_pages(
     parsed, keys = parse_lines(lines, config), ["url"]
     if hot is not None:
         parsed, keys = with_salts(parsed, hot), ["url", "salt"]
-    return latest_rows(parsed, ("author", "created_at", "content"), F.col("html_hash"), keys)
+    return latest_rows(parsed, PAGE_FIELDS, F.col("html_hash"), keys)
 
 
 def looked_up(
@@ -113,19 +115,27 @@ def looked_up(
     config: BoardConfig = BoardConfig(),
     parse: bool = True,
     rows_per_salt: int | None = None,
+    refused: bool = True,
 ) -> DataFrame:
     """All references with the fields of their page, and the reason why one gives no post.
 
     ``reason`` is NULL for posts; the title is the reference's. Without
-    ``parse`` only the presence of the page counts, and its fields are NULL.
+    ``parse`` only the presence of the page counts, and its fields are NULL; without ``refused``
+    they are NULL where there is a reason. Pages without a reference are neither parsed nor
+    moved, nor are, without ``refused``, those that only refused references have.
     """
-    hot = salted_urls(refs, rows_per_salt)
+    count = refs.count()
+    hot = salted_urls(refs, rows_per_salt, count)
+    wanted = with_references(post_pages, refs if refused else refs.where(refused_reason(config).isNull()), count)
     if parse:
-        pages = parsed_pages(post_pages, config, hot)
+        pages = parsed_pages(wanted, config, hot)
     else:
-        pages = with_salts(post_pages.select("url"), hot).distinct()
-        pages = pages.withColumns({n: F.lit(None).cast("string") for n in ("author", "created_at", "content")})
-    return attached(refs, pages, hot, config).select(*POST_COLUMNS, "reason")
+        pages = with_salts(wanted.select("url"), hot).distinct()
+        pages = pages.withColumns({n: F.lit(None).cast("string") for n in PAGE_FIELDS})
+    found = attached(refs, pages, hot, config)
+    if not refused:
+        found = found.withColumns({n: F.when(F.col("reason").isNull(), F.col(n)) for n in PAGE_FIELDS})
+    return found.select(*POST_COLUMNS, "reason")
 
 
 def posts_of(found: DataFrame) -> DataFrame:
@@ -145,7 +155,7 @@ def board_posts(
     rows_per_salt: int | None = None,
 ) -> DataFrame:
     """Posts of all usable references whose page is there."""
-    return posts_of(looked_up(refs, post_pages, config, rows_per_salt=rows_per_salt))
+    return posts_of(looked_up(refs, post_pages, config, rows_per_salt=rows_per_salt, refused=False))
 
 
 def rejected_refs(
@@ -155,4 +165,4 @@ def rejected_refs(
     rows_per_salt: int | None = None,
 ) -> DataFrame:
     """References that give no post; only URLs are compared, so no HTML is read."""
-    return rejects_of(looked_up(refs, post_pages, config, parse=False, rows_per_salt=rows_per_salt))
+    return rejects_of(looked_up(refs, post_pages, config, parse=False, rows_per_salt=rows_per_salt, refused=False))

@@ -69,7 +69,7 @@ def _collect(
         refs = stored(refs.unionByName(again.select(*REF_COLUMNS)), f"{out}/refs")
         count = refs.count()
     quarantine = stored(quarantine_of(rows), f"{out}/quarantine") if keep_unparsable else None
-    found = stored(looked_up(refs, pages_for(post_pages, refs), config, parse), f"{out}/lookup")
+    found = stored(looked_up(refs, pages_for(post_pages, refs), config, parse, refused=False), f"{out}/lookup")
     rejects = stored(rejects_of(found), f"{out}/rejects")
     pending = found.where(F.col("reason") == PAGE_MISSING).select(*REF_COLUMNS)
     return _Collected(posts_of(found), rejects, quarantine, count, pending)

@@ -1,9 +1,10 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from boardpulse.config import ALLOWED_HOSTS, SITE_ORIGIN, BoardConfig
-from boardpulse.operators.attach import MOST_HOT_URLS, hot_urls, is_allowed_url
+from boardpulse.operators.attach import MOST_HOT_URLS, hot_urls, is_allowed_url, maybe_among, with_references
 from boardpulse.operators.posts import board_posts, parsed_pages, rejected_refs
 from boardpulse.sources.landing import PostStore, latest_rows, pages_for, read_post_pages, write_post_pages
 from helpers import apply
@@ -181,3 +182,22 @@ def test_a_store_has_files_for_all_cores(spark, tmp_path):
         write_post_pages(made, f"{tmp_path}/{least}", least_bytes=least)
         store = PostStore(spark, f"{tmp_path}/{least}")
         assert 0.8 * files <= store.index().count() <= files and store.pages().count() == 4_000
+
+
+@pytest.mark.parametrize("count", [0, 300, 100_000])
+def test_filter_misses_no_key(spark, count):
+    keys = spark.range(0, 3 * count, 3).select(F.concat(F.lit("u"), "id").alias("k"))
+    tried = spark.range(300_000).select("id", F.concat(F.lit("u"), "id").alias("k")).unionAll(spark.sql("SELECT 0L, NULL"))
+    passed = tried.where(maybe_among(F.col("k"), keys, count))
+    found = {r[0]: r[1] for r in passed.groupBy(F.expr(f"k IS NOT NULL AND id % 3 = 0 AND id < {3 * count}")).count().collect()}
+    assert found.get(True, 0) == count and found.get(False, 0) < 0.1 * (300_001 - count)
+
+
+def test_pages_without_references_are_left_out(spark, refs, pages):
+    """Neither parsed nor moved are pages that no reference has."""
+    many = pages.unionAll(spark.range(1000, 20_000).selectExpr("concat('https://m.inven.co.kr/x/', id)", "'<p>x</p>'", "1"))
+    many = many.unionAll(spark.createDataFrame([(None, "<p>x</p>", 1)], PAGES))
+    kept = rows_of(with_references(many, refs, refs.count()))
+    assert all(kept[row] == n for row, n in rows_of(pages).items()) and sum(kept.values()) < pages.count() + 500
+    assert rows_of(board_posts(refs, many)) == rows_of(board_posts(refs, pages))
+    assert rows_of(rejected_refs(refs, many)) == rows_of(rejected_refs(refs, pages))

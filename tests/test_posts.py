@@ -125,3 +125,12 @@ def test_pages_are_moved_once(spark, tmp_path):
     assert sum("Exchange hashpartitioning(url" in line for line in plan) == 3  # references, pages, newest times
     scans = [line for line in plan if "FileScan parquet" in line]
     assert len(scans) == 2 and sum("html" in line.split("Batched")[0] for line in scans) == 1
+
+
+def test_rejects_have_no_fields(spark):
+    """What a page holds is kept for posts alone."""
+    ok, other = "https://m.inven.co.kr/board/a/5558/1", "https://other.org/board/a/5558/2"
+    pages = spark.createDataFrame([(u, "<p>text</p>", None) for u in (ok, other)], "url string, html string, fetched_at timestamp")
+    refs = spark.createDataFrame([(5558, 1, ok, "t", None, 1, 0), (5558, 2, other, "t", None, 1, 1), (5558, None, ok, "t", None, 1, 2)], REFS)
+    found = sorted(tuple(r) for r in looked_up(refs, pages, refused=False).select("pos", "content", "reason").collect())
+    assert found == [(0, "text", None), (1, None, "host_not_allowed"), (2, None, "bad_post_id")]
