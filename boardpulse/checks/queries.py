@@ -21,7 +21,7 @@ from boardpulse.functions.markup import anchors, visible_lines
 from boardpulse.functions.sentiment import model_text
 from boardpulse.functions.text import split_category
 from boardpulse.functions.urls import absolute_url, clean_url, split_url, url_authority, url_path
-from boardpulse.operators.attach import is_allowed_url
+from boardpulse.operators.attach import is_allowed_url, maybe_among
 from boardpulse.operators.messages import keyed_messages, latest_per_document, payloads
 from boardpulse.operators.posts import board_posts, parsed_pages, rejected_refs
 from boardpulse.operators.refs import (
@@ -203,7 +203,9 @@ def _scorer(spark: SparkSession, sf_dir: str) -> Scorer:
     """Weights learnt from all labelled documents: bad ones against toxic and other good ones."""
     label = F.when(F.col("quality") == 0, "neg").when(F.col("toxic") == 1, "neu").otherwise("pos")
     labels = table(spark, sf_dir, "labels").select("doc_id", label.alias("label"))
-    return learn_weights(_documents(spark, sf_dir).join(labels, "doc_id"), run_folder(spark, "weights"))
+    # Texts without a label are left out before the join moves any.
+    documents = _documents(spark, sf_dir).where(maybe_among(F.col("doc_id"), labels.select("doc_id").where("doc_id IS NOT NULL"), labels.count()))
+    return learn_weights(documents.join(labels, "doc_id"), run_folder(spark, "weights"))
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -248,3 +248,13 @@ def test_stream_sends(spark, landing):
 def test_no_batch_yet(spark, tmp_path):
     assert read_batches(spark, str(tmp_path), "analyzed", "url STRING").columns == ["url", "batch"]
     assert read_batches(spark, str(tmp_path), "analyzed", "url STRING").collect() == []
+
+
+def test_tables_are_packed(spark, tmp_path):
+    """Repeated texts, such as the content of a post with several references, hardly grow a table."""
+    frame = spark.range(0, 2000, 1, 1).selectExpr("id", "concat_ws(' ', transform(sequence(1, 400), i -> xxhash64(id, i))) AS text")
+    write_table(frame, f"{tmp_path}/packed")
+    frame.write.option("compression", "snappy").parquet(f"{tmp_path}/plain")
+    size = {n: sum(f.stat().st_size for f in (tmp_path / n).glob("*.parquet")) for n in ("packed", "plain")}
+    assert size["packed"] < 0.7 * size["plain"]
+    assert rows(spark.read.parquet(f"{tmp_path}/packed")) == rows(frame)
