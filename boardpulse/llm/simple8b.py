@@ -15,11 +15,11 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,9 +66,11 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     words = selectors.astype(np.uint64) << np.uint64(60)
     padded = np.concatenate([values, np.zeros(240, np.uint64)])
     for selector in np.unique(selectors):
-        here, width = selectors == selector, WIDTHS[selector]
+        here, width = np.flatnonzero(selectors == selector), WIDTHS[selector]
+        own, at = words[here], starts_of[here]
         for k in range(COUNTS[selector] if width else 0):
-            words[here] |= padded[starts_of[here] + k] << np.uint64(width * k)
+            own |= padded[at + k] << np.uint64(width * k)
+        words[here] = own
     return words, ids[large]
 
 
@@ -96,8 +98,8 @@ _STARTS = "!-~À-ɏ"
 _SEGMENTS = re.compile(rf"(?:\A[^ ]+| [{_STARTS}][^ ]*)(?: (?![{_STARTS}])[^ ]*)*|\A(?: (?![{_STARTS}])[^ ]*)+")
 #: Kinds of bytes in plain texts: end of a text, white space, letter, digit, other.
 _KINDS = np.array([0 if c == 0 else 1 if c in b"\t\n\r " else 3 if 48 <= c < 58 else 2 if c > 127 or chr(c).isalpha() else 4 for c in range(256)], np.uint8)
-#: Segments whose ids a worker keeps, in each of two generations.
-KEPT_SEGMENTS = 200_000
+#: A worker that keeps the ids of more segments than this goes on with those of the texts at hand.
+KEPT_SEGMENTS = 400_000
 
 
 def word_starts(raw: np.ndarray) -> np.ndarray:
@@ -124,55 +126,78 @@ def word_starts(raw: np.ndarray) -> np.ndarray:
 class SegmentEncoder:
     """Ids of whole texts by the tokenizers library, which is asked once for each segment kept.
 
-    Segments are kept as the bytes of their ids, so that a text's ids are their join.
+    The ids of all kept segments lie in one array, so that those of a text's segments are gathered
+    by array operations. A segment's number is its place there; 0 is the end of a text, named None.
     """
 
     def __init__(self, spec: bytes, end_id: int = 0):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task per core already
         self.tokenizer = Tokenizer.from_buffer(spec)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.end = array("I", [end_id]).tobytes()
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _known(self, segments: set[str]) -> dict[str, bytes]:
-        """The kept segments, with all of these among them."""
-        if len(self.young) > KEPT_SEGMENTS:
-            self.young, self.old = {}, self.young
-        young = self.young
-        young["\0"] = self.end
-        for segment in segments.difference(young).intersection(self.old):
-            young[segment] = self.old[segment]
-        missing = list(segments.difference(young))
-        if missing:
-            # Each segment is a word of its own, so none joins another.
-            found = self.tokenizer.encode(missing, is_pretokenized=True, add_special_tokens=False)
-            ends = np.searchsorted(np.array(found.word_ids), np.arange(len(missing) + 1)).tolist()
-            ids = array("I", found.ids).tobytes()
-            young.update((s, ids[4 * a : 4 * b]) for s, a, b in zip(missing, ends, ends[1:], strict=False))
-        return young
+        added = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.special = list(added.values())
+        # A token of the vocabulary has a character for each byte.
+        vocabulary = self.tokenizer.get_vocab()
+        self.bytes_of = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        self.bytes_of[list(vocabulary.values())] = [len(token) for token in vocabulary]
+        for i, content in added.items():
+            self.bytes_of[i] = len(content.encode())
+        self.numbers: dict[str | None, int] = {None: 0}
+        self.ids, self.ends = np.array([end_id], np.uint32), np.array([1])
+
+    def _gathered(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of some segments one after the other, and where each one's end."""
+        sizes = np.diff(self.ends, prepend=0)[numbers]
+        ends = np.cumsum(sizes)
+        return self.ids[np.repeat(self.ends[numbers] - ends, sizes) + np.arange(ends[-1])], ends
+
+    def _asked(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As :func:`_gathered`, from the library. Each segment is a word of its own, so none joins another."""
+        found = self.tokenizer.encode_batch_fast([segments], is_pretokenized=True, add_special_tokens=False)[0]
+        ids = np.array(found.ids, np.uint32)
+        read = np.cumsum(self.bytes_of[ids])
+        wanted = np.cumsum(pc.binary_length(pa.array(segments, pa.large_string())).to_numpy())
+        ends = np.searchsorted(read, wanted, side="right")
+        if not ends.all() or not np.array_equal(read[ends - 1], wanted) or ends[-1] != len(ids):
+            raise RuntimeError("the ids of the tokenizer do not hold the bytes of its words")
+        return ids, ends
+
+    def _numbered(self, segments: list[str | None]) -> np.ndarray:
+        """Numbers of different segments; those not kept yet are added."""
+        if len(self.numbers) > KEPT_SEGMENTS:
+            kept = [None, *(s for s in segments if s is not None and s in self.numbers)]
+            self.ids, self.ends = self._gathered(np.array([self.numbers[s] for s in kept]))
+            self.numbers = {s: n for n, s in enumerate(kept)}
+        known = self.numbers.get
+        found = np.array([known(s, -1) for s in segments])
+        gaps = np.flatnonzero(found < 0)
+        if len(gaps):
+            missing, new = [segments[i] for i in gaps.tolist()], range(len(self.numbers), len(self.numbers) + len(gaps))
+            ids, ends = self._asked(missing)
+            self.numbers.update(zip(missing, new, strict=True))
+            self.ends = np.concatenate([self.ends, ends + len(self.ids)])
+            self.ids = np.concatenate([self.ids, ids])
+            found[gaps] = new
+        return found
+
+    def _texts(self, numbers: np.ndarray) -> list[np.ndarray]:
+        """Ids of texts that are given by their segments, the last of each being the end."""
+        ids, ends = self._gathered(numbers)
+        return np.split(ids, ends[numbers == 0][:-1])
 
     def _plain(self, texts: list[str]) -> list[np.ndarray]:
         raw = "\0".join([*texts, ""]).encode()
         starts = word_starts(np.frombuffer(raw, np.uint8))
         offsets = np.append(starts, len(raw)).astype(np.int32)
         words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(raw)).dictionary_encode()
-        names, which = words.dictionary.to_pylist(), words.indices.to_numpy()
-        known = self._known(set(names))
-        parts = [known[n] for n in names]
-        sizes = np.array([len(p) for p in parts]) // 4
-        begins = np.cumsum(sizes) - sizes
-        flat = np.frombuffer(b"".join(parts), np.uint32)
-        own = sizes[which]
-        ends = np.cumsum(own)
-        ids = flat[np.repeat(begins[which] - ends + own, own) + np.arange(ends[-1])]
-        return np.split(ids, ends[which == names.index("\0")][:-1])
+        names = words.dictionary.to_numpy(zero_copy_only=False).tolist()  # several times faster than to_pylist
+        names[names.index("\0")] = None
+        return self._texts(self._numbered(names)[words.indices.to_numpy()])
 
     def _other(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [_SEGMENTS.findall(t) for t in texts]
-        known = self._known({s for c in cut for s in c if s != "\0"})
-        alone = {"\0": array("I", self.tokenizer.encode("\0", add_special_tokens=False).ids).tobytes()}
-        return [np.frombuffer(b"".join([alone.get(s) or known[s] for s in c]) + self.end, np.uint32) for c in cut]
+        cut = [s for t in texts for s in (*_SEGMENTS.findall(t), None)]
+        names = list(dict.fromkeys(cut))
+        number = dict(zip(names, self._numbered(names).tolist(), strict=True))
+        return self._texts(np.array([number[s] for s in cut]))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text with the end id."""

@@ -91,6 +91,16 @@ def test_segments_equal_the_library():
     assert [x.tolist() for x in found] == [[*library.encode(t, add_special_tokens=False).ids, 0] for t in texts]
 
 
+def test_kept_segments_are_few(monkeypatch):
+    """Segments lie in one array, and a worker that has met too many goes on with those at hand."""
+    encoder, library = simple8b.SegmentEncoder(read(BYTES)), Tokenizer.from_file(BYTES)
+    monkeypatch.setattr(simple8b, "KEPT_SEGMENTS", 40)
+    for n in range(30):
+        texts = [f"the {n} word{n % 7} {chr(1000 + n)} \0 é", f" x{n}\0", "", "the\nend's  <|endoftext|>", "日本 the"]
+        assert [x.tolist() for x in encoder.encode(texts)] == [[*library.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+        assert len(encoder.numbers) < 80 and len(encoder.ends) == len(encoder.numbers) and len(encoder.ids) == encoder.ends[-1]
+
+
 def test_files(spark, odd, nothing, tmp_path):
     library, at = Tokenizer.from_file(BYTES), 0
     rows = sorted(ODD, key=lambda r: (r[0] is not None, r[0] or 0))
