@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -94,19 +96,26 @@ def parse_lines(df: DataFrame, config: BoardConfig = BoardConfig()) -> DataFrame
 
 
 def parsed_pages(
-    post_pages: DataFrame, config: BoardConfig = BoardConfig(), hot: DataFrame | None = None
+    post_pages: DataFrame,
+    config: BoardConfig = BoardConfig(),
+    hot: DataFrame | None = None,
+    fields: Sequence[str] = PAGE_FIELDS,
+    more: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """The newest snapshot of each URL, parsed: (url, author, created_at, content).
+    """The newest snapshot of each URL, parsed: (url, author, created_at, content), or ``fields``.
 
     Pages are parsed where they are read, so no HTML is shuffled or sorted. Of several
     snapshots of the same time the one whose HTML has the largest hash counts. With ``hot``
-    each page is there once for each ``salt`` of its URL, and placed by both.
+    each page is there once for each ``salt`` of its URL, and placed by both. ``more`` adds columns to
+    parsed pages, a row each; they are in the result if they are among ``fields``.
     """
     lines = post_pages.withColumns({"lines": visible_lines(F.col("html")), "html_hash": F.xxhash64("html")}).drop("html")
     parsed, keys = parse_lines(lines, config), ["url"]
+    if more is not None:
+        parsed = more(parsed)
     if hot is not None:
         parsed, keys = with_salts(parsed, hot), ["url", "salt"]
-    return latest_rows(parsed, PAGE_FIELDS, F.col("html_hash"), keys)
+    return latest_rows(parsed, fields, F.col("html_hash"), keys)
 
 
 def looked_up(
@@ -116,26 +125,30 @@ def looked_up(
     parse: bool = True,
     rows_per_salt: int | None = None,
     refused: bool = True,
+    fields: Sequence[str] = PAGE_FIELDS,
+    more: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """All references with the fields of their page, and the reason why one gives no post.
 
     ``reason`` is NULL for posts; the title is the reference's. Without
     ``parse`` only the presence of the page counts, and its fields are NULL; without ``refused``
     they are NULL where there is a reason. Pages without a reference are neither parsed nor
-    moved, nor are, without ``refused``, those that only refused references have.
+    moved, nor are, without ``refused``, those that only refused references have. Of the parsed pages only
+    ``fields`` are moved, among them columns that ``more`` adds; others of a post are NULL.
     """
     count = refs.count()
     hot = salted_urls(refs, rows_per_salt, count)
     wanted = with_references(post_pages, refs if refused else refs.where(refused_reason(config).isNull()), count)
+    fields = tuple(fields) if parse else ()
     if parse:
-        pages = parsed_pages(wanted, config, hot)
+        pages = parsed_pages(wanted, config, hot, fields, more)
     else:
         pages = with_salts(wanted.select("url"), hot).distinct()
-        pages = pages.withColumns({n: F.lit(None).cast("string") for n in PAGE_FIELDS})
     found = attached(refs, pages, hot, config)
     if not refused:
-        found = found.withColumns({n: F.when(F.col("reason").isNull(), F.col(n)) for n in PAGE_FIELDS})
-    return found.select(*POST_COLUMNS, "reason")
+        found = found.withColumns({n: F.when(F.col("reason").isNull(), F.col(n)) for n in fields})
+    found = found.withColumns({n: F.lit(None).cast("string") for n in PAGE_FIELDS if n not in fields})
+    return found.select(*POST_COLUMNS, *(n for n in fields if n not in POST_COLUMNS), "reason")
 
 
 def posts_of(found: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
-from typing import Any
+from typing import Any, Protocol, runtime_checkable
 
 import numpy as np
 from pyspark.ml.functions import predict_batch_udf
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
-from boardpulse.config import ANALYZED_COLUMNS, LABELS, ScoringConfig
+from boardpulse.config import ANALYZED_COLUMNS, LABELS, TEXT_TITLE, ScoringConfig
 from boardpulse.functions.sentiment import (
     model_text,
     neutral,
@@ -20,7 +20,7 @@ from boardpulse.functions.sentiment import (
     sentiment_score,
     softmax,
 )
-from boardpulse.functions.text import is_blank
+from boardpulse.functions.text import is_blank, strip
 
 # Takes a frame and the name of its text column; adds ``logits``, an array of the three outputs (neg, neu, pos).
 Scorer = Callable[[DataFrame, str], DataFrame]
@@ -29,6 +29,25 @@ Predict = Callable[[Sequence[str]], Any]
 # Loads the model; called in the Python worker, on the first batch with rows.
 LoadModel = Callable[[ScoringConfig], Predict]
 
+# Column with the sums of a post's content, where they were made with its page.
+CONTENT_SUMS = "content_sums"
+
+
+@runtime_checkable
+class SumScorer(Protocol):
+    """A scorer whose outputs follow from sums over tokens, which add up over the parts of a text.
+
+    Many references may have one page; its content is then summed once, and not for each of them.
+    """
+
+    def __call__(self, frame: DataFrame, text: str) -> DataFrame: ...
+
+    def sums(self, frame: DataFrame, text: str, name: str) -> DataFrame: ...
+
+    def outputs(self, sums: Column) -> Column: ...
+
+    def count(self, sums: Column) -> Column: ...
+
 
 def utc_now() -> str:
     """Current time as ISO-8601 text in UTC."""
@@ -78,7 +97,11 @@ def batch_scorer(load_model: LoadModel, config: ScoringConfig) -> Scorer:
 def add_sentiment(df: DataFrame, text: str, logits: str, neutral_floor: float = 0.0) -> DataFrame:
     """Add sentiment_label, sentiment_score and sentiment_probs from the columns
     with the scored text and the model outputs. Blank text is neutral."""
-    probs = F.when(is_blank(F.col(text)), neutral()).otherwise(softmax(F.col(logits)))
+    return _add_sentiment(df, is_blank(F.col(text)), logits, neutral_floor)
+
+
+def _add_sentiment(df: DataFrame, blank: Column, logits: str, neutral_floor: float) -> DataFrame:
+    probs = F.when(blank, neutral()).otherwise(softmax(F.col(logits)))
     scored = df.withColumn("sentiment_probs", probs)
     return scored.withColumns(
         {
@@ -88,10 +111,32 @@ def add_sentiment(df: DataFrame, text: str, logits: str, neutral_floor: float =
     )
 
 
+def sum_scorer(scorer: Scorer, config: ScoringConfig) -> SumScorer | None:
+    """The scorer, if title and content are scored and their sums add up."""
+    return scorer if config.text_used != TEXT_TITLE and isinstance(scorer, SumScorer) else None
+
+
+def with_content_sums(pages: DataFrame, scorer: SumScorer) -> DataFrame:
+    """Add the sums of the content as it stands in the scored text."""
+    shown = pages.withColumn("shown_content", strip(F.coalesce("content", F.lit(""))))
+    return scorer.sums(shown, "shown_content", CONTENT_SUMS).drop("shown_content")
+
+
 def score_posts(posts: DataFrame, scorer: Scorer, config: ScoringConfig) -> DataFrame:
-    """Add the sentiment columns to posts; one row in, one row out."""
+    """Add the sentiment columns to posts; one row in, one row out.
+
+    Posts with ``CONTENT_SUMS``, by :func:`with_content_sums` of the same scorer, have their titles read alone.
+    """
     text = model_text(F.col("title"), F.col("content"), config.text_used)
     with_text = posts.withColumn("model_text", text)
+    if CONTENT_SUMS in posts.columns:
+        shown = with_text.withColumn("shown_title", model_text(F.col("title"), F.col("content"), TEXT_TITLE))
+        summed = scorer.sums(shown, "shown_title", "title_sums").drop("shown_title")
+        both = F.zip_with("title_sums", CONTENT_SUMS, lambda title, content: title + content)
+        summed = summed.withColumn("sums", both).drop("title_sums", CONTENT_SUMS)
+        # White space between tokens is white space of a strip too, so only a blank text has no token.
+        scored = summed.withColumns({"logits": scorer.outputs(F.col("sums")), "blank": scorer.count(F.col("sums")) == 0})
+        return _add_sentiment(scored, F.col("blank"), "logits", config.neutral_floor).drop("sums", "blank")
     # The text is never NULL; the model sees blank texts as empty ones.
     shown = F.when(is_blank(F.col("model_text")), F.lit("")).otherwise(F.col("model_text"))
     with_logits = scorer(with_text.withColumn("shown_text", shown), "shown_text").drop("shown_text")

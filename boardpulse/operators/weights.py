@@ -45,25 +45,39 @@ class TokenWeights:
     table: DataFrame
 
     def __call__(self, frame: DataFrame, text: str) -> DataFrame:
-        """The frame with ``logits``, the outputs (neg, neu, pos) for a text column; zeros for a text without tokens.
+        """The frame with ``logits``, the outputs (neg, neu, pos) for a text column; zeros for a text without tokens."""
+        summed = self.sums(frame, text, "token_sums")
+        return summed.withColumn("logits", self.outputs(F.col("token_sums"))).drop("token_sums")
 
-        A text is summed in its own row, so neither it nor the columns beside it are moved.
+    def sums(self, frame: DataFrame, text: str, name: str) -> DataFrame:
+        """The frame with ``name``: sums of the weights (neg, neu, pos) of a text's tokens, and the number of tokens.
+
+        A text is summed in its own row, so neither it nor the columns beside it are moved. Sums of texts
+        with white space between them add up to those of the whole.
         """
         rows = F.array_sort(F.collect_list(F.struct("bucket", *(F.col(name).cast("int").alias(name) for name in LABELS))))  # BUCKETS rows
         weights = self.table.agg(rows.alias("rows")).select(*(F.col("rows").getField(name).alias(f"weights_{name}") for name in LABELS))
 
-        def mean(buckets: Column, name: str) -> Column:
+        def total(buckets: Column, label: str) -> Column:
             # Buckets are counted from 0 and all there, as are the places of the array.
-            total = F.aggregate(buckets, F.lit(0).cast("bigint"), lambda sum, bucket: sum + F.get(f"weights_{name}", bucket))
-            return total.cast("double") / (F.size(buckets).cast("bigint") * F.lit(UNIT)) * F.lit(STRETCH)
+            return F.aggregate(buckets, F.lit(0).cast("bigint"), lambda sum, bucket: sum + F.get(f"weights_{label}", bucket))
 
-        def outputs(buckets: Column) -> Column:
-            none = F.array(*(F.lit(0.0) for _ in LABELS))
-            return F.when(F.size(buckets) > 0, F.array(*(mean(buckets, name) for name in LABELS))).otherwise(none)
+        def totals(buckets: Column) -> Column:
+            return F.array(*(total(buckets, label) for label in LABELS), F.size(buckets).cast("bigint"))
 
         buckets = F.transform(tokens(F.col(text)), bucket_of)
         joined = frame.join(F.broadcast(weights))
-        return joined.withColumn("logits", let(buckets, outputs)).drop(*weights.columns)
+        return joined.withColumn(name, let(buckets, totals)).drop(*weights.columns)
+
+    def outputs(self, sums: Column) -> Column:
+        """The outputs for sums of :meth:`sums`: the means of the weights, stretched."""
+        count = self.count(sums)
+        means = [F.get(sums, F.lit(k)).cast("double") / (count * F.lit(UNIT)) * F.lit(STRETCH) for k in range(len(LABELS))]
+        return F.when(count > 0, F.array(*means)).otherwise(F.array(*(F.lit(0.0) for _ in LABELS)))
+
+    def count(self, sums: Column) -> Column:
+        """The number of tokens among the sums."""
+        return F.get(sums, F.lit(len(LABELS)))
 
 
 def learn_weights(texts: DataFrame, folder: str) -> TokenWeights:

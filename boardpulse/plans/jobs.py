@@ -8,7 +8,7 @@ job again replaces what it had written.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,9 +17,18 @@ from pyspark.sql import functions as F
 from boardpulse.config import TEXT_TITLE, BoardConfig, ScoringConfig
 from boardpulse.operators.attach import PAGE_MISSING
 from boardpulse.operators.messages import keyed_messages, payloads
-from boardpulse.operators.posts import looked_up, posts_of, rejects_of
+from boardpulse.operators.posts import PAGE_FIELDS, looked_up, posts_of, rejects_of
 from boardpulse.operators.refs import REF_COLUMNS, list_rows, quarantine_of, refs_of
-from boardpulse.operators.scoring import Scorer, analyzed_posts, spread, utc_now
+from boardpulse.operators.scoring import (
+    CONTENT_SUMS,
+    Scorer,
+    SumScorer,
+    analyzed_posts,
+    spread,
+    sum_scorer,
+    utc_now,
+    with_content_sums,
+)
 from boardpulse.sinks.tables import count_rows, read_table, stored, write_measured, write_table
 from boardpulse.sources.landing import PostStore, pages_for
 
@@ -59,8 +68,13 @@ def _collect(
     keep_unparsable: bool,
     parse: bool = True,
     again: DataFrame | None = None,
+    scorer: SumScorer | None = None,
+    fields: Sequence[str] = PAGE_FIELDS,
 ) -> _Collected:
-    """References, and their posts and rejects by one lookup. ``again`` are references of an earlier run."""
+    """References, and their posts and rejects by one lookup. ``again`` are references of an earlier run.
+
+    With ``scorer`` the content is summed with its page, and not for each post.
+    """
     rows = list_rows(list_pages, config, keep_unparsable)
     count = write_measured(rows, f"{out}/list_rows", refs=F.count("pos"))["refs"]
     rows = read_table(rows, f"{out}/list_rows")
@@ -69,7 +83,10 @@ def _collect(
         refs = stored(refs.unionByName(again.select(*REF_COLUMNS)), f"{out}/refs")
         count = refs.count()
     quarantine = stored(quarantine_of(rows), f"{out}/quarantine") if keep_unparsable else None
-    found = stored(looked_up(refs, pages_for(post_pages, refs), config, parse, refused=False), f"{out}/lookup")
+    more = None if scorer is None else lambda pages: with_content_sums(pages, scorer)
+    fields = (*fields, CONTENT_SUMS) if scorer is not None else fields
+    pages = pages_for(post_pages, refs)
+    found = stored(looked_up(refs, pages, config, parse, refused=False, fields=fields, more=more), f"{out}/lookup")
     rejects = stored(rejects_of(found), f"{out}/rejects")
     pending = found.where(F.col("reason") == PAGE_MISSING).select(*REF_COLUMNS)
     return _Collected(posts_of(found), rejects, quarantine, count, pending)
@@ -123,7 +140,9 @@ def score_board(
 ) -> JobResult:
     """Analysed posts. Without posts the result is an empty table, and the
     model is not loaded."""
-    found = _collect(list_pages, post_pages, out, config, keep_unparsable, again=again)
+    found = _collect(
+        list_pages, post_pages, out, config, keep_unparsable, again=again, scorer=sum_scorer(scorer, scoring)
+    )
     rows, counters = _score(
         found, f"{out}/analyzed", scorer, scoring, crawled_at, partitions, lambda df: df
     )
@@ -147,10 +166,14 @@ def send_board(
 
     The payloads are written first, so a failed delivery can be repeated
     without scoring again, and only the fields that are sent are computed: with
-    the title as text the content of the pages is never parsed.
+    the title as text the content of the pages is never parsed, and where the
+    scorer sums it with its page it is not moved to the posts.
     """
-    parse = scoring.text_used != TEXT_TITLE
-    found = _collect(list_pages, post_pages, out, config, keep_unparsable=False, parse=parse, again=again)
+    parse, sums = scoring.text_used != TEXT_TITLE, sum_scorer(scorer, scoring)
+    fields = PAGE_FIELDS if sums is None else ()
+    found = _collect(
+        list_pages, post_pages, out, config, keep_unparsable=False, parse=parse, again=again, scorer=sums, fields=fields
+    )
     rows, counters = _score(
         found,
         f"{out}/payloads",

@@ -3,7 +3,9 @@ from datetime import datetime
 import pytest
 
 from boardpulse.config import ANALYZED_COLUMNS, SITE_ORIGIN, ScoringConfig
-from boardpulse.operators.scoring import batch_scorer
+from boardpulse.operators.messages import payloads
+from boardpulse.operators.scoring import analyzed_posts, batch_scorer
+from boardpulse.operators.weights import TokenWeights, learn_weights
 from boardpulse.plans.jobs import collect_posts, run_counters, score_board, send_board
 from boardpulse.sinks.tables import write_table
 from boardpulse.sources.landing import LIST_PAGES, POST_PAGES, read_list_pages, read_post_pages, write_post_pages
@@ -258,3 +260,25 @@ def test_tables_are_packed(spark, tmp_path):
     size = {n: sum(f.stat().st_size for f in (tmp_path / n).glob("*.parquet")) for n in ("packed", "plain")}
     assert size["packed"] < 0.7 * size["plain"]
     assert rows(spark.read.parquet(f"{tmp_path}/packed")) == rows(frame)
+
+
+def test_contents_are_summed_with_their_page(spark, landing):
+    """A page with several references has its content read by the scorer once; what is only sent does not carry it."""
+    both = ScoringConfig("m-1", text_used="title+content")
+    weights = learn_weights(spark.createDataFrame([("title 2", "pos"), ("text 1", "neg")], "text string, label string"), f"{landing}/weights")
+    read: list[str] = []
+
+    class Watched(TokenWeights):
+        def sums(self, frame, text, name):
+            read.append(text)
+            return super().sums(frame, text, name)
+
+    scorer = Watched(weights.table)
+    scored = score_board(*tables(spark, landing), f"{landing}/a", scorer, both, crawled_at=AT)
+    collected = collect_posts(*tables(spark, landing), f"{landing}/b").rows
+    assert rows(scored.rows) == rows(analyzed_posts(collected, weights, both, AT, keep=("page_id", "pos")))
+    sent = send_board(*tables(spark, landing), f"{landing}/c", scorer, both, lambda m: m.count(), crawled_at=AT)
+    assert rows(sent.rows) == rows(payloads(scored.rows, keep=("page_id", "pos")))
+    assert read == ["shown_content", "shown_title"] * 2
+    assert {r["content"] for r in spark.read.parquet(f"{landing}/c/lookup").collect()} == {None}
+    assert rows(sent.rejects) == rows(scored.rejects) and rows(sent.pending) == rows(scored.pending)
