@@ -132,21 +132,23 @@ def looked_up(
 
     ``reason`` is NULL for posts; the title is the reference's. Without
     ``parse`` only the presence of the page counts, and its fields are NULL; without ``refused``
-    they are NULL where there is a reason. Pages without a reference are neither parsed nor
-    moved, nor are, without ``refused``, those that only refused references have. Of the parsed pages only
+    they are NULL where there is a reason, and refused references are not moved to the join. Pages without a reference
+    are neither parsed nor moved, nor are, without ``refused``, those that only refused references have. Of the parsed pages only
     ``fields`` are moved, among them columns that ``more`` adds; others of a post are NULL.
     """
     count = refs.count()
-    hot = salted_urls(refs, rows_per_salt, count)
-    wanted = with_references(post_pages, refs if refused else refs.where(refused_reason(config).isNull()), count)
+    usable = refs if refused else refs.where(refused_reason(config).isNull())
+    hot = salted_urls(usable, rows_per_salt, count)
+    wanted = with_references(post_pages, usable, count)
     fields = tuple(fields) if parse else ()
     if parse:
         pages = parsed_pages(wanted, config, hot, fields, more)
     else:
         pages = with_salts(wanted.select("url"), hot).distinct()
-    found = attached(refs, pages, hot, config)
+    found = attached(usable, pages, hot, config)
     if not refused:
-        found = found.withColumns({n: F.when(F.col("reason").isNull(), F.col(n)) for n in fields})
+        others = refs.withColumn("reason", refused_reason(config)).where("reason IS NOT NULL")
+        found = found.unionByName(others, allowMissingColumns=True)
     found = found.withColumns({n: F.lit(None).cast("string") for n in PAGE_FIELDS if n not in fields})
     return found.select(*POST_COLUMNS, *(n for n in fields if n not in POST_COLUMNS), "reason")
 

@@ -134,3 +134,31 @@ def test_rejects_have_no_fields(spark):
     refs = spark.createDataFrame([(5558, 1, ok, "t", None, 1, 0), (5558, 2, other, "t", None, 1, 1), (5558, None, ok, "t", None, 1, 2)], REFS)
     found = sorted(tuple(r) for r in looked_up(refs, pages, refused=False).select("pos", "content", "reason").collect())
     assert found == [(0, "text", None), (1, None, "host_not_allowed"), (2, None, "bad_post_id")]
+
+
+def rows_moved(node):
+    """Rows that the exchanges of an executed plan wrote, by the columns they deal by."""
+    found = [(node.simpleString(9), node.metrics().apply("shuffleRecordsWritten").value())] if node.nodeName() == "Exchange" else []
+    return found + [x for k in range(node.children().size()) for x in rows_moved(node.children().apply(k))]
+
+
+def test_refused_references_are_not_moved(spark):
+    """They have no use for a page, so they do not go to the join with the pages, and stay as they are."""
+    urls = [f"https://m.inven.co.kr/board/a/5558/{n}" for n in range(3)]
+    rows = [(5558, n, u, f"t{n}", "c", 1, n) for n, u in enumerate([*urls, None])] + [(5558, 9, "https://other.org/board/a/5558/9", "t", None, 2, n) for n in range(50)]
+    refs = spark.createDataFrame([*rows, *[(5558, None, urls[0], "t", None, 3, n) for n in range(50)]], REFS)
+    pages = spark.createDataFrame([(u, "<p>text</p>", None) for u in urls[:2]], "url string, html string, fetched_at timestamp")
+    limits = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in limits}
+    try:
+        for name, value in limits.items():
+            spark.conf.set(name, value)
+        found = looked_up(refs, pages, refused=False)
+        got = sorted((r["page_id"], r["pos"], r["title"], r["content"], r["reason"]) for r in found.collect())
+        moved = rows_moved(found._jdf.queryExecution().executedPlan())
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert got[:4] == [(1, 0, "t0", "text", None), (1, 1, "t1", "text", None), (1, 2, "t2", None, "page_missing"), (1, 3, "t3", None, "page_missing")]
+    assert got[4:] == [(k, n, "t", None, reason) for k, reason in ((2, "host_not_allowed"), (3, "bad_post_id")) for n in range(50)]
+    assert max(n for name, n in moved if "salt" in name) == 4
