@@ -35,7 +35,7 @@ from boardpulse.operators.refs import (
 from boardpulse.operators.samples import analyzed_sample, payload_sample, post_sample
 from boardpulse.operators.scoring import Predict, Scorer, add_sentiment, analyzed_posts, batch_scorer, score_posts
 from boardpulse.plans.jobs import ORDER, JobResult, collect_posts, run_counters, score_board, send_board
-from boardpulse.operators.weights import learn_weights
+from boardpulse.operators.weights import learn_weights, token_buckets
 from boardpulse.sinks.tables import run_folder, stored, write_table
 from boardpulse.sources.landing import PostStore, latest_rows, write_post_pages
 from boardpulse.streaming.landing import read_batches, score_new_pages
@@ -205,7 +205,9 @@ def _scorer(spark: SparkSession, sf_dir: str) -> Scorer:
     labels = table(spark, sf_dir, "labels").select("doc_id", label.alias("label"))
     # Texts without a label are left out before the join moves any.
     documents = _documents(spark, sf_dir).where(maybe_among(F.col("doc_id"), labels.select("doc_id").where("doc_id IS NOT NULL"), labels.count()))
-    return learn_weights(documents.join(labels, "doc_id"), run_folder(spark, "weights"))
+    # The join moves the numbers of the tokens' buckets in place of the texts.
+    buckets = documents.select("doc_id", token_buckets(F.col("text")).alias("buckets"))
+    return learn_weights(buckets.join(labels, "doc_id"), run_folder(spark, "weights"))
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from boardpulse.config import LABELS
 from boardpulse.functions.text import let
 from boardpulse.sinks.tables import stored
 
-BUCKETS = 4096
+BUCKETS = 4096  # a power of two
 UNIT = 1_000_000
 STRETCH = 20.0
 
@@ -35,7 +35,12 @@ def tokens(text: Column) -> Column:
 
 def bucket_of(token: Column) -> Column:
     """Number of a token's bucket, by a checksum that any engine has or can count out."""
-    return (F.crc32(token.cast("binary")) % F.lit(BUCKETS)).cast("int")
+    return F.crc32(token.cast("binary")).bitwiseAND(F.lit(BUCKETS - 1).cast("bigint")).cast("int")
+
+
+def token_buckets(text: Column) -> Column:
+    """Buckets of a text's tokens, repeats included, in order of their numbers: less to move than the text."""
+    return F.sort_array(F.transform(tokens(text), lambda token: bucket_of(token).cast("smallint")))
 
 
 @dataclass(frozen=True)
@@ -81,10 +86,14 @@ class TokenWeights:
 
 
 def learn_weights(texts: DataFrame, folder: str) -> TokenWeights:
-    """Weights from ``texts(text, label)`` over all its rows, written below ``folder``; nulls and unknown labels are left out."""
+    """Weights from ``texts(text, label)`` over all its rows, written below ``folder``; nulls and unknown labels are left out.
+
+    In place of the text a row may have ``buckets``, by :func:`token_buckets`: what a join with the labels should move.
+    """
+    buckets = F.col("buckets") if "buckets" in texts.columns else token_buckets(F.col("text"))
     known = texts.where(F.col("label").isin(*LABELS))
-    each = known.select("label", F.explode_outer(tokens(F.col("text"))).alias("token")).select("label", bucket_of(F.col("token")).alias("bucket"))
-    counts = each.where("bucket IS NOT NULL").groupBy("bucket").agg(*(F.count_if(F.col("label") == name).alias(name) for name in LABELS))
+    each = known.select("label", F.explode_outer(buckets).alias("bucket")).where("bucket IS NOT NULL")
+    counts = each.groupBy(F.col("bucket").cast("int").alias("bucket")).agg(*(F.count_if(F.col("label") == name).alias(name) for name in LABELS))
     every = texts.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
     smoothed = every.join(counts, "bucket", "left").select("bucket", *((F.coalesce(name, F.lit(0)) + 1.0).alias(name) for name in LABELS))
     whole = Window.partitionBy()  # over BUCKETS rows

@@ -7,6 +7,7 @@ import pytest
 from helpers import apply
 from pyspark.sql import functions as F
 
+from boardpulse.checks import queries
 from boardpulse.config import ANALYZED_COLUMNS, ScoringConfig
 from boardpulse.functions.sentiment import model_text, sentiment_label, softmax
 from boardpulse.operators.scoring import (
@@ -210,6 +211,41 @@ def test_plan_of_the_product(spark, tmp_path):
     assert "Join" in plan and "Python" not in plan and len(plan) < 20_000
 
 
+def bytes_moved(node):
+    """Bytes that the exchanges of an executed plan wrote, before compression."""
+    found = node.metrics().apply("dataSize").value() if node.nodeName() == "Exchange" else 0
+    return found + sum(bytes_moved(node.children().apply(k)) for k in range(node.children().size()))
+
+
+def test_no_text_moves_to_its_label(spark, tmp_path, monkeypatch):
+    """Numbers of buckets go to the join with the labels, also for repeated rows and nulls, and give the weights of the texts."""
+    rows = [(n, " ".join(f"{n}-{k}-long-word" for k in range(400))) for n in range(40)] + [(1, "again\tAGAIN x"), (2, None), (3, ""), (None, "x")]
+    labels = [(n, n % 2, n % 3 % 2) for n in range(40)] + [(5, 0, 0), (None, 1, 1), (99, 1, 1), (6, None, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    learnt = []
+    monkeypatch.setattr(queries, "learn_weights", lambda texts, folder: learnt.append((texts, learn_weights(texts, f"{tmp_path}/w"))))
+    limits = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in limits}
+    try:
+        for name, value in limits.items():
+            spark.conf.set(name, value)
+        queries._scorer(spark, str(tmp_path))
+        texts, weights = learnt[0]
+        texts.collect()
+        moved = bytes_moved(texts._jdf.queryExecution().executedPlan())
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert moved < sum(len(text or "") for _, text in rows) / 3
+    joined = [(text, "neg" if bad == 0 else "neu" if toxic == 1 else "pos") for n, text in rows for m, bad, toxic in labels if n is not None and n == m]
+    expected = learn_weights(spark.createDataFrame(joined, "text string, label string"), f"{tmp_path}/v")
+    assert sorted(weights.table.collect()) == sorted(expected.table.collect())
+    _, by_text = by_hand([((text or "").lower(), label) for text, label in joined])
+    for r in weights.table.collect():
+        assert [r["neg"], r["neu"], r["pos"]] == pytest.approx(by_text[r["bucket"]], abs=1)
+
+
 def test_first_words(spark):
     texts = ["a b  c\td", " a b", "", "   ", "x" * 100_000 + " y", "w " * 100_000]
     for count in (1, 2, 300):
